@@ -1,0 +1,6 @@
+"""Queries of the catalogue and their SQL oracles."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
