@@ -33,3 +33,33 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), vocabulary(), limit=512)
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import find, judge
+
+    found = find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=13)
+    return judge(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+SQL["op9_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, len(w[k:k+12]) AS n, array_to_string(w[k:k+12], ' ') AS s
+  FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS k FROM b WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, k, array_to_string(w[k:k+n-1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)
+), m AS (SELECT dw.doc_id, dw.k, dw.n, bw.item FROM dw JOIN bw ON dw.s = bw.s AND dw.n = bw.n
+), h AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT doc_id, k, n FROM m)) GROUP BY doc_id
+), i AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
