@@ -63,3 +63,18 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
+
+
+@query
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .winnowing import compare_with_next
+
+    return compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import hexadecimal, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
+    return found.select("doc_id", hexadecimal("f").alias("fingerprint"), "component_id")
