@@ -78,3 +78,19 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
     return found.select("doc_id", hexadecimal("f").alias("fingerprint"), "component_id")
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")), threshold=0.5)
