@@ -108,7 +108,7 @@ class Model:
             def update(rows, residual, ada):
                 ada.step("w", self.weights, x[rows].T @ residual - 1e-5 * self.weights)
 
-            self.chain = fit(lambda rows: x[rows] @ self.weights, update, label, begin, [np.arange(len(x))], 150, 0.3)
+            self.chain = fit(lambda rows: x[rows] @ self.weights, update, label, begin, [np.arange(len(x))], 80, 0.3)
             bad = self.chain.marginals(x @ self.weights, begin)
             label = np.where(np.repeat(y, per) > 0, bad > 0.5, 0).astype(float)
         self.top = logistic(self.document(x, first, size), 1 - y)
@@ -119,7 +119,7 @@ class Model:
         return predict(self.document(*line_features(data, offsets)), self.top)
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample: int = 4000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample: int = 2000) -> Model:
     model = Model()
     model.fit(*labelled(docs, labels, label, sample))
     return model

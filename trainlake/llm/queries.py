@@ -94,3 +94,25 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")), threshold=0.5)
+
+
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import language
+
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import line_dedup
+
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import link_trust
+
+    return link_trust.judge(table(spark, sf_dir, "pages"))

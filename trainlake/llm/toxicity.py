@@ -163,7 +163,7 @@ class Model:
         return predict(self.document(p, first), self.top)
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int = 2500) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int = 1500) -> Model:
     model = Model()
     model.fit(*labelled(docs, labels, label, sample))
     return model
@@ -199,3 +199,15 @@ def score(docs: DataFrame, model: Model, *, threshold: float = 0.5) -> DataFrame
     """doc_id, held_out, score, predicted of every row."""
     out = tag(docs, model)
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def score_rows(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+    """All columns of every row, and score."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for rb in slices(batches, text):
+            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(model.score(*utf8(rb.column(at))))], [*rb.schema.names, "score"])
+
+    return docs.mapInArrow(run, schema)
