@@ -1,0 +1,38 @@
+from pyspark.sql import functions as F
+
+from trainlake.functions import safety
+from trainlake.operators import curate, mix, rag
+from trainlake.sources.jsonl import latest_per_prefix, read_turns
+
+
+def test_quota_uses_floats():
+    assert [mix.quota(n, 100, r, None) for n, r in ((4, 0.5), (9, 0.9), (90, 0.9), (77, 0.9), (100, 0.75))] == [4, 0, 9, 8, 33]
+    assert mix.quota(0, 7, 0.9, 0) == 0 and mix.quota(0, 7, 0.9, None) == 7 and mix.quota(5, 7, 1.0, None) == 0
+
+
+def test_windows_cover_and_overlap(spark):
+    m = [("user" if i % 2 == 0 else "assistant", "x" * 60) for i in range(35)]
+    rows = spark.createDataFrame([(1, m)], "session_id int, messages array<struct<role:string,content:string>>")
+    got = curate.windows(rows, ["session_id"]).orderBy("chunk_index").collect()
+    assert [len(r.messages) for r in got] == [24, 15] and got[0].chunk_count == 2
+
+
+def test_jsonl_lines(spark, tmp_path):
+    p = tmp_path / "a-2024-01-01.jsonl"
+    p.write_text('{"role":"user","text":"hi"}\n\nnot json\n[1]\n{"role":"assistant","text":"yo"}\n')
+    got = read_turns(spark, str(p)).orderBy("_line_no").collect()
+    assert [(r._line_no, r.text, r._parse_error) for r in got] == [(1, "hi", None), (3, None, "not json"), (5, "yo", None)]
+    assert latest_per_prefix(["x-2024-01-01.jsonl", "x-2024-02-01.jsonl", "y.jsonl"]) == ["x-2024-02-01.jsonl", "y.jsonl"]
+
+
+def test_findings_and_severity(spark):
+    text = "key " + "AKIA" + "ABCDEFGHIJKLMNOP" + " and token = " + '"' + "a" * 20 + '"'
+    r = spark.createDataFrame([(text,)], "t string").select(safety.findings(F.col("t")).alias("f"), safety.block_count(F.col("t")).alias("b"), safety.warn_count(F.col("t")).alias("w")).first()
+    assert [f.kind for f in r.f] == ["aws_access_key", "generic_assignment"] and (r.b, r.w) == (1, 1)
+
+
+def test_chunks_and_recommended(spark):
+    docs = spark.createDataFrame([(1, "ab" * 300), (2, " "), (3, "x")], "doc_id long, text string")
+    got = rag.chunks(docs).orderBy("doc_id", "start").collect()
+    assert [(r.doc_id, r.start, len(r.chunk)) for r in got] == [(1, 0, 512), (1, 462, 138), (3, 0, 1)]
+    assert mix.recommended(1000) == 1280 and mix.recommended(10) == 512

@@ -1,0 +1,65 @@
+"""Safety rules as Column expressions: secret shapes, personal data, severity, allow-list, quarantine."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# public shapes of secrets: kind, pattern, blocks by itself
+SECRETS = [
+    ("aws_access_key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b", True),
+    ("github_token", r"\bgh[pousr]_[A-Za-z0-9]{36,}\b", True),
+    ("huggingface_token", r"\bhf_[A-Za-z0-9]{30,}\b", True),
+    ("slack_token", r"\bxox[abprs]-[A-Za-z0-9-]{10,}\b", True),
+    ("npm_token", r"\bnpm_[A-Za-z0-9]{36}\b", True),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", True),
+    ("generic_assignment", r"(?:api_key|secret|token) ?[=:] ?\"[A-Za-z0-9_-]{16,}\"", False),
+]
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z]"
+IPV4 = r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b"
+CARD = r"\b[0-9]{16}\b"
+
+
+def count_of(text: Column, pattern: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)).cast("long")
+
+
+def findings(text: Column) -> Column:
+    """array of struct(kind, detail) of all matches, in order of kinds."""
+    def of(kind: str, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(F.lit(kind).alias("kind"), F.left(m, F.lit(80)).alias("detail")))
+
+    each = [of(k, p) for k, p, _ in SECRETS]
+    return F.coalesce(F.concat(*each), F.array().cast("array<struct<kind:string,detail:string>>"))
+
+
+def severity(kind: Column) -> Column:
+    """F9 for regex kinds."""
+    return F.when(kind.isin(*[k for k, _, b in SECRETS if b]), "block").otherwise("warn")
+
+
+def block_count(text: Column) -> Column:
+    return reduce(lambda a, b: a + b, [count_of(text, p) for _, p, b in SECRETS if b])
+
+
+def warn_count(text: Column) -> Column:
+    return reduce(lambda a, b: a + b, [count_of(text, p) for _, p, b in SECRETS if not b])
+
+
+def max_severity(block: Column, warn: Column) -> Column:
+    """X4."""
+    return F.when(block > 0, "block").when(warn > 0, "warn").otherwise("none")
+
+
+def should_quarantine(block: Column, warn: Column, mode: str = "block") -> Column:
+    """F11."""
+    return (block + warn > 0) if mode == "warn" else block > 0
+
+
+def luhn_ok(digits: Column) -> Column:
+    """Checksum of a 16-digit card number."""
+    n = F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: F.substring(digits, i, F.lit(1)).cast("int") * F.when(i % 2 == 1, 2).otherwise(1))
+    total = F.aggregate(F.transform(n, lambda x: F.when(x > 9, x - 9).otherwise(x)), F.lit(0), lambda a, x: a + x)
+    return total % 10 == 0

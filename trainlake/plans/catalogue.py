@@ -1,6 +1,276 @@
-"""Queries of the catalogue and their SQL oracles."""
+"""Queries of the catalogue over the test tables, each with its SQL oracle.
+
+The columns that the test tables lack (harness, data_source, …) are derived by the same fixed rules on both sides.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import safety, text
+from ..operators import curate, mix, rag
+from ..streaming import harvest
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+
+
+def register(sql: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def read(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def turns(spark: SparkSession, d: str) -> DataFrame:
+    c = read(spark, d, "conversations")
+    return c.select(F.col("conv_id").alias("session_id"), F.col("turn").alias("line_no"), F.lit("conversations").alias("source_path"), "role", "text")
+
+
+def curated(spark: SparkSession, d: str) -> DataFrame:
+    """One row a conversation with the derived columns."""
+    c = read(spark, d, "conversations").groupBy("conv_id").agg(F.count("*").alias("message_count"), F.sum(F.length("text")).alias("chars"))
+    public = F.col("conv_id") % 3 == 0
+    return c.select(
+        "conv_id", "message_count", "chars", F.concat(F.lit("h"), F.col("conv_id") % 5).alias("harness"),
+        F.when(public, "public").otherwise("personal").alias("data_source"), F.when(public, F.concat(F.lit("ds"), F.col("conv_id") % 4)).alias("public_dataset"),
+        text.curated_id(F.lit("conv"), F.col("conv_id")).alias("curated_id"), (F.col("conv_id") % 3).cast("int").alias("train_tier"),
+    )
+
+
+CURATED = """cur AS (SELECT conv_id, count(*) AS message_count, CAST(sum(length(text)) AS BIGINT) AS chars, 'h' || (conv_id % 5) AS harness,
+  CASE WHEN conv_id % 3 = 0 THEN 'public' ELSE 'personal' END AS data_source, CASE WHEN conv_id % 3 = 0 THEN 'ds' || (conv_id % 4) END AS public_dataset,
+  left(sha256('conv:' || conv_id), 32) AS curated_id, CAST(conv_id % 3 AS INTEGER) AS train_tier FROM conversations GROUP BY conv_id)"""
+ROLE = "CASE lower(role) WHEN 'user' THEN 'user' WHEN 'human' THEN 'user' WHEN 'assistant' THEN 'assistant' WHEN 'gpt' THEN 'assistant' WHEN 'model' THEN 'assistant' END"
+TURNS = f"t AS (SELECT conv_id AS session_id, turn AS line_no, {ROLE} AS role, text FROM conversations), f AS (SELECT * FROM t WHERE role IS NOT NULL AND length(trim(text)) >= 8)"
+
+
+@register(f"SELECT conv_id, turn, {ROLE} AS mapped FROM conversations")
+def turns_role_map(spark, d):
+    return read(spark, d, "conversations").select("conv_id", "turn", text.map_role(F.col("role")).alias("mapped"))
+
+
+@register(f"WITH t AS (SELECT {ROLE} AS mapped FROM conversations) SELECT mapped, count(*) AS n FROM t GROUP BY 1")
+def role_counts(spark, d):
+    return turns_role_map(spark, d).groupBy("mapped").agg(F.count("*").alias("n"))
+
+
+@register("SELECT DISTINCT conv_id AS session_id, turn AS line_no, role, left(text, 200) AS head FROM conversations")
+def turns_dedup(spark, d):
+    t = turns(spark, d)
+    return curate.dedup_turns(t.unionByName(t), ["session_id"], ["line_no"]).select("session_id", "line_no", "role", F.left("text", F.lit(200)).alias("head"))
+
+
+@register(f"WITH {TURNS} SELECT session_id, line_no, role, CASE WHEN length(text) > 300 THEN left(text, 300) || chr(10) || '[truncated]' ELSE text END AS text FROM f")
+def turns_truncated(spark, d):
+    return curate.filter_turns(turns(spark, d), least=8, cap=300).select("session_id", "line_no", "role", "text")
+
+
+def _sessions(spark, d):
+    return curate.sessions(curate.filter_turns(turns(spark, d), least=8), ["session_id"], ["line_no"])
+
+
+@register(f"WITH {TURNS} SELECT session_id, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars, count(*) >= 2 AND bool_or(role = 'user') AND bool_or(role = 'assistant') AND sum(length(text)) >= 200 AS ok FROM f GROUP BY 1")
+def session_quality(spark, d):
+    total = F.aggregate("messages", F.lit(0).cast("long"), lambda a, x: a + F.length(x.content))
+    return _sessions(spark, d).select("session_id", F.size("messages").cast("long").alias("n"), total.alias("chars"), curate.quality_ok(F.col("messages")).alias("ok"))
+
+
+WINDOWS = f"""WITH {TURNS}, o AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY line_no) - 1 AS i, count(*) OVER (PARTITION BY session_id) AS n FROM f),
+s AS (SELECT DISTINCT session_id, n, unnest(CASE WHEN n <= 4 THEN [0] ELSE range(0, CAST(ceil((n - 4) / 3.0) AS BIGINT) * 3 + 1, 3) END) AS start FROM o),
+w AS (SELECT s.session_id, s.start, count(*) AS messages, CAST(sum(length(o.text)) AS BIGINT) AS chars, bool_or(role = 'user') AND bool_or(role = 'assistant') AS pair
+  FROM s JOIN o ON o.session_id = s.session_id AND o.i >= s.start AND o.i < s.start + 4 GROUP BY 1, 2),
+k AS (SELECT * FROM w WHERE messages >= 2 AND chars >= 200 AND pair)
+SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY start) - 1 AS chunk_index, count(*) OVER (PARTITION BY session_id) AS chunk_count, messages, chars FROM k"""
+
+
+@register(WINDOWS)
+def session_windows(spark, d):
+    w = curate.windows(_sessions(spark, d), ["session_id"], most=4, overlap=1)
+    chars = F.aggregate("messages", F.lit(0).cast("long"), lambda a, x: a + F.length(x.content))
+    return w.select("session_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.col("chunk_count").cast("long").alias("chunk_count"), F.size("messages").cast("long").alias("messages"), chars.alias("chars"))
+
+
+@register("""SELECT tier AS train_tier, count(*) AS n FROM (SELECT CASE WHEN toxic = 1 OR quality = 0 THEN 0 WHEN d.doc_id % 4 = 0 OR d.doc_id % 5 = 0 THEN 1 ELSE 2 END AS tier FROM documents d JOIN labels l USING (doc_id)) GROUP BY 1""")
+def curated_tiers(spark, d):
+    rows = read(spark, d, "documents").select("doc_id").join(read(spark, d, "labels"), "doc_id")
+    label = F.when(F.col("quality") == 1, "accepted").otherwise("rejected")
+    run = F.when(F.col("doc_id") % 4 == 0, "pass").otherwise("fail")
+    verify = F.when(F.col("doc_id") % 5 == 0, "pass").otherwise("none")
+    return rows.withColumn("train_tier", curate.tier(F.col("toxic") == 0, label, run, verify)).groupBy("train_tier").agg(F.count("*").alias("n"))
+
+
+@register("""SELECT conv_id, turn, array_to_string(list_filter([CASE WHEN regexp_matches(text, '(?i)\\b(error|bug|fix|traceback)\\b') THEN 'debugging' END, CASE WHEN regexp_matches(text, '(?i)\\b(test|pytest|assert)\\b') THEN 'testing' END,
+CASE WHEN regexp_matches(text, '(?i)\\b(refactor|rename|clean)\\b') THEN 'refactor' END, CASE WHEN regexp_matches(text, '(?i)\\b(document|readme|comment)\\b') THEN 'docs' END, CASE WHEN contains(text, '?') THEN 'question' END, CASE WHEN contains(text, chr(10)) THEN 'listing' END], lambda x: x IS NOT NULL), ',') AS tags,
+CASE WHEN regexp_matches(text, '(?i)\\b(asap|urgent|now)\\b') THEN 'urgent' WHEN regexp_matches(text, '(?i)\\b(please|thanks|with)\\b') THEN 'collaborative' ELSE 'neutral' END AS tone FROM conversations""".replace("\\\\", "\\"))
+def style_and_tone(spark, d):
+    return read(spark, d, "conversations").select("conv_id", "turn", F.array_join(text.style_tags(F.col("text")), ",").alias("tags"), text.tone(F.col("text")).alias("tone"))
+
+
+@register("""WITH p AS (SELECT doc_id, list_transform(range(1, len(x) + 1), lambda i: (CASE WHEN i % 2 = 1 THEN '+' ELSE '-' END) || x[i]) AS x FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents))
+SELECT doc_id, md5(array_to_string(list_transform(list_filter(x, lambda y: NOT (starts_with(y, '-') OR starts_with(y, '+++') OR starts_with(y, '@@'))), lambda y: CASE WHEN starts_with(y, '+') THEN substr(y, 2) ELSE y END), chr(10))) AS digest FROM p""")
+def diff_added_lines(spark, d):
+    sign = F.transform(F.split("text", "\n"), lambda x, i: F.concat(F.when(i % 2 == 0, "+").otherwise("-"), x))
+    return read(spark, d, "documents").withColumn("diff", F.array_join(sign, "\n")).select("doc_id", F.md5(text.added_lines(F.col("diff"))).alias("digest"))
+
+
+GENERIC = '(?:api_key|secret|token) ?[=:] ?"[A-Za-z0-9_-]{16,}"'
+
+
+@register(f"SELECT doc_id, CAST(len(regexp_extract_all(text, '{GENERIC}')) AS BIGINT) AS warn, CASE WHEN len(regexp_extract_all(text, '{GENERIC}')) > 0 THEN 'warn' ELSE 'none' END AS severity FROM documents")
+def secret_counts(spark, d):
+    t = read(spark, d, "documents").select("doc_id", safety.block_count(F.col("text")).alias("block"), safety.warn_count(F.col("text")).alias("warn"))
+    return t.select("doc_id", "warn", safety.max_severity(F.col("block"), F.col("warn")).alias("severity"))
+
+
+@register(f"SELECT 'generic_assignment' AS kind, count(*) AS n, count(DISTINCT m) AS details FROM (SELECT left(unnest(regexp_extract_all(text, '{GENERIC}')), 80) AS m FROM documents) GROUP BY 1")
+def secret_kinds(spark, d):
+    found = read(spark, d, "documents").select(F.explode(safety.findings(F.col("text"))).alias("f"))
+    return found.groupBy(F.col("f.kind").alias("kind")).agg(F.count("*").alias("n"), F.countDistinct("f.detail").alias("details"))
+
+
+@register(f"WITH bad AS (SELECT DISTINCT source FROM documents WHERE regexp_matches(text, '{GENERIC}')) SELECT source, count(*) AS n FROM documents WHERE source NOT IN (SELECT source FROM bad) GROUP BY 1")
+def clean_sessions(spark, d):
+    docs = read(spark, d, "documents")
+    bad = docs.where(safety.should_quarantine(safety.block_count(F.col("text")), safety.warn_count(F.col("text")), "warn")).select("source").distinct()
+    return docs.select("source").join(bad, "source", "left_anti").groupBy("source").agg(F.count("*").alias("n"))
+
+
+@register(f"""WITH x AS (SELECT coalesce(lang, 'all') AS label, regexp_matches(text, '{GENERIC}') AS p, toxic = 1 AS y FROM documents JOIN labels USING (doc_id)),
+g AS (SELECT CASE WHEN grouping(label) = 1 THEN 'overall' ELSE label END AS label, count(*) FILTER (p AND y) AS tp, count(*) FILTER (p AND NOT y) AS fp, count(*) FILTER (NOT p AND y) AS fn, count(*) FILTER (NOT p AND NOT y) AS tn FROM x GROUP BY GROUPING SETS ((), (label)))
+SELECT *, coalesce(tp / nullif(tp + fp, 0), 0.0) AS prec, coalesce(tp / nullif(tp + fn, 0), 0.0) AS recall FROM g""")
+def safety_metrics(spark, d):
+    x = read(spark, d, "documents").join(read(spark, d, "labels"), "doc_id").select("lang", (safety.warn_count(F.col("text")) > 0).alias("p"), (F.col("toxic") == 1).alias("y"))
+    counts = [F.count_if(F.expr(e)).alias(n) for n, e in (("tp", "p and y"), ("fp", "p and not y"), ("fn", "not p and y"), ("tn", "not p and not y"))]
+    g = x.groupingSets([[], [F.col("lang")]], F.col("lang")).agg(F.grouping("lang").alias("all"), *counts)
+    ratio = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(a) + F.col(b)), F.lit(0.0))
+    return g.select(F.when(F.col("all") == 1, "overall").otherwise(F.col("lang")).alias("label"), "tp", "fp", "fn", "tn", ratio("tp", "fp").alias("prec"), ratio("tp", "fn").alias("recall"))
+
+
+@register(f"""SELECT doc_id, CAST(len(regexp_extract_all(text, '{safety.EMAIL}')) AS BIGINT) AS emails, CAST(len(regexp_extract_all(text, '{safety.IPV4}')) AS BIGINT) AS addresses,
+CAST(len(list_filter(regexp_extract_all(text, '{safety.CARD}'), lambda c: list_sum(list_transform(range(1, 17), lambda i: CASE WHEN i % 2 = 1 THEN CASE WHEN CAST(c[i] AS INTEGER) * 2 > 9 THEN CAST(c[i] AS INTEGER) * 2 - 9 ELSE CAST(c[i] AS INTEGER) * 2 END ELSE CAST(c[i] AS INTEGER) END)) % 10 = 0)) AS BIGINT) AS cards FROM documents""")
+def personal_data(spark, d):
+    cards = F.filter(F.regexp_extract_all("text", F.lit(safety.CARD), F.lit(0)), safety.luhn_ok)
+    return read(spark, d, "documents").select("doc_id", safety.count_of(F.col("text"), safety.EMAIL).alias("emails"), safety.count_of(F.col("text"), safety.IPV4).alias("addresses"), F.size(cards).cast("long").alias("cards"))
+
+
+@register(r"SELECT doc_id, md5(regexp_replace(regexp_replace(text, '\bghp_[A-Za-z0-9]{36}\b', '[TOKEN]', 'g'), '\b[0-9a-f]{40}\b', '[HEX40]', 'g')) AS digest FROM documents")
+def redacted_docs(spark, d):
+    return read(spark, d, "documents").select("doc_id", F.md5(text.redact(F.col("text"))).alias("digest"))
+
+
+@register(f"WITH {CURATED} SELECT train_tier, count(*) AS n FROM cur GROUP BY 1")
+def overview_by_tier(spark, d):
+    return curated(spark, d).groupBy("train_tier").agg(F.count("*").alias("n"))
+
+
+@register(f"WITH {CURATED} SELECT harness, count(*) AS n FROM cur GROUP BY 1 ORDER BY n DESC, harness LIMIT 3")
+def top_harness(spark, d):
+    return curated(spark, d).groupBy("harness").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "harness").limit(3)
+
+
+@register(f"WITH {CURATED} SELECT public_dataset, count(*) AS n FROM cur WHERE data_source = 'public' GROUP BY 1 ORDER BY n DESC, 1 LIMIT 15")
+def top_public_dataset(spark, d):
+    return curated(spark, d).where("data_source = 'public'").groupBy("public_dataset").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "public_dataset").limit(15)
+
+
+@register(f"WITH {CURATED} SELECT data_source, count(*) AS n, sum(chars)::BIGINT AS chars FROM cur GROUP BY 1")
+def by_data_source(spark, d):
+    return curated(spark, d).groupBy("data_source").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+
+
+@register(f"WITH {CURATED}, e AS (SELECT event_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_at FROM events) SELECT event_id, created_at, curated_id FROM e LEFT JOIN cur ON cur.conv_id = e.user_id ORDER BY created_at DESC, event_id LIMIT 50")
+def quarantine_list(spark, d):
+    e = read(spark, d, "events").select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
+    c = curated(spark, d).select("conv_id", "curated_id")
+    return e.join(c, e.user_id == c.conv_id, "left").select("event_id", "created_at", "curated_id").orderBy(F.desc("created_at"), "event_id").limit(50)
+
+
+@register("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def latest_per_key(spark, d):
+    return mix.latest(read(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "value")
+
+
+MIX = f"""WITH {CURATED}, q AS (SELECT CAST(floor(CAST(count(*) FILTER (data_source = 'personal') AS DOUBLE) * (1 - 0.75::DOUBLE) / 0.75::DOUBLE) AS BIGINT) AS n FROM cur),
+p AS (SELECT *, row_number() OVER (PARTITION BY data_source ORDER BY harness, curated_id) AS r FROM cur), k AS (SELECT p.* FROM p, q WHERE data_source = 'personal' OR r <= q.n)
+SELECT curated_id, data_source, CAST(row_number() OVER (ORDER BY CASE WHEN data_source = 'personal' THEN 0 ELSE 1 END, harness, curated_id) - 1 AS BIGINT) AS sort_order, CASE WHEN data_source = 'personal' THEN 1.0::DOUBLE ELSE 0.25::DOUBLE END AS sample_weight FROM k"""
+
+
+@register(MIX)
+def mix_manifest(spark, d):
+    return mix.mix(curated(spark, d), ratio=0.75).select("curated_id", "data_source", F.col("sort_order").cast("long").alias("sort_order"), "sample_weight")
+
+
+@register("SELECT harness, count(*) AS n, sum(chars)::BIGINT AS chars FROM (" + f"WITH {CURATED} SELECT * FROM cur WHERE train_tier > 0" + ") GROUP BY 1")
+def curated_index(spark, d):
+    return curated(spark, d).where("train_tier > 0").groupBy("harness").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+
+
+@register("SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('s' || doc_id), doc_id) AS r FROM documents) WHERE r <= 5")
+def audit_stratified(spark, d):
+    return mix.stratified(read(spark, d, "documents").select("doc_id", "source"), "source", "doc_id", 5).select("doc_id", "source")
+
+
+@register("""WITH n AS (SELECT lang, len(regexp_extract_all(text, '[^ \\n]+')) AS n FROM documents)
+SELECT lang, count(*) AS docs, quantile_disc(n, 0.5)::BIGINT AS p50, quantile_disc(n, 0.95)::BIGINT AS p95, max(n)::BIGINT AS longest FROM n GROUP BY 1""")
+def length_percentiles(spark, d):
+    n = read(spark, d, "documents").select("lang", F.regexp_count("text", F.lit("[^ \n]+")).cast("long").alias("n"))
+    return n.groupBy("lang").agg(F.count("*").alias("docs"), F.expr("percentile_disc(0.5) within group (order by n)").cast("long").alias("p50"), F.expr("percentile_disc(0.95) within group (order by n)").cast("long").alias("p95"), F.max("n").alias("longest"))
+
+
+@register("""SELECT c_custkey, n, array_to_string(ids, ',') AS last5 FROM (SELECT c_custkey, count(o_orderkey) AS n, list(o_orderkey ORDER BY r DESC) FILTER (r <= 5) AS ids FROM customer LEFT JOIN
+(SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) o ON c_custkey = o_custkey GROUP BY 1)""")
+def repo_last5_link(spark, d):
+    o = read(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey"))).alias("x"))
+    last = F.transform(F.slice("x", F.greatest(F.size("x") - 4, F.lit(1)), 5), lambda s: s.o_orderkey)
+    c = read(spark, d, "customer").select("c_custkey").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return c.select("c_custkey", F.coalesce("n", F.lit(0)).alias("n"), F.array_join(last, ",").alias("last5"))
+
+
+@register("""WITH t AS (SELECT doc_id, trim(left(text, 200000), ' ') AS t FROM documents), s AS (SELECT doc_id, t, unnest(CASE WHEN length(t) <= 512 THEN [0] ELSE range(0, length(t), 462) END) AS start FROM t WHERE t <> '')
+SELECT doc_id, CAST(start AS INTEGER) AS start, md5(c) AS digest FROM (SELECT doc_id, start, trim(substr(t, start + 1, 512), ' ') AS c FROM s) WHERE c <> ''""")
+def chunk_docs(spark, d):
+    return rag.chunks(read(spark, d, "documents")).select("doc_id", F.col("start").cast("int").alias("start"), F.md5("chunk").alias("digest"))
+
+
+@register("""WITH q AS (SELECT embedding AS q FROM embeddings ORDER BY vec_id LIMIT 1),
+x AS (SELECT vec_id, label, round(1 - list_dot_product(embedding::DOUBLE[], q::DOUBLE[]) / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) * list_dot_product(q::DOUBLE[], q::DOUBLE[])), 6) + 0.0 AS distance FROM embeddings, q)
+SELECT vec_id, label, abs(distance) AS distance FROM x ORDER BY distance, vec_id LIMIT 8""")
+def vector_topk(spark, d):
+    v = read(spark, d, "embeddings")
+    first = v.orderBy("vec_id").limit(1).collect()[0].embedding  # the query vector
+    return rag.nearest(v, first, 8).select("vec_id", "label", F.abs(F.round("distance", 6)).alias("distance"))
+
+
+@register("SELECT page_id FROM pages WHERE page_id % 2 = 1 OR page_id % 10 = 0")
+def harvest_anti_state(spark, d):
+    hits = read(spark, d, "pages").select("page_id", F.col("page_id").cast("string").alias("key"), F.md5("html").alias("sha"))
+    state = hits.where("page_id % 2 = 0").withColumn("sha", F.when(F.col("page_id") % 10 == 0, "old").otherwise(F.col("sha")))
+    return harvest.fresh(hits, state).select("page_id")
+
+
+@register("""SELECT harness, data_source, n FROM (WITH """ + CURATED + """ SELECT coalesce(harness, '*') AS harness, coalesce(data_source, '*') AS data_source, count(*) AS n FROM cur GROUP BY GROUPING SETS ((), (harness), (data_source)))""")
+def lake_stats_sets(spark, d):
+    c = curated(spark, d)
+    g = c.groupingSets([[], [c.harness], [c.data_source]], c.harness, c.data_source).agg(F.count("*").alias("n"))
+    return g.select(F.coalesce("harness", F.lit("*")).alias("harness"), F.coalesce("data_source", F.lit("*")).alias("data_source"), "n")
+
+
+@register("""SELECT page_id, CASE WHEN contains(url, '?') THEN 'query' WHEN regexp_matches(url, '\\.html$') THEN 'html' ELSE 'plain' END AS kind FROM pages WHERE regexp_matches(url, '/(en|de)/') AND NOT contains(url, '#')""".replace("\\\\", "\\"))
+def path_accept(spark, d):
+    p = read(spark, d, "pages").where(F.col("url").rlike("/(en|de)/") & ~F.col("url").contains("#"))
+    return p.select("page_id", F.when(F.col("url").contains("?"), "query").when(F.col("url").rlike(r"\.html$"), "html").otherwise("plain").alias("kind"))
+
+
+@register("SELECT bool_and(length(text) > 0) AS all_real, count(*) AS tasks, count(*) FILTER (length(text) < 20) AS placeholders FROM benchmark")
+def suite_verdict(spark, d):
+    b = read(spark, d, "benchmark")
+    return b.agg(F.bool_and(F.length("text") > 0).alias("all_real"), F.count("*").alias("tasks"), F.count_if(F.length("text") < 20).alias("placeholders"))
