@@ -2,9 +2,10 @@
 
 Lines of at least `shortest` characters take part. Each distinct line gets a MinHash signature of its character
 shingles (the line itself if it is shorter than one), cut into bands; equal band keys make candidate groups; groups with
-equal members are taken once. Within a group links are verified by exact Jaccard of the shingle sets while a spanning
-forest is grown: a line is compared only with lines not yet reached, so a large group of similar lines costs few
-comparisons and gives linear output. Distributed union-find joins the groups; the first occurrence (smallest document,
+equal members are taken once. Links are verified by exact Jaccard of the shingle sets: first between each group's centre (the member
+found in most groups) and the others (the same pairs mostly come from many bands and are checked once), then, only in groups that still hold more
+than one component, between members of different components. So a large group of similar lines costs few comparisons and
+output is linear. Distributed union-find joins the links; the first occurrence (smallest document,
 then line) of each component stays.
 
 Copies of a line are one node from the start (their occurrences are counted with partial sums), so a very frequent line
@@ -18,27 +19,30 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import code_points, cut, shuffle_partitions, slices, utf8
+from .common import code_points, cut, release, shuffle_partitions, slices, utf8
 from .components import Forest, components
 from .pretokens import Hasher
 
-SHINGLE, BANDS, ROWS, SIMILARITY, SHORTEST = 5, 14, 4, 0.8, 20
+SHINGLE, BANDS, ROWS, SIMILARITY, SHORTEST = 5, 16, 5, 0.8, 20
+#: Bits of the filter that keeps lines without a candidate out of the text shuffle; its size is fixed.
+FILTER_BITS = 1 << 22
 
 
 def _multipliers(n: int) -> np.ndarray:
     return np.random.default_rng(20_240_601).integers(1, 2**32, size=(n, 2), dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
-def band_keys(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int, bands: int, rows: int) -> np.ndarray:
+def band_keys(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int, bands: int, rows: int, hasher: Hasher) -> np.ndarray:
     """(lines, bands) keys from the MinHash signatures of lines cps[begin:begin+size]."""
     count = np.maximum(size - shingle + 1, 1)
     base = np.cumsum(count) - count
     owner = np.repeat(np.arange(len(size)), count)
     at = begin[owner] + np.arange(int(count.sum())) - base[owner]
-    h = (Hasher()(cps, at, np.minimum(shingle, size[owner])) >> np.uint64(32)).astype(np.uint32)
+    h = (hasher(cps, at, np.minimum(shingle, size[owner])) >> np.uint64(32)).astype(np.uint32)
     out = np.zeros((len(size), bands), np.uint64)
     for k, (a, b) in enumerate(_multipliers(bands * rows)):
         x = h * a
@@ -65,100 +69,172 @@ def _groups(keyed: DataFrame) -> DataFrame:
     """(g, h): members of band-key groups of two or more distinct lines; g depends on the members only."""
     rows = keyed.repartition(shuffle_partitions(keyed.sparkSession), "key").sortWithinPartitions("key", "h")
 
-    def run(batches):
-        last, held = None, []
-
-        def close():
-            values = np.unique(np.concatenate(held)) if held else np.zeros(0, np.int64)
-            if len(values) > 1:
-                u = values.view(np.uint64)
-                g = np.bitwise_xor.reduce((u ^ (u >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)) + np.uint64(len(u))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), g).view(np.int64)), pa.array(values)], ["g", "h"])
+    def groups(key: np.ndarray, h: np.ndarray):
+        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (h[1:] != h[:-1])])
+        key, h = key[fresh], h[fresh]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(first, len(key)))
+        many = np.repeat(size > 1, size)
+        key, h = key[many], h[many]
+        if not len(key):
+            return None
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(first, len(key)))
+        u = h.view(np.uint64)
+        g = np.bitwise_xor.reduceat((u ^ (u >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9), first) + size.astype(np.uint64)
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(g, size).view(np.int64)), pa.array(h)], ["g", "h"])
 
+    def run(batches):
+        key, h = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for rb in batches:
-            key, h = np.asarray(rb.column(0)), np.asarray(rb.column(1))
-            if not len(key):
-                continue
-            first = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
-            end = np.append(first[1:], len(key))
-            differs = h[end - 1] != h[first]  # sorted by h within a key
-            busy = differs | (first == 0) | (end == len(key))
-            for a, b in zip(first[busy].tolist(), end[busy].tolist()):
-                if key[a] != last:
-                    yield from close()
-                    held, last = [], key[a]
-                held.append(h[a:b])
-        yield from close()
+            key, h = np.concatenate([key, np.asarray(rb.column(0))]), np.concatenate([h, np.asarray(rb.column(1))])
+            done = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last group may go on
+            if done:
+                if (out := groups(key[:done], h[:done])) is not None:
+                    yield out
+                key, h = key[done:], h[done:]
+        if len(key) and (out := groups(key, h)) is not None:
+            yield out
 
     return rows.mapInArrow(run, "g long, h long")
 
 
-def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY, shortest: int = SHORTEST) -> DataFrame:
-    """Verified links (u, v) between distinct lines (by hash), a spanning forest of each candidate group."""
-    inner = docs.select(docs[text].cast("string").alias("t"))
+def similar(a: frozenset, b: frozenset, least: float) -> bool:
+    small, large = (len(a), len(b)) if len(a) < len(b) else (len(b), len(a))
+    return small >= least * large and (both := len(a & b)) >= least * (len(a) + len(b) - both)
 
-    def keys(batches):
-        import xxhash
 
-        for rb in slices(batches, "t", 1 << 19):
-            data, offsets = utf8(rb.column(0))
-            string, cps, at = code_points(data, offsets)
-            mark = np.zeros(len(cps) + 1, bool)
-            mark[at] = True
-            mark[:-1] |= cps == 10
-            edge = np.flatnonzero(mark)
-            begin = np.where((edge < len(cps)) & ~np.isin(edge, at), edge + 1, edge)
-            begin = np.where((edge < len(cps)) & (np.append(cps, 0)[np.minimum(edge, len(cps))] == 10), edge + 1, edge)
-            # a text may start with a newline: its first line is empty and never long enough
-            end = np.append(edge[1:], len(cps))
-            size = end - begin
-            ok = size >= shortest
-            begin, size = begin[ok], size[ok]
-            if not len(size):
-                continue
-            h = np.array([xxhash.xxh64_intdigest(string[a : a + n].encode(), 42) for a, n in zip(begin.tolist(), size.tolist())], np.uint64)
-            _, one = np.unique(h, return_index=True)
-            begin, size, h = begin[one], size[one], h[one].view(np.int64)
-            k = band_keys(cps, begin, size, shingle, bands, rows)
-            yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(np.repeat(h, bands))], ["key", "h"])
-
-    grouped = cut(_groups(inner.mapInArrow(keys, "key long, h long")).distinct())
-    wanted = grouped.select("h").distinct()
-    lines = lines_of(docs, text, doc_id, shortest).groupBy("h").agg(F.first("line").alias("line"))
-    full = grouped.join(lines.join(wanted, "h", "left_semi"), "h").select("g", "h", "line")
-    full = full.repartition(shuffle_partitions(docs.sparkSession), "g").sortWithinPartitions("g", "h")
-
-    def verify(batches):
+def _stars(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(u, v, ok) of pairs (c, h): whether the lines are similar. A centre's text comes before its members' in one sorted run."""
+    own = pairs.select("c").distinct().join(texts, F.col("c") == F.col("h")).select("c", F.lit(None).cast("long").alias("h"), "line")
+    rest = pairs.join(texts, "h").select("c", "h", "line")
+    rows = own.unionByName(rest).repartition(shuffle_partitions(pairs.sparkSession), "c").sortWithinPartitions("c", F.col("h").asc_nulls_first())
+
+    def run(batches):
+        centre, parts = None, frozenset()
+        for rb in batches:
+            u, v, ok = [], [], []
+            for c, h, line in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), rb.column(2).to_pylist()):
+                if h is None:
+                    centre, parts = c, shingles(line, shingle)
+                elif c == centre:
+                    u.append(h)
+                    v.append(c)
+                    ok.append(similar(parts, shingles(line, shingle), least))
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(ok, pa.bool_())], ["u", "v", "ok"])
+
+    return rows.mapInArrow(run, "u long, v long, ok boolean")
+
+
+def _forests(rows: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(u, v) links between the known components (column k) of each group g of lines."""
+    rows = rows.repartition(shuffle_partitions(rows.sparkSession), "g").sortWithinPartitions("g", "h")
+
+    def run(batches):
         forest, last, held = Forest(), None, {}
 
         def close():
-            rest = [(h, shingles(t, shingle)) for h, t in held.items()]
-            rest.sort(key=lambda x: len(x[1]))
+            sets = {k: [shingles(t, shingle) for t in own] for k, own in held.items()}
+            rest = sorted(sets)
             while len(rest) > 1:
                 queue, rest = [rest[0]], rest[1:]
                 while queue and rest:
-                    u, a = queue.pop()
-                    stay = []
-                    for v, b in rest:
-                        small, large = (len(a), len(b)) if len(a) < len(b) else (len(b), len(a))
-                        if small >= similarity * large and (both := len(a & b)) >= similarity * (len(a) + len(b) - both):
-                            forest.join(u, v)
-                            queue.append((v, b))
-                        else:
-                            stay.append((v, b))
-                    rest = stay
+                    u = queue.pop()
+                    new = [v for v in rest if any(similar(a, b, least) for a in sets[u] for b in sets[v])]
+                    for v in new:
+                        forest.join(u, v)
+                    queue.extend(new)
+                    rest = [v for v in rest if v not in set(new)]
 
         for rb in batches:
-            for g, h, line in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), rb.column(2).to_pylist()):
+            for g, k, line in zip(rb.column(0).to_pylist(), rb.column(2).to_pylist(), rb.column(3).to_pylist()):
                 if g != last:
                     close()
                     held, last = {}, g
-                held[h] = line
+                held.setdefault(k, []).append(line)
         close()
         out = np.array(forest.links() or np.zeros((0, 2)), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
 
-    return full.mapInArrow(verify, "u long, v long")
+    return rows.select("g", "h", "k", "line").mapInArrow(run, "u long, v long")
+
+
+def distinct_lines(texts: pa.Array, shortest: int):
+    """(string, its code points, start and length of each distinct line of at least `shortest` characters, XXH64 of each)."""
+    data, offsets = utf8(texts)
+    string, cps, at = code_points(data, offsets)
+    # each text has a line from its start, and one after each of its newlines
+    newline = np.flatnonzero(cps == 10)
+    begin = np.concatenate([at[:-1], newline + 1])
+    nth = np.concatenate([np.arange(len(at) - 1), np.searchsorted(at, newline, "right") - 1])
+    order = np.lexsort((begin, nth))
+    begin, nth = begin[order], nth[order]
+    end = np.append(begin[1:] - 1, 0)
+    last = np.append(nth[1:] != nth[:-1], True) if len(nth) else np.zeros(0, bool)
+    end[last] = at[1:][nth[last]]
+    size = end - begin
+    begin, size = begin[size >= shortest], size[size >= shortest]
+    digest = xxhash.xxh64_intdigest
+    h = np.array([digest(string[a : a + n].encode(), 42) for a, n in zip(begin.tolist(), size.tolist())], np.uint64)
+    h, one = np.unique(h, return_index=True)
+    return string, cps, begin[one], size[one], h.view(np.int64)
+
+
+def filter_of(hashes: DataFrame) -> np.ndarray:
+    """A bit set of FILTER_BITS bits with those of the hashes (column h) set; at most FILTER_BITS / 64 rows reach the driver."""
+    bit = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = hashes.select(F.shiftright(bit, 6).alias("w"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    got = words.toArrow()
+    out[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
+    return out
+
+
+def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY, shortest: int = SHORTEST) -> DataFrame:
+    """Verified links (u, v) between distinct lines (by hash), a spanning forest of each candidate group."""
+    inner = docs.select(docs[text].cast("string").alias("t"))
+
+    def keys(batches):
+        hasher = Hasher()
+        for rb in slices(batches, "t", 1 << 18):
+            string, cps, begin, size, h = distinct_lines(rb.column(0), shortest)
+            if len(h):
+                k = band_keys(cps, begin, size, shingle, bands, rows, hasher)
+                yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(np.repeat(h, bands))], ["key", "h"])
+
+    found = cut(_groups(inner.mapInArrow(keys, "key long, h long")).distinct())
+    release(docs.sparkSession)  # the band keys' shuffle
+    # a group's centre is the member found in most groups: the text that the others are variants of
+    degree = found.groupBy("h").agg(F.count("*").alias("n"))
+    centre = found.join(degree, "h").groupBy("g").agg(F.max(F.struct("n", "h")).alias("c")).select("g", F.col("c.h").alias("c"))
+    members = cut(found.join(centre, "g"))
+    wanted = members.select("h").distinct()
+    mask = filter_of(wanted)
+
+    def candidates(batches):
+        for rb in slices(batches, "t", 1 << 19):
+            string, cps, begin, size, h = distinct_lines(rb.column(0), shortest)
+            bit = h & (FILTER_BITS - 1)
+            on = ((mask[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+            lines = [string[a : a + n] for a, n in zip(begin[on].tolist(), size[on].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(h[on]), pa.array(lines, pa.string())], ["h", "line"])
+
+    own = inner.mapInArrow(candidates, "h long, line string").groupBy("h").agg(F.first("line").alias("line"))
+    texts = cut(own.join(wanted, "h", "left_semi"))
+    release(docs.sparkSession)
+    pairs = members.where("c != h").select("c", "h").distinct()
+    checked = cut(_stars(pairs, texts, shingle, similarity))
+    release(docs.sparkSession)
+    sure = checked.where("ok").select("u", "v")
+    # a group whose members are one component by now is settled; of the others all members are compared across components
+    known = cut(components(sure))
+    failed = checked.where(~F.col("ok")).select(F.col("u").alias("h"), F.col("v").alias("c"))
+    open_ = members.join(failed, ["h", "c"], "left_semi").select("g").distinct()
+    left = members.select("g", "h").join(open_, "g", "left_semi").join(known, F.col("h") == F.col("node"), "left")
+    left = cut(left.select("g", "h", F.coalesce("component", "h").alias("k")))
+    apart = left.groupBy("g").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count("*").alias("n")).where("a != b and n > 2").select("g")
+    more = _forests(left.join(apart, "g", "left_semi").join(texts, "h"), shingle, similarity)
+    return sure.unionByName(more)
 
 
 def repeated(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shortest: int = SHORTEST, **settings) -> DataFrame:
