@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import held_out
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, each: int, longest: int = 200_000) -> tuple[list[str], list[int]]:
+def sample(docs: DataFrame, labels: DataFrame, label: str, each: int, longest: int = 50_000) -> tuple[list[str], list[int]]:
     """About `each` texts of label 0 and of label 1 (all if fewer), chosen by a hash of the id and the text; texts beyond `longest` characters are not used for fitting."""
     rows = labels.where(~held_out()).where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).alias("y")).dropDuplicates(["doc_id"])
     counts = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}

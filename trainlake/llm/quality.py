@@ -24,6 +24,9 @@ from .labelled import sample as labelled
 from .pretokens import Hasher
 
 
+HASHER = Hasher()
+
+
 def _table(chars: bytes) -> np.ndarray:
     out = np.zeros(256, bool)
     out[list(chars)] = True
@@ -65,7 +68,7 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     cols.append((size == 0).astype(float))
     tail = np.where(size > 0, data[np.maximum(end - 1, 0)] if n else 0, 0)
     cols.append(np.isin(tail, list(b".!?")).astype(float))
-    h = Hasher()(data.astype(np.uint32), begin, size)
+    h = HASHER(data.astype(np.uint32), begin, size)
     owner = np.repeat(np.arange(texts), per)
     order = np.lexsort((h, owner))
     same = (owner[order][1:] == owner[order][:-1]) & (h[order][1:] == h[order][:-1]) & (size[order][1:] > 0)
@@ -97,7 +100,9 @@ class Model:
         y = 1 - np.array(good, float)
         if not len(y) or y.min() == y.max():
             return
-        x, first, size = line_features(*utf8(pa.array(texts, pa.string())))
+        each = [line_features(*utf8(rb.column(0))) for rb in slices(iter([pa.record_batch([pa.array(texts, pa.string())], ["t"])]), "t", 1 << 19)]
+        x, size = np.concatenate([e[0] for e in each]), np.concatenate([e[2] for e in each])
+        first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(e[1]) for e in each]))])
         per = np.diff(first)
         label = np.repeat(y, per)
         begin = np.zeros(len(x), bool)

@@ -25,6 +25,7 @@ from .labelled import sample as labelled
 from .pretokens import Hasher
 
 TABLE_BITS = 18
+HASHER = Hasher()
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -48,7 +49,7 @@ class Model:
     def keys(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
         """Hashes of the word and of its parts."""
         low = FOLD[data].astype(np.uint32)
-        h = Hasher()
+        h = HASHER
         word = h(low, at, size)
         parts = [word]
         for k, salt in ((4, 0xA5), (5, 0xB7), (6, 0xD9), (7, 0xEB)):
@@ -88,16 +89,26 @@ class Model:
         y = np.array(toxic)
         if not len(y) or y.min() == y.max():
             return
-        data, offsets = utf8(pa.array(texts, pa.string()))
-        at, size, first = tokens(data, offsets)
+        keys, slot_rows, counts = [], [], []
+        for rb in slices(iter([pa.record_batch([pa.array(texts, pa.string())], ["t"])]), "t", 1 << 19):  # bounds the driver's memory
+            data, offsets = utf8(rb.column(0))
+            at, size, own = tokens(data, offsets)
+            k = self.keys(data, at, size)
+            keys.append(k[:5])
+            slot_rows.append(self.slots(k, own))
+            counts.append(np.diff(own))
+        first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        parts = [np.concatenate([k[i] for k in keys]) for i in range(5)]
+        slots = np.concatenate(slot_rows)
+        del keys, slot_rows
+        at = parts[0]
         owner = np.repeat(np.arange(len(y)), np.diff(first))
-        parts = self.keys(data, at, size)
-        chosen = self.features(parts[:5], owner, y, lowest)
+        chosen = self.features(parts, owner, y, lowest)
         label = np.zeros(len(at), bool)
-        for k in parts[:5]:
+        for k in parts:
             label |= np.isin(k, chosen)
+        del parts
         label &= y[owner] == 1
-        slots = self.slots(parts, first)
         begin = np.zeros(len(at), bool)
         begin[first[:-1][first[:-1] < len(at)]] = True
         order = np.random.default_rng(7).permutation(len(y))
@@ -116,7 +127,9 @@ class Model:
             ada.step("w", self.weights, g)
 
         self.chain = fit(lambda rows: self.weights[slots[rows]].sum(1), update, label.astype(float), begin, batches, epochs, 0.5)
-        p = self.chain.marginals(self.weights[slots].sum(1), begin)
+        p = np.zeros(len(at))
+        for rows in batches:
+            p[rows] = self.chain.marginals(self.weights[slots[rows]].sum(1), begin[rows])
         self.top = logistic(self.document(p, first), y.astype(float))
 
     @staticmethod
@@ -124,18 +137,20 @@ class Model:
         """Feature hashes chosen by greedy cover of the toxic documents."""
         n1, n0 = int(y.sum()), int((1 - y).sum())
         toxic = y[owner] == 1
-        keys, docs = [], []
-        for k in parts:
+        names_, pairs, base = [], [], 0
+        for k in parts:  # one part at a time, for the driver's memory
             seen, count = np.unique(k[toxic], return_counts=True)
             seen = seen[count >= lowest]
-            for part in (toxic, ~toxic):
-                rows = np.flatnonzero(part)
-                rows = rows[np.isin(k[rows], seen)]
-                keys.append(k[rows])
-                docs.append(owner[rows])
-        key, doc = np.concatenate(keys), np.concatenate(docs)
-        names, back = np.unique(key, return_inverse=True)
-        pair = np.unique(back * len(y) + doc)
+            if not len(seen):
+                continue
+            at = np.minimum(np.searchsorted(seen, k), len(seen) - 1)
+            rows = np.flatnonzero(seen[at] == k)
+            pairs.append(np.unique((at[rows] + base) * len(y) + owner[rows]))
+            names_.append(seen)
+            base += len(seen)
+        if not names_:
+            return np.zeros(0, np.uint64)
+        names, pair = np.concatenate(names_), np.concatenate(pairs)
         back, doc = pair // len(y), pair % len(y)
         df1 = np.bincount(back[y[doc] == 1], minlength=len(names))
         df0 = np.bincount(back[y[doc] == 0], minlength=len(names))
