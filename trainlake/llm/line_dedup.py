@@ -4,7 +4,8 @@ Lines of at least `shortest` characters take part. Each distinct line gets a Min
 shingles (the line itself if it is shorter than one), cut into bands; equal band keys make candidate groups; groups with
 equal members are taken once. Links are verified by exact Jaccard of the shingle sets: first between each group's centre (the member
 found in most groups) and the others (the same pairs mostly come from many bands and are checked once), then, only in groups that still hold more
-than one component, between members of different components. So a large group of similar lines costs few comparisons and
+than one component, between the other members of different components. Shingles are compared as sorted hashes; where the
+count is so near the threshold that a collision could matter, as strings. So a large group of similar lines costs few comparisons and
 output is linear. Distributed union-find joins the links; the first occurrence (smallest document,
 then line) of each component stays.
 
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import code_points, cut, release, shuffle_partitions, slices, utf8
+from .common import code_points, cut, ragged, release, shuffle_partitions, slices, utf8
 from .components import Forest, components
 from .pretokens import Hasher
 
@@ -104,6 +105,40 @@ def similar(a: frozenset, b: frozenset, least: float) -> bool:
     return small >= least * large and (both := len(a & b)) >= least * (len(a) + len(b) - both)
 
 
+def shingle_keys(lines: list[str], k: int, hasher: Hasher) -> list[np.ndarray]:
+    """Sorted distinct 48-bit hashes of each line's shingles, for many lines at once."""
+    out = []
+    for start in range(0, len(lines), 1 << 15):
+        part = lines[start : start + (1 << 15)]
+        size = np.fromiter(map(len, part), np.int64, len(part))
+        cps = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32)
+        count = np.maximum(size - k + 1, 1)
+        owner = np.repeat(np.arange(len(part)), count)
+        at = ragged(np.cumsum(size) - size, count)
+        h = hasher(cps, at, np.minimum(k, size[owner])) >> np.uint64(16)
+        both = np.sort((owner.astype(np.uint64) << np.uint64(48)) | h)
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+        edge = np.searchsorted(both, np.arange(len(part) + 1, dtype=np.uint64) << np.uint64(48))
+        both &= np.uint64((1 << 48) - 1)
+        out += [both[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
+    return out
+
+
+def alike(a: np.ndarray, b: np.ndarray, line_a: str, line_b: str, k: int, least: float) -> bool:
+    """similar() by the lines' shingle_keys; with the shingles themselves where a colliding hash could change the answer."""
+    small, large = (len(a), len(b)) if len(a) < len(b) else (len(b), len(a))
+    if small + 4 < least * large:
+        return False
+    if large > 64:
+        both = np.concatenate([a, b])
+        both.sort()
+        shared = np.count_nonzero(both[1:] == both[:-1])
+        over = shared - least * (len(a) + len(b) - shared)
+        if abs(over) > 4:
+            return bool(over > 0)
+    return similar(shingles(line_a, k), shingles(line_b, k), least)
+
+
 def _stars(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
     """(u, v, ok) of pairs (c, h): whether the lines are similar. A centre's text comes before its members' in one sorted run."""
     own = pairs.select("c").distinct().join(texts, F.col("c") == F.col("h")).select("c", F.lit(None).cast("long").alias("h"), "line")
@@ -111,16 +146,17 @@ def _stars(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> Da
     rows = own.unionByName(rest).repartition(shuffle_partitions(pairs.sparkSession), "c").sortWithinPartitions("c", F.col("h").asc_nulls_first())
 
     def run(batches):
-        centre, parts = None, frozenset()
-        for rb in batches:
+        centre, text, parts, hasher = None, "", None, Hasher()
+        for rb in slices(batches, "line", 1 << 19):
             u, v, ok = [], [], []
-            for c, h, line in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), rb.column(2).to_pylist()):
+            lines = rb.column(2).to_pylist()
+            for c, h, line, own in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), lines, shingle_keys(lines, shingle, hasher)):
                 if h is None:
-                    centre, parts = c, shingles(line, shingle)
+                    centre, text, parts = c, line, own.copy()
                 elif c == centre:
                     u.append(h)
                     v.append(c)
-                    ok.append(similar(parts, shingles(line, shingle), least))
+                    ok.append(alike(parts, own, text, line, shingle, least))
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(ok, pa.bool_())], ["u", "v", "ok"])
 
     return rows.mapInArrow(run, "u long, v long, ok boolean")
@@ -131,27 +167,27 @@ def _forests(rows: DataFrame, shingle: int, least: float) -> DataFrame:
     rows = rows.repartition(shuffle_partitions(rows.sparkSession), "g").sortWithinPartitions("g", "h")
 
     def run(batches):
-        forest, last, held = Forest(), None, {}
+        forest, last, held, hasher = Forest(), None, {}, Hasher()
 
         def close():
-            sets = {k: [shingles(t, shingle) for t in own] for k, own in held.items()}
-            rest = sorted(sets)
+            rest = sorted(held)
             while len(rest) > 1:
                 queue, rest = [rest[0]], rest[1:]
                 while queue and rest:
                     u = queue.pop()
-                    new = [v for v in rest if any(similar(a, b, least) for a in sets[u] for b in sets[v])]
+                    new = [v for v in rest if any(alike(a, b, s, t, shingle, least) for a, s in held[u] for b, t in held[v])]
                     for v in new:
                         forest.join(u, v)
                     queue.extend(new)
                     rest = [v for v in rest if v not in set(new)]
 
-        for rb in batches:
-            for g, k, line in zip(rb.column(0).to_pylist(), rb.column(2).to_pylist(), rb.column(3).to_pylist()):
+        for rb in slices(batches, "line", 1 << 19):
+            lines = rb.column(3).to_pylist()
+            for g, k, line, own in zip(rb.column(0).to_pylist(), rb.column(2).to_pylist(), lines, shingle_keys(lines, shingle, hasher)):
                 if g != last:
                     close()
                     held, last = {}, g
-                held.setdefault(k, []).append(line)
+                held.setdefault(k, []).append((own.copy(), line))
         close()
         out = np.array(forest.links() or np.zeros((0, 2)), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
@@ -226,13 +262,13 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
     checked = cut(_stars(pairs, texts, shingle, similarity))
     release(docs.sparkSession)
     sure = checked.where("ok").select("u", "v")
-    # a group whose members are one component by now is settled; of the others all members are compared across components
+    # a group whose members are one component by now is settled; in the others the members besides the centre, whose pairs are all known, are compared across components
     known = cut(components(sure))
     failed = checked.where(~F.col("ok")).select(F.col("u").alias("h"), F.col("v").alias("c"))
     open_ = members.join(failed, ["h", "c"], "left_semi").select("g").distinct()
-    left = members.select("g", "h").join(open_, "g", "left_semi").join(known, F.col("h") == F.col("node"), "left")
+    left = members.where("c != h").select("g", "h").join(open_, "g", "left_semi").join(known, F.col("h") == F.col("node"), "left")
     left = cut(left.select("g", "h", F.coalesce("component", "h").alias("k")))
-    apart = left.groupBy("g").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count("*").alias("n")).where("a != b and n > 2").select("g")
+    apart = left.groupBy("g").agg(F.min("k").alias("a"), F.max("k").alias("b")).where("a != b").select("g")
     more = _forests(left.join(apart, "g", "left_semi").join(texts, "h"), shingle, similarity)
     return sure.unionByName(more)
 
