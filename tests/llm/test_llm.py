@@ -180,6 +180,21 @@ def test_decontamination(spark, odd):
     assert not any(r.contaminated for r in decontamination.judge(decontamination.find(odd, items.limit(0))).collect())
 
 
+def test_hashed_shingles():
+    base, lines = "".join(np.random.default_rng(3).choice(list("abcdé 漢"), 600)), ["", "a", "abcd", "😀" * 30, "x" * 5000]
+    rng = np.random.default_rng(4)
+    for n in (20, 21, 60, 200, 600) * 20:
+        line = list(base[:n])
+        for at in rng.integers(0, n, rng.integers(0, n // 15 + 1)):
+            line[at] = "x"
+        lines.append("".join(line))
+    keys = line_dedup.shingle_keys(lines, 5, Hasher())
+    for a, b in itertools.combinations(range(len(lines)), 2):
+        want = line_dedup.similar(line_dedup.shingles(lines[a], 5), line_dedup.shingles(lines[b], 5), 0.8)
+        assert line_dedup.alike(keys[a], keys[b], lines[a], lines[b], 5, 0.8) == want
+    assert line_dedup.shingle_keys([], 5, Hasher()) == []
+
+
 def test_line_dedup(spark, odd):
     a = "a line that is long enough to take part in this, with many words of its own kind"
     rows = spark.createDataFrame([(1, a + "\nshort"), (2, "short\n" + a.replace("many", "some")), (3, a), (4, None), (5, "")], "doc_id long, text string")
