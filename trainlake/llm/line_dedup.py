@@ -29,8 +29,16 @@ from .components import Forest, components
 from .pretokens import Hasher
 
 SHINGLE, BANDS, ROWS, SIMILARITY, SHORTEST = 5, 16, 5, 0.8, 20
+#: The low SKETCH bits of a band key are one bit each of signature values outside the band. At similarity 0.8 a bit differs
+#: with probability 0.1, so a pair that shares a band has over APART different bits there with probability 0.008 (and most
+#: pairs share several bands, each with other bits); at 0.1, with probability 0.96.
+SKETCH, APART = 24, 6
+#: Groups of up to so many members lose those members whose bits are near to no other's; larger ones keep all members.
+COMPARED = 32
 #: Bits of the filter that keeps lines without a candidate out of the text shuffle; its size is fixed.
 FILTER_BITS = 1 << 22
+#: Lines whose keys a task remembers to have sent, to save sending them again; bounds the set's memory.
+SENT = 1 << 18
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -38,21 +46,26 @@ def _multipliers(n: int) -> np.ndarray:
 
 
 def band_keys(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int, bands: int, rows: int, hasher: Hasher) -> np.ndarray:
-    """(lines, bands) keys from the MinHash signatures of lines cps[begin:begin+size]."""
+    """(lines, bands) keys from the MinHash signatures of lines cps[begin:begin+size]; the low SKETCH bits are a sketch of the other bands."""
     count = np.maximum(size - shingle + 1, 1)
     base = np.cumsum(count) - count
-    owner = np.repeat(np.arange(len(size)), count)
-    at = begin[owner] + np.arange(int(count.sum())) - base[owner]
-    h = (hasher(cps, at, np.minimum(shingle, size[owner])) >> np.uint64(32)).astype(np.uint32)
+    at = ragged(begin, count)
+    h = (hasher(cps, at, np.minimum(shingle, np.repeat(size, count))) >> np.uint64(32)).astype(np.uint32)
     out = np.zeros((len(size), bands), np.uint64)
+    bit = np.zeros((len(size), bands * rows), np.uint64)
+    x = np.empty_like(h)
     for k, (a, b) in enumerate(_multipliers(bands * rows)):
-        x = h * a
-        x ^= x >> np.uint32(15)
-        x *= b
+        np.bitwise_xor(h, b, out=x)
+        np.multiply(x, a, out=x)
         low = np.minimum.reduceat(x, base).astype(np.uint64)
         band = k // rows
+        bit[:, k] = (low >> np.uint64(9)) & np.uint64(1)
         out[:, band] = (out[:, band] ^ low) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band + 1)
         out[:, band] ^= out[:, band] >> np.uint64(29)
+    out &= ~np.uint64((1 << SKETCH) - 1)
+    for band in range(bands):
+        for i in range(min(SKETCH, (bands - 1) * rows)):
+            out[:, band] |= bit[:, ((band + 1) * rows + i) % (bands * rows)] << np.uint64(i)
     return out.view(np.int64)
 
 
@@ -66,21 +79,46 @@ def shingles(line: str, k: int) -> frozenset[str]:
     return frozenset(line[i : i + k] for i in range(max(1, len(line) - k + 1)))
 
 
+def plausible(key: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which members of groups (of the given sizes, in a row) have a sketch near to another member's; all of large groups."""
+    wide = np.repeat(size, size)
+    group = np.repeat(np.arange(len(size)), size)
+    ok = wide > COMPARED
+    at = np.flatnonzero(~ok)
+    for step in range(1, COMPARED):
+        at = at[wide[at] > step]
+        at = at[at + step < len(key)]
+        if not len(at):
+            break
+        one = at[group[at] == group[at + step]]
+        near = one[np.bitwise_count((key[one] ^ key[one + step]) & ((1 << SKETCH) - 1)) <= APART]
+        ok[near] = True
+        ok[near + step] = True
+    return ok
+
+
 def _groups(keyed: DataFrame) -> DataFrame:
     """(g, h): members of band-key groups of two or more distinct lines; g depends on the members only."""
-    rows = keyed.repartition(shuffle_partitions(keyed.sparkSession), "key").sortWithinPartitions("key", "h")
+    rows = keyed.repartition(shuffle_partitions(keyed.sparkSession), F.shiftright("key", SKETCH)).sortWithinPartitions("key")
+
+    def starts(band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = np.flatnonzero(np.append(True, band[1:] != band[:-1])) if len(band) else np.zeros(0, np.int64)
+        return first, np.diff(np.append(first, len(band)))
 
     def groups(key: np.ndarray, h: np.ndarray):
-        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (h[1:] != h[:-1])])
-        key, h = key[fresh], h[fresh]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(first, len(key)))
+        _, size = starts(key >> SKETCH)
         many = np.repeat(size > 1, size)
         key, h = key[many], h[many]
+        order = np.lexsort((h, key >> SKETCH))
+        key, h = key[order], h[order]
+        fresh = np.append(True, (h[1:] != h[:-1]) | (key[1:] != key[:-1]))[: len(h)]
+        key, h = key[fresh], h[fresh]
+        _, size = starts(key >> SKETCH)
+        kept = plausible(key, size)
+        key, h = key[kept], h[kept]
         if not len(key):
             return None
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(first, len(key)))
+        first, size = starts(key >> SKETCH)
         u = h.view(np.uint64)
         g = np.bitwise_xor.reduceat((u ^ (u >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9), first) + size.astype(np.uint64)
         return pa.RecordBatch.from_arrays([pa.array(np.repeat(g, size).view(np.int64)), pa.array(h)], ["g", "h"])
@@ -89,7 +127,7 @@ def _groups(keyed: DataFrame) -> DataFrame:
         key, h = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for rb in batches:
             key, h = np.concatenate([key, np.asarray(rb.column(0))]), np.concatenate([h, np.asarray(rb.column(1))])
-            done = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last group may go on
+            done = int(np.searchsorted(key >> SKETCH, key[-1] >> SKETCH)) if len(key) else 0  # the last group may go on
             if done:
                 if (out := groups(key[:done], h[:done])) is not None:
                     yield out
@@ -231,9 +269,14 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
     inner = docs.select(docs[text].cast("string").alias("t"))
 
     def keys(batches):
-        hasher = Hasher()
+        hasher, sent = Hasher(), set()
         for rb in slices(batches, "t", 1 << 18):
             string, cps, begin, size, h = distinct_lines(rb.column(0), shortest)
+            new = np.array([x not in sent for x in h.tolist()], bool)  # others' keys are on their way already
+            begin, size, h = begin[new], size[new], h[new]
+            if len(sent) > SENT:
+                sent.clear()
+            sent.update(h.tolist())
             if len(h):
                 k = band_keys(cps, begin, size, shingle, bands, rows, hasher)
                 yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(np.repeat(h, bands))], ["key", "h"])
