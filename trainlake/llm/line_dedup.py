@@ -63,9 +63,11 @@ def band_keys(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int
         out[:, band] = (out[:, band] ^ low) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band + 1)
         out[:, band] ^= out[:, band] >> np.uint64(29)
     out &= ~np.uint64((1 << SKETCH) - 1)
+    n = min(SKETCH, (bands - 1) * rows)
+    weight = np.uint64(1) << np.arange(n, dtype=np.uint64)
+    bit = np.concatenate([bit, bit], axis=1)
     for band in range(bands):
-        for i in range(min(SKETCH, (bands - 1) * rows)):
-            out[:, band] |= bit[:, ((band + 1) * rows + i) % (bands * rows)] << np.uint64(i)
+        out[:, band] |= bit[:, (band + 1) * rows : (band + 1) * rows + n] @ weight
     return out.view(np.int64)
 
 
@@ -265,7 +267,8 @@ def filter_of(hashes: DataFrame) -> np.ndarray:
 
 
 def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY, shortest: int = SHORTEST) -> DataFrame:
-    """Verified links (u, v) between distinct lines (by hash), a spanning forest of each candidate group."""
+    """(u, v) between distinct lines (by hash): each line with the smallest one of those that links with group centres
+    connect it to, and the links found across those components; together they have the components of all verified links."""
     inner = docs.select(docs[text].cast("string").alias("t"))
 
     def keys(batches):
@@ -313,13 +316,13 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
     left = cut(left.select("g", "h", F.coalesce("component", "h").alias("k")))
     apart = left.groupBy("g").agg(F.min("k").alias("a"), F.max("k").alias("b")).where("a != b").select("g")
     more = _forests(left.join(apart, "g", "left_semi").join(texts, "h"), shingle, similarity)
-    return sure.unionByName(more)
+    return known.where("node != component").select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more)
 
 
 def repeated(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shortest: int = SHORTEST, **settings) -> DataFrame:
     """d, pos, component, keep_doc, keep_pos of every line that is not the first of its component."""
     groups = components(links(docs, text=text, doc_id=doc_id, shortest=shortest, **settings))
-    lines = lines_of(docs, text, doc_id, shortest).select("d", "pos", "h")
+    lines = cut(lines_of(docs, text, doc_id, shortest).select("d", "pos", "h"))  # read twice
     seen = lines.groupBy("h").agg(F.min(F.struct("d", "pos")).alias("first"), F.count("*").alias("n"))
     named = cut(seen.join(groups, seen.h == groups.node, "left").select("h", "first", "n", F.col("component").isNotNull().alias("linked"), F.coalesce("component", "h").alias("component")))
     keeper = named.where("linked").groupBy("component").agg(F.min("first").alias("best"))
