@@ -333,10 +333,11 @@ def repeated(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", sho
 
 def report(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:
     """One row a document: doc_id, n_lines, n_removed, removed (line numbers from 0, with the document and line that stay)."""
-    gone = repeated(docs, text=text, doc_id=doc_id, **settings).distinct()
-    gone = gone.groupBy("d").agg(F.array_sort(F.collect_list(F.struct("pos", "keep_doc", "keep_pos"))).alias("removed"))
-    base = docs.select(docs[doc_id].alias("d"), F.coalesce(F.size(F.split(docs[text].cast("string"), "\n")), F.lit(0)).alias("n_lines"))
-    base = base.withColumn("n_lines", F.greatest("n_lines", F.lit(0)).cast("long"))
+    gone = repeated(docs, text=text, doc_id=doc_id, **settings)
+    gone = gone.groupBy("d").agg(F.array_sort(F.collect_set(F.struct("pos", "keep_doc", "keep_pos"))).alias("removed"))
+    body = docs[text].cast("string")
+    newlines = F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"), F.lit("")))
+    base = docs.select(docs[doc_id].alias("d"), F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"))
     out = base.join(gone, base.d.eqNullSafe(gone.d), "left").select(base.d.alias(doc_id), "n_lines", "removed")
     none = F.array().cast("array<struct<pos:int,keep_doc:bigint,keep_pos:int>>")
     return out.select(doc_id, "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", none).alias("removed"))
