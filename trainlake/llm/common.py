@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 from collections.abc import Iterator
@@ -37,6 +38,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def trim() -> None:
+    """Give memory that this Python worker has freed back to the system; workers serve many stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # only glibc has it
+        pass
+
+
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array; null counts as empty. No copy unless there are nulls."""
     if isinstance(col, pa.ChunkedArray):
@@ -56,6 +66,7 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that each has about limit bytes in column (a single longer row stays whole)."""
+    trim()
     for rb in batches:
         n, start = rb.num_rows, 0
         if not n:
@@ -65,6 +76,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             end = max(start + 1, int(np.searchsorted(off, off[start] + limit, "right")) - 1)
             yield rb.slice(start, end - start)
             start = end
+    trim()
 
 
 def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
