@@ -219,3 +219,18 @@ def test_pipeline(spark):
 
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and {r.length for r in rows} and len(corpus_pipeline.STAGES) == 5
+
+
+def test_line_dedup_sketches():
+    rng = np.random.default_rng(5)
+    size = np.array([2, 3, 40, 5, 2, 32, 2])
+    key = np.repeat(np.arange(len(size)), size) << line_dedup.SKETCH | rng.integers(0, 1 << line_dedup.SKETCH, size.sum())
+    key[1] = key[0] ^ 0b111  # three bits apart
+    at = np.repeat(np.arange(len(size)), size)
+    want = [
+        size[at[i]] > line_dedup.COMPARED or any(j != i and at[i] == at[j] and bin(int(key[i] ^ key[j])).count("1") <= line_dedup.APART for j in range(len(key)))
+        for i in range(len(key))
+    ]
+    assert line_dedup.plausible(key, size).tolist() == want and want[0] and want[1]
+    none = np.zeros(0, np.int64)
+    assert line_dedup.plausible(none, none).tolist() == []
