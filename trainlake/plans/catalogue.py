@@ -274,3 +274,20 @@ def path_accept(spark, d):
 def suite_verdict(spark, d):
     b = read(spark, d, "benchmark")
     return b.agg(F.bool_and(F.length("text") > 0).alias("all_real"), F.count("*").alias("tasks"), F.count_if(F.length("text") < 20).alias("placeholders"))
+
+
+@register(f"SELECT chunk_count, count(*) AS windows, count(DISTINCT session_id) AS sessions FROM ({WINDOWS}) GROUP BY 1")
+def window_counts(spark, d):
+    return session_windows(spark, d).groupBy("chunk_count").agg(F.count("*").alias("windows"), F.countDistinct("session_id").alias("sessions"))
+
+
+@register(f"SELECT doc_id, count(*) AS chunks FROM ({SQL['chunk_docs']}) GROUP BY 1")
+def chunk_counts(spark, d):
+    return rag.chunks(read(spark, d, "documents")).groupBy("doc_id").agg(F.count("*").alias("chunks"))
+
+
+@register(f"SELECT curated_id FROM ({MIX}) WHERE curated_id NOT IN (WITH {CURATED} SELECT curated_id FROM cur WHERE train_tier > 0)")
+def manifest_missing(spark, d):
+    """M7: rows of the manifest that the usable tiers do not hold."""
+    usable = curated(spark, d).where("train_tier > 0").select("curated_id")
+    return mix_manifest(spark, d).select("curated_id").join(usable, "curated_id", "left_anti")
