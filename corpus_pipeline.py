@@ -28,8 +28,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go; every document stays."""
-    out = line_dedup.apply(docs)
+    """Repeated lines of any length go (empty ones stay); every document stays."""
+    out = line_dedup.apply(docs, shortest=1)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

@@ -234,3 +234,16 @@ def test_line_dedup_sketches():
     assert line_dedup.plausible(key, size).tolist() == want and want[0] and want[1]
     none = np.zeros(0, np.int64)
     assert line_dedup.plausible(none, none).tolist() == []
+
+
+def test_line_dedup_query_takes_short_lines(spark, tmp_path):
+    import corpus_pipeline
+    from trainlake.llm.queries import QUERIES
+
+    rows = [(1, "Les.\n\none line of its own"), (2, "Les.\n\nanother text, not like it\nLes."), (3, "x\nshort boilerplate 1"), (4, "y\nx\nshort boilerplate 1\nshort boilerplate 1z")]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: [x.pos for x in r.removed] for r in QUERIES["op7_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: [], 2: [0, 3], 3: [], 4: [1, 2, 3]}
+    left = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.lines(spark, docs, str(tmp_path)).collect()}
+    assert left == {1: (rows[0][1], 25), 2: ("\nanother text, not like it", 26), 3: (rows[2][1], 21), 4: ("y", 1)}

@@ -1,6 +1,7 @@
 """Operator 7: fuzzy line deduplication by MinHash.
 
-Lines of at least `shortest` characters take part. Each distinct line gets a MinHash signature of its character
+Lines of at least `shortest` characters take part (the op7 query and the pipeline set 1: all but empty ones; a line
+shorter than a shingle has only exact copies). Each distinct line gets a MinHash signature of its character
 shingles (the line itself if it is shorter than one), cut into bands; equal band keys make candidate groups; groups with
 equal members are taken once. Links are verified by exact Jaccard of the shingle sets: first between each group's centre (the member
 found in most groups) and the others (the same pairs mostly come from many bands and are checked once), then, only in groups that still hold more

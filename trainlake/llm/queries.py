@@ -108,7 +108,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import line_dedup
 
-    return line_dedup.report(table(spark, sf_dir, "documents"))
+    return line_dedup.report(table(spark, sf_dir, "documents"), shortest=1)
 
 
 @query
