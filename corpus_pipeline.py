@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.llm import decontamination, line_dedup, packing, simhash, toxicity
@@ -34,14 +34,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays (its first row, if rows repeat)."""
-    groups = simhash.near_duplicates(docs, words=4, bits=4).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_semi")
-    again = kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    once = kept.join(again, "doc_id", "left_anti")
-    w = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    rest = kept.join(again, "doc_id", "left_semi").withColumn("nth_", F.row_number().over(w)).where("nth_ = 1").drop("nth_")
-    return once.unionByName(rest).select(docs.columns)
+    """Of each group of near copies one row stays: that of the smallest id, null ids last, then of the smallest hash of the
+    text (one of them, if rows with equal id and text repeat). Rows are told apart by id and text, so rows without an id
+    and rows that share one stay if they are in different groups."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("t"))
+    found = simhash.near_duplicates(docs.select(key.alias("row"), "text"), doc_id="row", words=4, bits=4).where("row = component_id")
+    kept = found.groupBy("row.id", "row.t").agg(F.count("*").alias("rows_"))
+    mine = docs.join(kept, docs["doc_id"].eqNullSafe(kept["id"]) & (F.xxhash64(docs["text"]) == kept["t"]))
+    once = mine.where("rows_ = 1").select([docs[c] for c in docs.columns])
+    again = mine.where("rows_ > 1").groupBy(kept["id"], kept["t"]).agg(F.min(F.struct([docs[c] for c in docs.columns])).alias("one"))
+    return once.unionByName(again.select("one.*")).select(docs.columns)
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

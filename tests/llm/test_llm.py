@@ -247,3 +247,15 @@ def test_line_dedup_query_takes_short_lines(spark, tmp_path):
     assert got == {1: [], 2: [0, 3], 3: [], 4: [1, 2, 3]}
     left = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.lines(spark, docs, str(tmp_path)).collect()}
     assert left == {1: (rows[0][1], 25), 2: ("\nanother text, not like it", 26), 3: (rows[2][1], 21), 4: ("y", 1)}
+
+
+def test_near_copies_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    t = [" ".join(f"w{x}" for x in rng.integers(0, 9999, 60)) for _ in range(6)]
+    rows = [(1, t[0]), (2, t[0]), (None, t[0]), (None, t[1]), (None, t[2]), (None, t[2]), (3, t[3]), (3, t[4]), (4, t[4]), (5, t[5]), (5, t[5]), (6, None), (None, "")]
+    docs = spark.createDataFrame([(i, x, "en") for i, x in rows], "doc_id long, text string, lang string")
+    got = corpus_pipeline.near_copies(spark, docs, SF)
+    want = [(1, t[0]), (None, t[1]), (None, t[2]), (3, t[3]), (3, t[4]), (5, t[5]), (6, None)]
+    assert got.columns == docs.columns and sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, want))
