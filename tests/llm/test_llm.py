@@ -259,3 +259,17 @@ def test_near_copies_null_and_repeated_ids(spark):
     got = corpus_pipeline.near_copies(spark, docs, SF)
     want = [(1, t[0]), (None, t[1]), (None, t[2]), (3, t[3]), (3, t[4]), (5, t[5]), (6, None)]
     assert got.columns == docs.columns and sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, want))
+
+
+def test_line_dedup_by_row(spark):
+    a, b, c, x, y = (f"{w} line of many words, long enough to take part, about {w} only" for w in ("apple", "brick", "cedar", "xenon", "yacht"))
+    rows = [(None, f"{a}\n{x}"), (None, f"{b}\n{a}"), (7, f"{c}\n{y}"), (7, f"{y}\nclean\n{c}"), (8, c), (9, None), (None, None), (5, f"{a}\nown"), (5, f"{a}\nown")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.apply(docs).collect()
+    assert len(got) == len(rows)
+    left = sorted(line for r in got for line in (r.text or "").split("\n") if line)
+    # each of a, b, c, x, y is left exactly once, and clean rows lose nothing
+    assert left == sorted([a, b, c, x, y, "clean", "own", "own"])
+    report = line_dedup.report(docs).collect()
+    assert len(report) == len(rows) and sum(r.n_removed for r in report) == 1 + 2 + 1 + 2
+    assert sorted(r.n_removed for r in report if r.doc_id is None) == [0, 0, 1]

@@ -8,13 +8,13 @@ found in most groups) and the others (the same pairs mostly come from many bands
 than one component, between the other members of different components. Shingles are compared as sorted hashes; where the
 count is so near the threshold that a collision could matter, as strings. So a large group of similar lines costs few comparisons and
 output is linear. Distributed union-find joins the links; the first occurrence (smallest document,
-then line) of each component stays.
+then hash of its text, then line) of each component stays.
 
 Copies of a line are one node from the start (their occurrences are counted with partial sums), so a very frequent line
 costs no more than one. Only line hashes and band keys are shuffled for all lines; texts only once for each distinct line.
 
 Defined results: null text has no lines; shorter lines always stay; an empty table gives an empty result; rows with
-equal id and text keep the same lines; a null id comes before all others; extra columns are carried by `apply` only.
+equal id and text keep the same lines, rows that share only one of them lose only their own; a null id comes before all others; extra columns are carried by `apply` only.
 """
 
 from __future__ import annotations
@@ -73,8 +73,9 @@ def band_keys(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int
 
 
 def lines_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shortest: int = SHORTEST) -> DataFrame:
-    """d, pos, line, h of every line that takes part (h: XXH64 of the line)."""
-    lines = docs.select(docs[doc_id].alias("d"), F.posexplode(F.split(docs[text].cast("string"), "\n")).alias("pos", "line"))
+    """d, t, pos, line, h of every line that takes part (t, h: XXH64 of the whole text and of the line)."""
+    body = docs[text].cast("string")
+    lines = docs.select(docs[doc_id].alias("d"), F.xxhash64(body).alias("t"), body.alias("body")).select("d", "t", F.posexplode(F.split("body", "\n")).alias("pos", "line"))
     return lines.where(F.length("line") >= shortest).withColumn("h", F.xxhash64("line"))
 
 
@@ -321,33 +322,33 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
 
 
 def repeated(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shortest: int = SHORTEST, **settings) -> DataFrame:
-    """d, pos, component, keep_doc, keep_pos of every line that is not the first of its component."""
+    """d, t, pos, component, keep_doc, keep_pos of every line that is not the first of its component; d and t name the row."""
     groups = components(links(docs, text=text, doc_id=doc_id, shortest=shortest, **settings))
-    lines = cut(lines_of(docs, text, doc_id, shortest).select("d", "pos", "h"))  # read twice
-    seen = lines.groupBy("h").agg(F.min(F.struct("d", "pos")).alias("first"), F.count("*").alias("n"))
+    lines = cut(lines_of(docs, text, doc_id, shortest).select("d", "t", "pos", "h"))  # read twice
+    seen = lines.groupBy("h").agg(F.min(F.struct("d", "t", "pos")).alias("first"), F.count("*").alias("n"))
     named = cut(seen.join(groups, seen.h == groups.node, "left").select("h", "first", "n", F.col("component").isNotNull().alias("linked"), F.coalesce("component", "h").alias("component")))
     keeper = named.where("linked").groupBy("component").agg(F.min("first").alias("best"))
     many = named.where("linked or n > 1").join(keeper, "component", "left").select("h", "component", F.coalesce("best", "first").alias("best"))
-    found = lines.join(many, "h").where(~(F.col("best.d").eqNullSafe(F.col("d")) & (F.col("best.pos") == F.col("pos"))))
-    return found.select("d", "pos", "component", F.col("best.d").alias("keep_doc"), F.col("best.pos").alias("keep_pos"))
+    found = lines.join(many, "h").where(~(F.col("best.d").eqNullSafe(F.col("d")) & (F.col("best.t") == F.col("t")) & (F.col("best.pos") == F.col("pos"))))
+    return found.select("d", "t", "pos", "component", F.col("best.d").alias("keep_doc"), F.col("best.pos").alias("keep_pos"))
 
 
 def report(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:
     """One row a document: doc_id, n_lines, n_removed, removed (line numbers from 0, with the document and line that stay)."""
     gone = repeated(docs, text=text, doc_id=doc_id, **settings)
-    gone = gone.groupBy("d").agg(F.array_sort(F.collect_set(F.struct("pos", "keep_doc", "keep_pos"))).alias("removed"))
+    gone = gone.groupBy("d", "t").agg(F.array_sort(F.collect_set(F.struct("pos", "keep_doc", "keep_pos"))).alias("removed"))
     body = docs[text].cast("string")
     newlines = F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"), F.lit("")))
-    base = docs.select(docs[doc_id].alias("d"), F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"))
-    out = base.join(gone, base.d.eqNullSafe(gone.d), "left").select(base.d.alias(doc_id), "n_lines", "removed")
+    base = docs.select(docs[doc_id].alias("d"), F.xxhash64(body).alias("t"), F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"))
+    out = base.join(gone, base.d.eqNullSafe(gone.d) & (base.t == gone.t), "left").select(base.d.alias(doc_id), "n_lines", "removed")
     none = F.array().cast("array<struct<pos:int,keep_doc:bigint,keep_pos:int>>")
     return out.select(doc_id, "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", none).alias("removed"))
 
 
 def apply(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:
     """The documents with repeated lines taken out of their text; all rows and columns stay."""
-    gone = repeated(docs, text=text, doc_id=doc_id, **settings).groupBy("d").agg(F.collect_set("pos").alias("gone_"))
-    joined = docs.join(gone, docs[doc_id].eqNullSafe(gone.d), "left")
+    gone = repeated(docs, text=text, doc_id=doc_id, **settings).groupBy("d", "t").agg(F.collect_set("pos").alias("gone_"))
+    joined = docs.join(gone, docs[doc_id].eqNullSafe(gone.d) & (F.xxhash64(docs[text].cast("string")) == gone.t), "left")
     parts = F.split(docs[text], "\n")
     left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("gone_", i)), "\n")
     new = F.when(F.col("gone_").isNull() | docs[text].isNull(), docs[text]).otherwise(left)
