@@ -273,3 +273,12 @@ def test_line_dedup_by_row(spark):
     report = line_dedup.report(docs).collect()
     assert len(report) == len(rows) and sum(r.n_removed for r in report) == 1 + 2 + 1 + 2
     assert sorted(r.n_removed for r in report if r.doc_id is None) == [0, 0, 1]
+
+
+def test_rank_reaches_far_hosts(spark):
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(24)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("h0", 1.0)], "host string, w double")
+    got = {r.host: r.rank for r in link_trust.rank(edges, seeds, tolerance=0.02).collect()}
+    assert got["h24"] > 0 and abs(sum(got.values()) - 1) < 1e-9
+    with pytest.raises(RuntimeError):
+        link_trust.rank(edges, seeds, rounds=3)

@@ -39,8 +39,10 @@ def ruled(host, path, rules=RULES):
     return rule, verdict
 
 
-def rank(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, rounds: int = 20, tolerance: float = 1e-6) -> DataFrame:
-    """Personalised PageRank (host, rank) over edges (src, dst, n) from seeds (host, w; the w sum to 1). A host without out-links returns its rank to the seeds."""
+def rank(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, rounds: int = 100, tolerance: float = 1e-6) -> DataFrame:
+    """Personalised PageRank (host, rank) over edges (src, dst, n) from seeds (host, w; the w sum to 1). A host without out-links returns its rank to the seeds.
+
+    Runs until a round changes the ranks by less than `tolerance` in sum (at damping 0.85 after at most 90 rounds)."""
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     share = cut(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("p")))
     seeds = cut(seeds)
@@ -55,6 +57,8 @@ def rank(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, rounds: i
         now = new
         if change is None or change < tolerance:
             break
+    else:
+        raise RuntimeError(f"ranks did not settle in {rounds} rounds")
     return now
 
 
