@@ -36,3 +36,13 @@ def test_chunks_and_recommended(spark):
     got = rag.chunks(docs).orderBy("doc_id", "start").collect()
     assert [(r.doc_id, r.start, len(r.chunk)) for r in got] == [(1, 0, 512), (1, 462, 138), (3, 0, 1)]
     assert mix.recommended(1000) == 1280 and mix.recommended(10) == 512
+
+
+def test_chunk_queries_take_whole_texts(spark, tmp_path):
+    from trainlake.plans.catalogue import QUERIES
+
+    docs = spark.createDataFrame([(1, "ab" * 150_000), (2, "x")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.chunks for r in QUERIES["chunk_counts"](spark, str(tmp_path)).collect()} == {1: 650, 2: 1}
+    assert QUERIES["chunk_docs"](spark, str(tmp_path)).agg(F.max("start")).first()[0] == 649 * 462
+    assert rag.chunks(docs, most=200_000).count() == 433 + 1

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def chunks(docs: DataFrame, *, size: int = 512, overlap: int = 50, most: int = 200_000) -> DataFrame:
-    """G1: character chunks of every text, stripped, empty ones dropped."""
+def chunks(docs: DataFrame, *, size: int = 512, overlap: int = 50, most: int | None = None) -> DataFrame:
+    """G1: character chunks of every text (of its first `most` characters, if given), stripped, empty ones dropped."""
     step = max(1, size - overlap)
-    t = F.trim(F.left("text", F.lit(most)))
+    t = F.trim("text" if most is None else F.left("text", F.lit(most)))
     starts = F.when(F.length("t") <= size, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.length("t") - 1, F.lit(step)))
     out = docs.select("doc_id", t.alias("t")).where("t != ''").select("doc_id", "t", F.explode(starts).alias("start"))
     out = out.select("doc_id", "start", F.trim(F.substring("t", F.col("start") + 1, F.lit(size))).alias("chunk"))
