@@ -13,6 +13,7 @@ profiles all are `und`; extra columns are not read.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,42 +30,98 @@ SIZE = 300
 @functools.cache
 def lower() -> np.ndarray:
     """Lower-case code point of each letter (0 for others), within 16 bits."""
-    out = np.zeros(0x110000, np.uint64)
+    out = np.zeros(0x110000, np.uint16)
     letters = np.flatnonzero(classes() == LETTER)
     small = [chr(i).lower() for i in letters.tolist()]
     out[letters] = [ord(c[0]) & 0xFFFF or 1 for c in small]
     return out
 
 
-def grams(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, n-gram code) of all n-grams: n letters in 16 bits each; 0xFFFF stands for a word's end or start."""
+MARK = 0xFFFF
+
+
+def laid(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(letters with a mark before and after each word, text number of each, word number of each)."""
     c = lower()[cps]
     letter = c > 0
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    # letters and one mark before and after each word
-    first = letter & ~np.concatenate([[False], letter[:-1]])
-    if len(first):
-        starts = offsets[:-1][np.diff(offsets) > 0]
-        first[starts] |= letter[starts]
+    first = letter.copy()
+    first[1:] &= ~letter[:-1]
+    starts = offsets[:-1][np.diff(offsets) > 0]
+    first[starts] |= letter[starts]
     keep = np.flatnonzero(letter)
     if not len(keep):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
     word = np.cumsum(first)[keep] - 1
-    code, own = c[keep], owner[keep]
-    begin = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-    at = np.arange(len(code)) + 2 * word + 1  # room for two marks a word
-    line = np.full(len(code) + 2 * len(begin), 0xFFFF, np.uint64)
-    line[at] = code
-    tag = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(code))) + 2)
-    doc = own[begin][tag]
-    texts, codes = [own], [code]
-    value = line
+    begin = np.flatnonzero(first[keep])
+    line = np.full(len(keep) + 2 * len(begin), MARK, np.uint16)
+    line[np.arange(len(keep)) + 2 * word + 1] = c[keep]
+    tag = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(keep))) + 2)
+    doc = (np.searchsorted(offsets, keep[begin], "right") - 1)[tag]
+    return line, doc, tag
+
+
+def grams(line: np.ndarray, tag: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions in the line, codes) of the n-grams of 1 to 4 symbols, `bits` a symbol; single marks are none."""
+    value = line.astype(np.uint64)
+    mark = line.max()
+    one = np.flatnonzero(line != mark)
+    yield one, value[one]
+    single = value
     for n in (2, 3, 4):
-        value = (value[:-1] << np.uint64(16)) | line[n - 1 :]
-        ok = tag[: len(value)] == tag[n - 1 :]
-        texts.append(doc[: len(value)][ok])
-        codes.append(value[ok])
-    return np.concatenate(texts), np.concatenate(codes)
+        value = (value[:-1] << np.uint64(bits)) | single[n - 1 :]
+        at = np.flatnonzero(tag[: len(value)] == tag[n - 1 :])
+        yield at, value[at]
+
+
+def counted_grams(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, n-gram code, count) in order of text and code; a code holds n letters in 16 bits each.
+
+    The letters that occur are numbered in order, so that text and code fit into one number and one sort of values does;
+    with a very large alphabet the texts are halved until they do."""
+    line, doc, tag = laid(cps, offsets)
+    if not len(line):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    used = np.flatnonzero(np.bincount(line, minlength=1 << 16))
+    bits, texts = len(used).bit_length(), len(offsets) - 1
+    if texts > 1 and (texts - 1).bit_length() + 4 * bits > 64:
+        mid = texts // 2
+        low, high = counted_grams(cps[: offsets[mid]], offsets[: mid + 1]), counted_grams(cps[offsets[mid] :], offsets[mid:] - offsets[mid])
+        return np.concatenate([low[0], high[0] + mid]), np.concatenate([low[1], high[1]]), np.concatenate([low[2], high[2]])
+    dense = np.zeros(1 << 16, np.uint16)
+    dense[used] = np.arange(1, len(used) + 1)
+    shift = np.uint64(4 * bits)
+    base = doc.astype(np.uint64) << shift if texts > 1 else None
+    parts = [code if base is None else code | base[at] for at, code in grams(dense[line], tag, bits)]
+    key = np.concatenate(parts)
+    del parts, base
+    key.sort()
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    count = np.diff(np.append(new, len(key)))
+    key = key[new]
+    text = (key >> shift).astype(np.int64) if texts > 1 else np.zeros(len(key), np.int64)
+    letters = np.concatenate([[0], used]).astype(np.uint64)
+    code = np.zeros(len(key), np.uint64)
+    for j in range(4):
+        code |= letters[(key >> np.uint64(j * bits)) & np.uint64((1 << bits) - 1)] << np.uint64(16 * j)
+    return text, code, count
+
+
+def most_frequent(text: np.ndarray, count: np.ndarray, size: int, texts: int) -> np.ndarray:
+    """Positions of each text's `size` largest counts, in order of text and falling count (ties in order of position)."""
+    often = count > 1
+    at = np.flatnonzero(often | (np.bincount(text[often], minlength=texts) < size)[text])  # enough others: single ones cannot rank
+    text, count = text[at], count[at]
+    top = int(count.max())
+    place_bits, count_bits = len(at).bit_length(), top.bit_length()
+    if place_bits + count_bits + texts.bit_length() <= 64:
+        key = (((text << count_bits) | (top - count)).astype(np.uint64) << np.uint64(place_bits)) | np.arange(len(at), dtype=np.uint64)
+        key.sort()
+        order = (key & np.uint64((1 << place_bits) - 1)).astype(np.int64)
+    else:
+        order = np.lexsort((-count, text))
+    text = text[order]
+    place = np.arange(len(text)) - np.searchsorted(text, np.arange(texts))[text]
+    return at[order[place < size]]
 
 
 class Profiles:
@@ -79,22 +136,12 @@ class Profiles:
     def judge(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
         _, cps, at = code_points(data, offsets)
         n = len(at) - 1
-        text, code = grams(cps, at)
+        text, code, count = counted_grams(cps, at)
         if not self.names or not len(text):
             return ["und"] * n, np.zeros(n)
-        order = np.argsort(code)
-        text, code = text[order], code[order]
-        order = np.argsort(text, kind="stable")
-        text, code = text[order], code[order]
-        new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (code[1:] != code[:-1])]))
-        count = np.diff(np.append(new, len(text)))
-        text, code = text[new], code[new]
-        order = np.lexsort((code, -count, text))
-        text, code = text[order], code[order]
-        first = np.searchsorted(text, np.arange(n))
-        place = np.arange(len(text)) - first[text]
-        top = place < self.size
-        text, code, place = text[top], code[top], place[top]
+        top = most_frequent(text, count, self.size, n)
+        text, code = text[top], code[top]
+        place = np.arange(len(text)) - np.searchsorted(text, np.arange(n))[text]
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         at = np.where(self.codes[at] == code, at, len(self.codes))
         distance = np.stack([np.bincount(text, np.where(r[at] < 0, self.size, np.abs(r[at] - place)), minlength=n) for r in self.rank], 1)
@@ -124,14 +171,14 @@ def train(docs: DataFrame, *, sample: int = 1500, size: int = SIZE) -> Profiles:
             names = sorted(set(langs))
             number = np.array([names.index(x) for x in langs])
             _, cps, at = code_points(*utf8(rb.column(1)))
-            text, code = grams(cps, at)
+            text, code, count = counted_grams(cps, at)
             for k, name in enumerate(names):
-                c, n = np.unique(code[number[text] == k], return_counts=True)
+                own = number[text] == k
+                c, back = np.unique(code[own], return_inverse=True)
+                n = np.bincount(back, count[own], minlength=len(c)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(c), pa.string()), pa.array(c.view(np.int64)), pa.array(n)], ["lang", "code", "n"])
 
     counted = picked.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-
-
     w = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.expr("cast(code as decimal(20,0)) + if(code < 0, 18446744073709551616BD, 0BD)"))
     got = counted.withColumn("r", F.row_number().over(w)).where(F.col("r") <= size).orderBy("lang", "r").collect()
     ranked: dict[str, list[int]] = {}
@@ -146,7 +193,7 @@ def identify(docs: DataFrame, profiles: Profiles, *, text: str = "text") -> Data
     schema = T.StructType([inner.schema[0], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches):
-        for rb in slices(batches, "t", 1 << 20):
+        for rb in slices(batches, "t", 1 << 19):
             names, score = profiles.judge(*utf8(rb.column(1)))
             yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(names, pa.string()), pa.array(score)], ["d", "lang_pred", "score"])
 
