@@ -1,41 +1,338 @@
+"""Operators on small invented rows, beside the catalogue's comparison with SQL."""
+
+import datetime
+
+import pytest
 from pyspark.sql import functions as F
 
-from trainlake.functions import safety
-from trainlake.operators import curate, mix, rag
-from trainlake.sources.jsonl import latest_per_prefix, read_turns
+from trainlake.functions import safety, text
+from trainlake.functions import variant as J
+from trainlake.operators import control, curate, mix, rag, scan, sinks, suites
+from trainlake.streaming import harvest
+
+AWS = "AKIA" + "ABCDEFGHIJKLMNOP"
+
+
+def one(spark, value, f, kind="string"):
+    return spark.createDataFrame([(value,)], f"t {kind}").select(f(F.col("t")).alias("x")).first().x
+
+
+def test_strip_and_diff_lines(spark):
+    assert one(spark, "   \t x\n", J.strip) == "x" and one(spark, " \n", text.blank_to_null) is None
+    assert one(spark, "+++ b\n--- a\n@@ 1 @@\n+a\n b\n-c\n \n\nplain\n++x", text.added_lines) == "a\nb\n\nplain\n+x"
+    assert one(spark, None, text.added_lines) == "" and one(spark, "+a\r\n b\n-c", text.added_lines) == "a\nb"
+
+
+def test_truncate_tags_tone(spark):
+    assert one(spark, "abcdef", lambda c: text.truncate(c, 3)) == "abc\n…[truncated]" and one(spark, "abc", lambda c: text.truncate(c, 3)) == "abc"
+    assert one(spark, "Refactor the README; pytest says XSS", text.style_tags) == ["security", "refactor", "debug", "docs"]
+    assert [one(spark, t, text.tone) for t in ("urgent PR", "a pr", "apron")] == ["urgent", "collaborative", "neutral"]
+    assert text.message_budget(100) == 2000 and text.message_budget(1000) == 4000
+
+
+def test_record_text(spark):
+    r = spark.createDataFrame([("a", " ", None, [("x", ""), (None, "y")])], "text string, content string, message string, messages array<struct<content:string,text:string>>")
+    assert r.select(scan.record_text(r)).first()[0] == "a\n\nx\n\ny"
+    assert r.drop("messages").select(scan.record_text(r.drop("messages"))).first()[0] == "a"
+
+
+def test_findings_have_offsets(spark):
+    body = f"é😀 {AWS} and token = " + '"' + "a" * 20 + '"' + f" {AWS}x"
+    got = one(spark, body, safety.findings)
+    assert [f.kind for f in got] == ["aws_access_key", "aws_access_key", "generic_api_key"] and all(body[f.start : f.end] == f.match for f in got)
+    assert one(spark, "nothing", safety.findings) == [] and one(spark, None, safety.findings) == []
+    p = one(spark, "+pwd = hunter22\n-password: removed1\n password: 'context9'", safety.scan_diff)
+    assert [(f.kind, f.detail) for f in p] == [("password_assignment", "hunter22"), ("password_assignment", "context9")]
+
+
+def test_policy(spark):
+    pol = safety.Policy.load({"quarantine_severity": "WARN", "presidio": {"min_score": {"EMAIL_ADDRESS": 0.99}}}, {"exact": ["abc"], "regex": ["(", "(?i)example"]})
+    assert pol.quarantine == "warn" and pol.allowed == ("abc",) and pol.allowed_patterns == ("(?i)example",) and dict(pol.least_score)["EMAIL_ADDRESS"] == 0.99
+    rows = [("regex", "aws_access_key", "d"), ("regex", "generic_api_key", "d"), ("gitleaks", "scan_error", "d"), ("gitleaks", "leak", "d"), ("presidio", "EMAIL_ADDRESS", "score=1.00"), ("presidio", "EMAIL_ADDRESS", "score=0.60"), ("presidio", "PERSON", "score=1.00"), ("presidio", "CRYPTO", "score=0.91"), ("presidio", "CRYPTO", "score=0.92"), ("presidio", "IP_ADDRESS", "score=0.95"), ("presidio", "IP_ADDRESS", "x"), ("json", "parse_error", "d"), ("other", "k", "d")]
+    df = spark.createDataFrame(rows, "s string, k string, d string")
+    got = [r[0] for r in df.select(safety.severity(F.col("s"), F.col("k"), F.col("d"), pol)).collect()]
+    assert got == ["block", "warn", "warn", "block", "block", None, None, None, "block", "warn", None, "block", "warn"]
+    loose = spark.createDataFrame([([("EMAIL_ADDRESS", 0.6), ("CRYPTO", 0.91), ("CRYPTO", 0.95), ("X", 1.0)],)], "f array<struct<kind:string,score:double>>")
+    assert [(f.kind, f.score) for f in loose.select(safety.keep_scores(F.col("f")).alias("x")).first().x] == [("EMAIL_ADDRESS", 0.6), ("CRYPTO", 0.95)]
+
+
+def test_allow_list_parts(spark):
+    pol = safety.Policy(allowed=("libsql",), allowed_patterns=("^EXAMPLEHOST$",))
+    f = [("a:EXAMPLEHOST:b", None), ("a:EXAMPLE", None), ("zzz", "EXAMPLEHOST"), ("libsql", None)]
+    df = spark.createDataFrame([(x,) for x in f], "f struct<detail:string,match:string>")
+    assert [r[0] for r in df.select(safety.allowed(F.col("f"), pol)).collect()] == [True, False, True, True]
+
+
+def test_personal_data(spark):
+    body = "mail a@b.org or 10.0.0.1, card 4111111111111111 not 4111111111111112, ssn 123-45-6789, +1 415-555-0100"
+    kinds = [f.kind for f in one(spark, body, safety.personal)]
+    assert sorted(kinds) == ["CREDIT_CARD", "EMAIL_ADDRESS", "IP_ADDRESS", "PHONE_NUMBER", "US_SSN"]
+    assert [f.kind for f in one(spark, body, lambda c: safety.personal(c, safety.Policy(entities=("US_SSN",))))] == ["US_SSN"]
+
+
+def raw(spark, rows):
+    return spark.createDataFrame(rows, "_source_file string, _line_no long, source string, harness string, session_id string, source_path string, line_no long, role string, text string, _parse_error string")
+
+
+def test_scan_and_quarantine(spark):
+    rows = raw(spark, [
+        ("f", 1, "s", "h", "a", "/p", 1, "user", f"key {AWS}", None), ("f", 2, "s", "h", "b", "/p", 2, "user", "token: " + "b" * 20, None), ("f", 3, "s", "h", "c", "/p", 3, "user", "fine", None),
+        ("f", 4, "git", None, "d", "/p", 4, "user", f"-{AWS}\n+ok", None), ("f", 5, "s", "h", "e", "/git-diffs/x", 5, "user", f"+{AWS}", None), ("f", 6, None, None, None, None, None, None, None, "bad {"), ("g", 1, "s", "h", "a", "/p", 1, "user", "clean", None),
+    ])
+    found = scan.scan(rows)
+    got = {(r.source_file, r.line_no): (r.max_severity, r.failed, r.safety.ok) for r in found.collect()}
+    assert got == {("f", 1): ("block", True, False), ("f", 2): ("warn", False, True), ("f", 5): ("block", True, False), ("f", 6): ("block", True, False)}
+    assert scan.scan(rows, limit=1).count() == 1 and scan.scan(rows, policy=safety.Policy(quarantine="warn")).where("failed").count() == 4
+    totals = {r.source_file: (r.scanned, r.failed, r.warned) for r in scan.scan_counts(rows).collect()}
+    assert totals == {"f": (6, 3, 1), "g": (1, 0, 0)}
+    keys = scan.failure_keys(found)
+    kept = scan.clean_sessions(rows.where("session_id is not null"), keys, ["_source_file", "session_id"])
+    assert sorted((r._source_file, r.session_id) for r in kept.collect()) == [("f", "b"), ("f", "c"), ("f", "d"), ("g", "a")]
+    said = spark.createDataFrame([("x", 1, "BLOCK", None), ("x", 2, "warn", None), ("x", 3, None, ([("Block",)],)), ("x", 4, None, ([("warn",)],)), ("x", 5, None, None), ("x", None, "block", None), (None, 6, "block", None)], "source_file string, line_no int, max_severity string, safety struct<findings:array<struct<severity:string>>>")
+    assert sorted(r.line_no for r in scan.failure_keys(said).collect()) == [1, 3, 5]
+
+
+def test_window_safety(spark):
+    df = spark.createDataFrame([(f"-{AWS}", True), (f"+{AWS}", True), (f"-{AWS}", False), ("", True)], "t string, d boolean")
+    assert [len(r[0]) for r in df.select(scan.window_findings(F.col("t"), F.col("d"))).collect()] == [0, 1, 1, 0]
+    assert [len(r[0]) for r in df.select(scan.window_findings(F.col("t"), F.col("d"), enabled=False)).collect()] == [0] * 4
+
+
+def test_scan_modes():
+    config = {"scan": {"presidio_mode": "full", "profiles": {"personal": {"glob": "cursor-*.jsonl", "presidio_mode": "off"}}}, "curate": {"presidio_mode": False}}
+    assert scan.scan_mode(off=True, asked="full") == "off" and scan.scan_mode(asked="Pattern") == "pattern" and scan.scan_mode(environment=" full ") == "full"
+    assert scan.scan_mode(config=config) == "full" and scan.scan_mode(config=config, pattern="cursor-1.jsonl") == "off" and scan.scan_mode() == "pattern"
+    assert scan.scan_mode("curate", config=config) == "off" and scan.scan_mode("curate") == "off" and scan.scan_mode("curate", config={"scan": {"presidio_mode": "full"}}, honours_failures=False) == "full"
+    with pytest.raises(ValueError):
+        scan.scan_mode(asked="some")
+
+
+def test_external_scanner(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a\nb"), (2, "leak here"), (3, None)], "id long, text string").coalesce(1)
+    assert [r.external for r in scan.external_scan(rows, ["id"], binary="no-such-program").collect()] == [[], [], []]
+    fake = tmp_path / "fake"
+    fake.write_text("#!/usr/bin/env python3\nimport json, sys\na = sys.argv\nrows = open(a[a.index('--source') + 1]).read().split('\\n')\njson.dump([{'StartLine': i + 1, 'RuleID': 'r', 'Match': 'leak'} for i, x in enumerate(rows) if 'leak' in x], open(a[a.index('--report-path') + 1], 'w'))\n")
+    fake.chmod(0o755)
+    got = {r.id: [(f.kind, f.detail) for f in r.external] for r in scan.external_scan(rows, ["id"], binary=str(fake)).collect()}
+    assert got == {1: [], 2: [("r", "r:leak")], 3: []}
+    fake.write_text("#!/bin/sh\nexit 3\n")
+    got = {r.id: [f.kind for f in r.external] for r in scan.external_scan(rows, ["id"], binary=str(fake)).collect()}
+    assert got[1] == ["scan_error"]
+
+
+def test_labelled_cases(spark):
+    cases = [(f"+{AWS}", True, "diff_add", None), (f"-{AWS}", False, "x", "diff"), (AWS, True, "aws", None), ("plain", False, "code", None), ("plain", True, "miss", None)]
+    got = {r.label: (r.tp, r.fp, r.fn, r.tn, r.f1) for r in scan.evaluate_cases(spark.createDataFrame(cases, "text string, expect_block boolean, label string, mode string")).collect()}
+    assert got["overall"][:4] == (2, 0, 1, 2) and abs(got["overall"][4] - 0.8) < 1e-9 and got["code"] == (0, 0, 0, 1, 0.0)
+
+
+def test_curate(spark):
+    long = "word " * 60
+    rows = [("f", i + 1, "codex", "codex", "s", "/home/u/Documents/repo/x", None, "user" if i % 2 == 0 else "assistant", f"{i} {long}", None) for i in range(6)]
+    rows += [("f", 7, "codex", "codex", "s", "/home/u/Documents/repo/x", None, "user", f"0 {long}", None), ("f", 8, "codex", "codex", "s", "/home/u/Documents/repo/x", None, "developer", long, None), ("f", 9, "codex", "codex", "t", "/p", None, "user", long, None), ("g", 1, "codex", "codex", "s", "/p", None, "user", f"key {AWS} {long}", None), ("g", 2, "codex", "codex", "s", "/p", None, "assistant", long, None), ("g", 3, "codex", "codex", "s", "/p", None, "user", f"more {long}", None), ("g", 4, "codex", "codex", "s", "/p", None, "assistant", f"end {long}", None)]
+    got = {(r.source_file, r.meta.session_id): r for r in curate.curate(raw(spark, rows)).collect()}
+    assert set(got) == {("f", "s"), ("g", "s")}  # t has no assistant; equal names of two files stay apart
+    r = got["f", "s"]
+    assert len(r.messages) == 6 and r.meta.train_tier == 1 and r.meta.data_source is None and r.meta.harness == "codex" and (r.meta.chunk_index, r.meta.chunk_count) == (0, 1)
+    assert got["g", "s"].meta.train_tier == 0 and [f.kind for f in got["g", "s"].meta.safety.findings] == ["aws_access_key"] and got["g", "s"].meta.safety_severities == ["block"]
+    keys = spark.createDataFrame([("f", 3)], "source_file string, line_no long")
+    assert {r.source_file for r in curate.curate(raw(spark, rows), failures=keys).collect()} == {"g"}
+    commits = spark.createDataFrame([("/home/u/Documents/repo", f"2024-01-0{i}", f"c{i}") for i in range(1, 8)] + [("", "2024", "x")], "repo string, committed_at string, session_id string")
+    linked = {r.source_file: r.meta for r in curate.link_commits(curate.curate(raw(spark, rows)), commits, mark_exec=True).collect()}
+    assert linked["f"].linked_commits == ["c3", "c4", "c5", "c6", "c7"] and linked["f"].exec == "pass" and linked["f"].project == "repo" and linked["g"].linked_commits is None and linked["g"].exec == "unknown"
+    rows_, counts = curate.personal_export(curate.curate(raw(spark, rows)))
+    assert [(r.harness, r.rows) for r in counts.collect()] == [("codex", 1)] and rows_.count() == 1
 
 
 def test_quota_uses_floats():
     assert [mix.quota(n, 100, r, None) for n, r in ((4, 0.5), (9, 0.9), (90, 0.9), (77, 0.9), (100, 0.75))] == [4, 0, 9, 8, 33]
-    assert mix.quota(0, 7, 0.9, 0) == 0 and mix.quota(0, 7, 0.9, None) == 7 and mix.quota(5, 7, 1.0, None) == 0
+    assert mix.quota(0, 7, 0.9, 0) == 7 and mix.quota(0, 7, 0.9, None) == 7 and mix.quota(5, 7, 1.0, None) == 0 and mix.quota(5, 9, -0.5, None) == 0
 
 
-def test_windows_cover_and_overlap(spark):
-    m = [("user" if i % 2 == 0 else "assistant", "x" * 60) for i in range(35)]
-    rows = spark.createDataFrame([(1, m)], "session_id int, messages array<struct<role:string,content:string>>")
-    got = curate.windows(rows, ["session_id"]).orderBy("chunk_index").collect()
-    assert [len(r.messages) for r in got] == [24, 15] and got[0].chunk_count == 2
+def test_mix_rules(spark):
+    rows = [(f"p{i}", "h", "personal", None) for i in range(4)] + [(f"q{i}", "h", "public", "b" if i % 2 else "a") for i in range(6)]
+    df = spark.createDataFrame(rows, "curated_id string, harness string, data_source string, public_dataset string")
+    order = lambda **k: [r.curated_id for r in mix.mix(df, **k).orderBy("sort_order").collect()]
+    assert order(ratio=0.5, priority=("b",)) == ["p0", "p1", "p2", "p3", "q1", "q3", "q5", "q0"]
+    assert order(ratio=0.5, cap=2) == ["p0", "p1", "p2", "p3", "q0", "q1"] and order(ratio=0.5, limit=2) == ["p0", "p1", "p2", "p3"] and order(ratio=0.5, limit=5) == ["p0", "p1", "p2", "p3", "q0"]
+    assert order(prioritize_personal=False, limit=3) == ["p0", "p1", "p2"] and order(exclude_public=True) == ["p0", "p1", "p2", "p3"] and len(order(prioritize_personal=False)) == 10
+    index = df.withColumns({"train_tier": F.lit(1), "safety_ok": F.lit(1)})
+    out, criteria = mix.manifest(index, "m", policy=mix.Policy(ratio=0.5))
+    assert out.count() == 8 and '"personal_ratio_actual":0.5' in criteria.first().criteria_json and mix.manifest(index, "m", tier=2)[0].count() == 0
+
+
+def test_extract(spark):
+    points = spark.createDataFrame([("a", "f", 1, 0, 0.25, "h", "public", "ds"), ("b", "f", 9, 1, 1.0, "h", None, None)], "curated_id string, source_file string, source_line long, sort_order long, sample_weight double, harness string, data_source string, public_dataset string")
+    lines = spark.createDataFrame([("f", 1, [("user", "x")], {"harness": "own", "sample_weight": "9"})], "source_file string, source_line long, messages array<struct<role:string,content:string>>, meta map<string,string>")
+    rows, missing = mix.extract(points, lines)
+    assert rows.first().meta == {"harness": "own", "data_source": "public", "public_dataset": "ds", "sample_weight": "0.25"} and [r.curated_id for r in missing.collect()] == ["b"]
+
+
+def test_train_set_and_weights(spark):
+    m = "array<struct<role:string,content:string>>"
+    df = spark.createDataFrame([([("user", " a "), ("tool", "t"), ("assistant", "b" * 9)], None, "public_x", 0.01), ([("user", "a"), ("system", "b")], None, "h", 1.0), ([("user", ""), ("assistant", "b")], None, "h", 1.0)], f"messages {m}, data_source string, harness string, sample_weight double")
+    (r,) = mix.train_set(df, cap=5).collect()
+    assert [tuple(x) for x in r.messages] == [("user", "a"), ("assistant", "bbbbb\n...[truncated for VRAM]")] and (r.data_source, r.sample_weight) == ("public", 0.05)
+    assert [x[0] for x in df.select(mix.weights_of(df)).collect()] == [0.05, 1.0, 1.0] and df.drop("sample_weight").select(mix.weights_of(df.drop("sample_weight"))).first()[0] == 1.0
+    tok = df.withColumn("tokens", mix.word_tokens(F.col("messages")))
+    assert mix.keep_assistant(tok, 1).count() == 2 and mix.keep_assistant(tok, 100).count() == 2
+
 
+def test_samples(spark):
+    df = spark.createDataFrame([(f"k{i}", f"s{i % 3}" if i < 30 else "rare", 1 + i % 2) for i in range(31)], "k string, s string, train_tier int")
+    got = mix.audit_sample(df, "s", "k", 10).collect()
+    assert len(got) == 10 and {r.s for r in got} == {"s0", "s1", "s2", "rare"} and got == mix.audit_sample(df, "s", "k", 10).collect()
+    assert len(mix.audit_sample(df, "s", "k", 100).collect()) == 31 and len(mix.audit_sample(df, "s", "k", 2).collect()) == 2
+    assert mix.replay(df, "k", target=20).count() == 15 + 4 and mix.replay(df, "k", target=10).count() == 15 and mix.replay(df, "k", tier2=False, target=3).count() == 3
+    split = mix.holdout(df, "k", stratum="s")
+    assert {(r.s, r.split): r["count"] for r in split.groupBy("s", "split").count().collect()} == {("s0", "train"): 9, ("s0", "eval"): 1, ("s1", "train"): 9, ("s1", "eval"): 1, ("s2", "train"): 9, ("s2", "eval"): 1, ("rare", "train"): 1}
+    assert mix.holdout(df.limit(19), "k").where("split = 'eval'").count() == 0
 
-def test_jsonl_lines(spark, tmp_path):
-    p = tmp_path / "a-2024-01-01.jsonl"
-    p.write_text('{"role":"user","text":"hi"}\n\nnot json\n[1]\n{"role":"assistant","text":"yo"}\n')
-    got = read_turns(spark, str(p)).orderBy("_line_no").collect()
-    assert [(r._line_no, r.text, r._parse_error) for r in got] == [(1, "hi", None), (3, None, "not json"), (5, "yo", None)]
-    assert latest_per_prefix(["x-2024-01-01.jsonl", "x-2024-02-01.jsonl", "y.jsonl"]) == ["x-2024-02-01.jsonl", "y.jsonl"]
 
+def test_packing(spark):
+    df = spark.createDataFrame([(i, n, s) for i, (n, s) in enumerate([(7, "a"), (3, "a"), (6, "a"), (4, "a"), (12, "a"), (5, "b"), (5, "b"), (1, None)])], "k long, n int, s string")
+    got = mix.pack(df, "k", "n", "s", size=10).collect()
+    bins = {}
+    for r in got:
+        bins.setdefault((r.s, r.bin), []).append((r.offset, r.used))
+    assert len(got) == 8 and sorted(map(len, bins.values())) == [1, 1, 2, 2, 2]
+    for own in bins.values():
+        at = 0
+        for offset, used in sorted(own):
+            assert offset == at
+            at += used
+        assert at <= 10
 
-def test_findings_and_severity(spark):
-    text = "key " + "AKIA" + "ABCDEFGHIJKLMNOP" + " and token = " + '"' + "a" * 20 + '"'
-    r = spark.createDataFrame([(text,)], "t string").select(safety.findings(F.col("t")).alias("f"), safety.block_count(F.col("t")).alias("b"), safety.warn_count(F.col("t")).alias("w")).first()
-    assert [f.kind for f in r.f] == ["aws_access_key", "generic_assignment"] and (r.b, r.w) == (1, 1)
 
+def test_weighted_draws(spark):
+    df = spark.createDataFrame([("a", 8.0), ("b", 2.0), ("c", 0.0)], "k string, w double")
+    got = {r.k: r["count"] for r in mix.weighted_draws(df, "k", "w", 4000).groupBy("k").count().collect()}
+    assert sum(got.values()) == 4000 and abs(got["a"] - 3200) < 150 and "c" not in got
+    assert mix.weighted_draws(df.where("w = 0"), "k", "w", 5).count() == 0
 
-def test_chunks_and_recommended(spark):
-    docs = spark.createDataFrame([(1, "ab" * 300), (2, " "), (3, "x")], "doc_id long, text string")
+
+def test_lengths_and_steps(spark):
+    assert mix.recommended(1000) == 1280 and mix.recommended(10) == 512 and mix.recommended(9000) == 8192
+    empty = mix.length_audit(spark.createDataFrame([], "n long"), "n").first()
+    assert (empty["rows"], empty.longest, empty.recommended) == (0, 0, 512)
+    assert [mix.step_budget(per_epoch=10, epochs=2.5, **k) for k in ({}, {"cap": 7}, {"one_epoch": True}, {"asked": 3}, {"smoke": True})] == [25, 7, 10, 3, 5]
+
+
+def test_control(spark):
+    log = spark.createDataFrame([("p", "h1", "r1", 1, 1), ("p", "h2", None, 2, 2), ("q", "h", None, 3, 1)], "path string, harness string, ingest_run_id string, row_count long, at long")
+    assert sorted(tuple(r) for r in control.state(log, "ingest_files").select("path", "harness", "row_count", "ingest_run_id").collect()) == [("p", "h2", 2, "r1"), ("q", "h", 3, None)]
+    assert control.empty(spark, "rag_sources").columns[0] == "source_id" and len(control.TABLES) == 12
+    files = spark.createDataFrame([("/a/cursor-2024-01-01.jsonl", "x"), ("/a/cursor-2024-01-01.jsonl", " "), ("/a/public-swe-next-2024-01-01.jsonl", "y")], "source_path string, value string")
+    assert sorted((r.harness, r.row_count) for r in control.count_lines(files).collect()) == [("cursor", 1), ("public_swe_next", 1)]
+    cur = spark.createDataFrame([("a", 1), ("b", 2)], "curated_id string, train_tier int")
+    asked = spark.createDataFrame([("a", "why"), ("z", "no")], "curated_id string, reason string")
+    after, events, unknown = control.quarantine(cur, asked)
+    assert {r.curated_id: r.train_tier for r in after.collect()} == {"a": 0, "b": 2} and [(r.curated_id, r.train_tier_before, r.train_tier_after) for r in events.collect()] == [("a", 1, 0)] and unknown.first().curated_id == "z"
+    assert control.disk_runs([("x", 2.0, True), ("y", 3.0, False), ("z", 1.0, True)], {"z"}, 3) == [{"run_name": "y", "has_adapter": False, "status": "incomplete"}, {"run_name": "x", "has_adapter": True, "status": "completed"}]
+    assert control.probe(cur, "d").first().sample_keys == "curated_id,train_tier" and "synced_at" in control.sync_registry(cur, F.lit("now")).columns
+
+
+def test_chunks_and_index(spark):
+    docs = spark.createDataFrame([(1, "ab" * 300), (2, "   "), (3, "x")], "doc_id long, text string")
     got = rag.chunks(docs).orderBy("doc_id", "start").collect()
     assert [(r.doc_id, r.start, len(r.chunk)) for r in got] == [(1, 0, 512), (1, 462, 138), (3, 0, 1)]
-    assert mix.recommended(1000) == 1280 and mix.recommended(10) == 512
+    src = spark.createDataFrame([("a", "u", None, 0, None, "t" * 600), ("b", "u", "page", 0, "lib", "x"), ("c", "u", "page", 1, None, None)], "source_id string, url string, kind string, tier int, library string, body string")
+    rows, status = rag.index(src)
+    assert {r.source_id: (r.status, r.chunk_count) for r in status.collect()} == {"a": ("indexed", 2), "b": ("context7_only", 0), "c": ("failed", 0)} and rows.first().id.startswith("a:0:")
+    assert rag.run_summary(status).first().status == "completed_with_errors" and rag.collection_stats(rows).first().chunks == 2 and rag.index(src, external=True, only=("b",))[1].first().status == "indexed"
+
+
+def test_vectors(spark):
+    v = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, [1.0, 1.0]), (3, [1.0, 0.0]), (4, None)], "vec_id long, embedding array<float>")
+    assert [r.vec_id for r in rag.nearest(v, [1.0, 0.0], 4).collect()] == [0, 3, 2, 1]
+    got = rag.nearest_each(v, v.where("vec_id in (0, 2)").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), 3, block=1)
+    assert sorted((r.query_id, r.place, r.vec_id) for r in got.collect()) == [(0, 1, 0), (0, 2, 3), (0, 3, 2), (2, 1, 2), (2, 2, 0), (2, 3, 3)]
+    assert rag.nearest_each(v, v.limit(0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), 3).count() == 0
+
+
+def test_suites(spark, tmp_path):
+    for s in suites.SUITES:
+        (tmp_path / f"{s}.jsonl").write_text('{"id": "a-example-001"}\n{"id": "b", "meta": {"note": "REPLACE me"}}\n' if s == "style" else "" if s == "debug" else '{"id": "real", "repo": "r"}\n')
+    tasks, names = suites.load(spark, str(tmp_path)), spark.createDataFrame([(s,) for s in suites.SUITES], "suite string")
+    got = {r.suite: (r.verdict, r.reason, r.passed) for r in suites.verdicts(tasks, names).collect()}
+    assert got == {"style": ("pass", "placeholder_suite_skipped", 2), "debug": ("fail", "empty_suite", 0), "diff_apply": ("incomplete", "manual_tasks_required", 0), "retrieval_gold": ("incomplete", "manual_tasks_required", 0)}
+    assert {r.suite: r.verdict for r in suites.verdicts(tasks, names, strict=True).collect()}["style"] == "fail"
+    smoke = spark.createDataFrame([("diff_apply", "ok", None), ("retrieval_gold", None, "refused")], "suite string, reply string, error string")
+    tested = suites.verdicts(tasks, names, smoke=smoke)
+    assert {r.suite: (r.verdict, r.passed) for r in tested.collect()} == {"style": ("pass", 2), "debug": ("fail", 0), "diff_apply": ("pass", 1), "retrieval_gold": ("fail", 0)}
+    assert suites.overall(tested).first().verdict == "fail" and suites.overall(tested.where("verdict = 'pass'")).first().verdict == "pass" and suites.registered(tested, "run").count() == 4
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("a", None), ("b", 1)], "t string, n int")
+    day = datetime.date(2024, 1, 2)
+    path = sinks.write_records(rows, str(tmp_path), "x", day=day)
+    sinks.write_records(rows, str(tmp_path), "x", day=day)
+    assert path.endswith("x-2024-01-02.jsonl") and spark.read.text(path).count() == 4 and '{"t":"a"}' in {r.value for r in spark.read.text(path).collect()}
+    sinks.write_records(rows, str(tmp_path), "x", day=day, replace=True)
+    assert spark.read.json(path).count() == 2
+    (tmp_path / "1.txt").write_text("b\na\n")
+    (tmp_path / "2.txt").write_text("0\n")
+    sinks.merge_parts(spark, [f"{tmp_path}/1.txt", f"{tmp_path}/2.txt"], f"{tmp_path}/all")
+    assert [r.value for r in spark.read.text(f"{tmp_path}/all").collect()] == ["b", "a", "0"] and len(list((tmp_path / "all").glob("part-*"))) == 1
+    assert [x[1] for x in sinks.archive(spark, str(tmp_path), "x", "old")] == [f"{tmp_path}/archive/old/x-2024-01-02.jsonl"] and (tmp_path / "archive" / "old").is_dir()
+    assert sinks.report(rows.orderBy("t"), "T").splitlines()[2:] == ["| t | n |", "|---|---|", "| a |  |", "| b | 1 |"]
+    with pytest.raises(ValueError):
+        sinks.report(rows, "T", most=1)
+
+
+def test_harvest_turns(spark):
+    event = {"type": "event_msg", "payload": {"type": "user_message", "message": "same"}}
+    import json
+
+    item = lambda role, t: {"type": "response_item", "payload": {"type": "message", "role": role, "content": [{"type": "input_text", "text": t}]}}
+    texts = [
+        (".codex/sessions/rollout-x.jsonl", "\n".join(map(json.dumps, [event, item("user", "same"), item("assistant", "reply"), item("user", "other")]))),
+        ("v/chatSessions/s.jsonl", "\n".join(map(json.dumps, [{"kind": 0, "v": {"sessionId": "S", "requests": [{"message": {"text": "q"}, "response": [{"value": "r"}, {"x": 1}]}]}}, {"kind": 2, "k": ["requests"], "v": [{"message": {"text": "q2"}}]}, {"kind": 2, "k": ["x"], "v": [{"message": {"text": "no"}}]}]))),
+        (".qwen/tmp/1/chats/session-1.json", json.dumps({"messages": [{"type": "user", "content": "u"}]})),
+        ("x/plain.jsonl", "\n".join(map(json.dumps, [{"role": "tool", "text": "t"}, {"type": "message", "message": {"role": "user", "content": "oc"}}, {"messages": [{"role": "Human", "content": "f"}]}, {"role": "nobody", "text": "n"}]))),
+        ("empty.jsonl", "nothing here"),
+    ]
+    blobs = spark.createDataFrame([("r", p, f"sha{i}", "u", "q", c, None) for i, (p, c) in enumerate(texts)], "repo string, path string, sha string, url string, query_id string, content string, hint string")
+    got = harvest.turns(blobs)
+    assert sorted((r.harness, r.role, r.text) for r in got.collect()) == sorted([("codex", "user", "same"), ("codex", "assistant", "reply"), ("codex", "user", "other"), ("copilot_vscode", "user", "q"), ("copilot_vscode", "assistant", "r"), ("copilot_vscode", "user", "q2"), ("qwen_cli", "user", "u"), ("generic", "tool", "t"), ("openclaw", "user", "oc"), ("factory", "user", "f")])
+    assert {r.source for r in got.collect()} == {"github_public"} and got.where("harness = 'codex'").first().github.sha == "sha0"
+    hits = blobs.withColumn("ok", F.lit(True))
+    done = harvest.outcomes(hits, got)
+    assert {r.key: (r.bucket, r.reason) for r in done.collect()}["r:empty.jsonl"] == ("rejected", "empty_parse") and done.where("bucket = 'seen'").count() == 4
+    state = spark.createDataFrame([("r:empty.jsonl", "seen", "old", None, 5), ("r:gone", "seen", "s", None, 1)], "key string, bucket string, sha string, reason string, records long")
+    new = {r.key: r.bucket for r in harvest.new_state(state, done).collect()}
+    assert new["r:empty.jsonl"] == "rejected" and new["r:gone"] == "seen" and len(new) == 6
+    chat = harvest.sniff(blobs.select(F.col("path").alias("source_path"), "content", harvest.detect(F.col("path")).alias("harness")))
+    assert {r.source_path: r.chat for r in chat.collect()} == {".codex/sessions/rollout-x.jsonl": True, "v/chatSessions/s.jsonl": False, ".qwen/tmp/1/chats/session-1.json": True, "x/plain.jsonl": False, "empty.jsonl": False}
+
+
+def test_harvest_rules(spark):
+    q = spark.createDataFrame([("b", None, None), ("a", None, None), ("c", 1, 3), ("d", None, None)], "id string, priority int, max_pages int")
+    assert [(r.id, r.priority, r.max_pages) for r in harvest.schedule(q, ("b",), disabled=("d",)).collect()] == [("c", 1, 3), ("b", 10, 10), ("a", 50, None)]
+    assert [r.id for r in harvest.schedule(q, (), enabled=("d",)).collect()] == ["d"]
+    assert harvest.fingerprint({"a": 1, "max_rows": 5}) == harvest.fingerprint({"max_rows": 9, "a": 1}) != harvest.fingerprint({"a": 2}) and len(harvest.fingerprint({})) == 16
+    assert harvest.anchored(r"(?i)x/") == r"(?i)(?:^|/)x/" and harvest.anchored("^x") == "^x"
+    lanes = spark.createDataFrame([("app", "k2"), ("app", "k1"), ("pat", "k3")], "lane string, key string")
+    assert {r.lane: (r.n, r.first) for r in harvest.by_lane(lanes).collect()} == {"app": (2, "k1"), "pat": (1, "k3")}
+    assert one(spark, "https://x/blob/0123456789abcdef/y", text.commit_ref) == "0123456789abcdef"
+
+
+def test_harvest_stream(spark, tmp_path):
+    hits = spark.createDataFrame([("k", "s1"), ("k", "s1"), ("k", "s2"), ("l", "s1")], "key string, sha string")
+    hits.write.parquet(f"{tmp_path}/in")
+    out = harvest.stream_fresh(spark.readStream.schema(hits.schema).parquet(f"{tmp_path}/in"))
+    query = out.writeStream.format("memory").queryName("fresh_hits").outputMode("append").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("fresh_hits").count() == 3
+
+
+def test_windows_cover_and_overlap(spark):
+    m = [("user" if i % 2 == 0 else "assistant", "x" * 60) for i in range(35)]
+    rows = spark.createDataFrame([(1, m)], "session_id int, messages array<struct<role:string,content:string>>")
+    got = curate.windows(rows, ["session_id"]).orderBy("chunk_index").collect()
+    assert [len(r.messages) for r in got] == [24, 15] and got[0].chunk_count == 2
+    assert len(curate.windows(rows, ["session_id"], most=5, overlap=9).collect()) == 31
 
 
 def test_chunk_queries_take_whole_texts(spark, tmp_path):

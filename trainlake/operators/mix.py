@@ -67,9 +67,9 @@ def mix(rows: DataFrame, *, ratio: float = 0.9, cap: int | None = None, weights:
         mine, n = counts.get("personal", 0), quota(counts.get("personal", 0), counts.get("public", 0), ratio, cap)
         if limit is not None:
             n = min(n, max(0, limit - mine)) if mine else min(n, limit)
-        by = place_of(F.coalesce("public_dataset", F.lit("")), priority) if "public_dataset" in rows.columns else F.lit(0)
-        both = personal.unionByName(public.orderBy(by, id).limit(n))
-        order = (kind, F.when(kind == 1, by).otherwise(0), F.when(kind == 0, F.col("harness")), id)
+        by = [place_of(F.coalesce("public_dataset", F.lit("")), priority)] if priority else []
+        both = personal.unionByName(public.orderBy(*by, id).limit(n))
+        order = (kind, *[F.when(kind == 1, b).otherwise(0) for b in by], F.when(kind == 0, F.col("harness")), id)
     if limit is not None and (exclude_public or not prioritize_personal):
         keep = prioritize_personal  # personal rows alone are never cut while they have priority
         both = both if keep else both.orderBy(*order).limit(limit)
