@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the one before it kept, and returns the columns of documents
 (the last one: packed pieces). n_chars is recomputed where a stage changes the text. Documents whose text became empty
-stay until near-dedup, which keeps one of them. SQL cannot express the stages; the tests compare with brute force.
+stay until near-dedup, which keeps one of them. SQL cannot express the stages; the tests compare every stage's rows with
+plain Python versions on a small corpus (test_pipeline_brute).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.llm import decontamination, line_dedup, packing, simhash, toxicity
-from trainlake.llm.common import cut, table
+from trainlake.llm.common import shared_folder, table
 from trainlake.llm.queries import vocabulary
 
 ORACLE_SQL = None
@@ -60,12 +61,20 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", toxic), ("line_dedup", lines), ("simhash", near_copies), ("decontamination", contaminated), ("packing", packed)]
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages; each stage's result is written and read again in the shared checkpoint folder."""
+    """All stages; each stage's result is written and read again in the shared checkpoint folder, and goes when the next one is there (the last one written stays, as the result is read from it)."""
     docs = table(spark, sf_dir, "documents")
-    cut(spark.range(1))  # sets a checkpoint folder where there is none
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
+    folder, before = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            _drop(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
