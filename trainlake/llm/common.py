@@ -18,12 +18,21 @@ CHUNK_BYTES = 2 << 20
 
 def cut(df: DataFrame) -> DataFrame:
     """Checkpoint into the cluster's shared folder (spark.checkpoint.dir); a temporary one only where that is unset."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp("checkpoints"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: spark.checkpoint.dir, or, only in local mode, a temporary one if that is unset."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp("checkpoints"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of plans that were cut and are no longer referred to."""
     gc.collect()
@@ -38,6 +47,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def hot_join(rows: DataFrame, of: DataFrame, key: str, *, share: int = 2000) -> DataFrame:
+    """rows joined with of (one row a key, n: the number of rows that have it). Keys with over 1/share of all rows, so fewer
+    than `share` keys, are sent to the rows instead of sending their rows to one task."""
+    total = of.agg(F.sum("n")).first()[0] or 0
+    hot = of.where(F.col("n") * share > F.lit(total)).drop("n")
+    cold = of.where(F.col("n") * share <= F.lit(total)).drop("n")
+    few = F.broadcast(hot)
+    return rows.join(few, key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
 def trim() -> None:
     """Give memory that this Python worker has freed back to the system; workers serve many stages."""
     pa.default_memory_pool().release_unused()

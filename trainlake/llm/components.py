@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from .common import cut
 
 LINKS = "u long, v long"
+#: Nodes that a task's forest holds before its links are given out and forgotten; bounds its memory.
+NODES = 1 << 20
 
 
 class Forest:
@@ -35,20 +37,32 @@ class Forest:
         self.parent.setdefault(min(a, b), min(a, b))
         return True
 
-    def links(self) -> list[tuple[int, int]]:
-        return [(x, self.root(x)) for x in list(self.parent) if self.root(x) != x]
+    def full(self) -> bool:
+        return len(self.parent) >= NODES
+
+    def take(self) -> list[tuple[int, int]]:
+        """The links to the roots; the forest is empty after it."""
+        out = [(x, self.root(x)) for x in list(self.parent) if self.root(x) != x]
+        self.parent = {}
+        return out
+
+
+def star_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    rows = np.array(links or np.zeros((0, 2)), np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["u", "v"])
 
 
 def contract(links: DataFrame) -> DataFrame:
-    """The links of each partition replaced by stars of its own components (same components, fewer links)."""
+    """The links of each partition replaced by stars of its own components (same components, fewer links), run by run of bounded size."""
 
     def run(batches):
         forest = Forest()
         for rb in batches:
             for u, v in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist()):
                 forest.join(u, v)
-        rows = np.array(forest.links() or np.zeros((0, 2)), np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["u", "v"])
+            if forest.full():
+                yield star_batch(forest.take())
+        yield star_batch(forest.take())
 
     return links.select("u", "v").mapInArrow(run, LINKS)
 

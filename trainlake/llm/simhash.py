@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, shuffle_partitions, slices, utf8
-from .components import Forest, components
+from .common import cut, hot_join, shuffle_partitions, slices, utf8
+from .components import Forest, components, star_batch
 
 BITS = 64
 
@@ -162,6 +162,8 @@ def _groups(nodes: DataFrame, masks: list[int], m: int, t: int, limit: int | Non
                 own = (i[a], key[a])
                 if own != last:
                     close()
+                    if forest.full():
+                        yield star_batch(forest.take())
                     held, over, last = [], False, own
                 if over:
                     yield big(f[a:b])
@@ -171,8 +173,7 @@ def _groups(nodes: DataFrame, masks: list[int], m: int, t: int, limit: int | Non
                     yield big(np.concatenate(held))
                     held, over = [], True
         close()
-        rows = np.array(forest.links() or np.zeros((0, 2)), np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["u", "v"])
+        yield star_batch(forest.take())
 
     return rows.mapInArrow(run, "u long, v long")
 
@@ -195,12 +196,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     marked = cut(inner.mapInArrow(run, schema))
     # copies are one node; the smallest id of each is gathered with partial sums, so a large group moves few rows
-    nodes = cut(marked.groupBy("f").agg(F.min("d").alias("least")))
+    nodes = cut(marked.groupBy("f").agg(F.min("d").alias("least"), F.count("*").alias("n")))
     groups = components(links(nodes.select("f"), bits=bits, limit=limit))
-    named = nodes.join(groups, nodes.f == groups.node, "left").select("f", "least", F.coalesce("component", "f").alias("c"))
-    names = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    of = named.join(names, "c").select("f", "component_id")
-    return marked.join(of, "f").select(F.col("d").alias(doc_id), "f", "component_id")
+    named = cut(nodes.join(groups, nodes.f == groups.node, "left").select("f", "least", "n", F.coalesce("component", "f").alias("c")))
+    names = named.groupBy("c").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    of = cut(hot_join(named, names, "c").select("f", "component_id", "n"))
+    return hot_join(marked, of, "f").select(F.col("d").alias(doc_id), "f", "component_id")
 
 
 def hexadecimal(f):
