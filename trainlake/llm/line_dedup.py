@@ -26,18 +26,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import code_points, cut, ragged, release, shuffle_partitions, slices, utf8
-from .components import Forest, components
-from .pretokens import Hasher
+from .components import Forest, components, star_batch
 
 SHINGLE, BANDS, ROWS, SIMILARITY, SHORTEST = 5, 16, 5, 0.8, 20
-#: The low SKETCH bits of a band key are one bit each of signature values outside the band. At similarity 0.8 a bit differs
-#: with probability 0.1, so a pair that shares a band has over APART different bits there with probability 0.008 (and most
-#: pairs share several bands, each with other bits); at 0.1, with probability 0.96.
-SKETCH, APART = 24, 6
-#: Groups of up to so many members lose those members whose bits are near to no other's; larger ones keep all members.
-COMPARED = 32
+#: A band's key goes with a sketch: one bit each of SKETCH signature values outside the band (LOW of them in the key's low
+#: bits, the others beside it). At similarity 0.8 a bit differs with probability 0.1, so a pair that shares a band has over
+#: APART different bits there with probability 0.003 (and most pairs share several bands, each with other bits); at 0.1,
+#: with probability 0.9997. So what unlike lines cost does not grow with their number.
+SKETCH, LOW, APART = 56, 24, 12
+#: Members of a group that are compared one by one before the rest of it is compared at once; the result does not depend on it.
+NEIGHBOURS = 64
+#: Shingle hashes that one MinHash step handles at once.
+BLOCK = 1 << 15
 #: Bits of the filter that keeps lines without a candidate out of the text shuffle; its size is fixed.
 FILTER_BITS = 1 << 22
+#: How far from the threshold the count of shared hashes must be to be taken without the shingles. One colliding 48-bit hash
+#: changes it by less than 2; two in one pair of lines do not happen (about 1e-19).
+MARGIN = 2
+#: Bits of the sets by which pairs that cannot be like are left out before their shingles are compared.
+SET_BITS = 2048
+#: Bits of two lines' 64-bit sketches that may differ before a pair is compared: at similarity 0.8 more do with probability
+#: 1e-4, at 0.1 with probability 0.999.
+FAR = 16
+MASK = (1 << 64) - 1
+#: Members of a centre that one task compares at most, about.
+STAR = 512
 #: Lines whose keys a task remembers to have sent, to save sending them again; bounds the set's memory.
 SENT = 1 << 18
 
@@ -46,30 +59,73 @@ def _multipliers(n: int) -> np.ndarray:
     return np.random.default_rng(20_240_601).integers(1, 2**32, size=(n, 2), dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
-def band_keys(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int, bands: int, rows: int, hasher: Hasher) -> np.ndarray:
-    """(lines, bands) keys from the MinHash signatures of lines cps[begin:begin+size]; the low SKETCH bits are a sketch of the other bands."""
+def signatures(h: np.ndarray, count: np.ndarray, steps: int) -> np.ndarray:
+    """(steps, lines) MinHash values of lines whose shingle hashes (uint32) lie one after the other, count[i] of line i.
+
+    All steps run over one block of whole lines after the other, so that a block stays in the processor's cache."""
+    out = np.empty((steps, len(count)), np.uint32)
+    edge = np.concatenate([[0], np.cumsum(count)])
+    multipliers = _multipliers(steps)
+    at = 0
+    while at < len(count):
+        to = max(at + 1, int(np.searchsorted(edge, edge[at] + BLOCK, "right")) - 1)
+        block, first = h[edge[at] : edge[to]], edge[at:to] - edge[at]
+        x = np.empty_like(block)
+        for k, (a, b) in enumerate(multipliers):
+            np.bitwise_xor(block, b, out=x)
+            np.multiply(x, a, out=x)
+            np.minimum.reduceat(x, first, out=out[k, at:to])
+        at = to
+    return out
+
+
+def shingle_hashes(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(32-bit hashes of the shingles of lines cps[begin:begin+size], one line after the other, their count a line). A shorter line is one shingle."""
     count = np.maximum(size - shingle + 1, 1)
-    base = np.cumsum(count) - count
-    at = ragged(begin, count)
-    h = (hasher(cps, at, np.minimum(shingle, np.repeat(size, count))) >> np.uint64(32)).astype(np.uint32)
-    out = np.zeros((len(size), bands), np.uint64)
-    bit = np.zeros((len(size), bands * rows), np.uint64)
-    x = np.empty_like(h)
-    for k, (a, b) in enumerate(_multipliers(bands * rows)):
-        np.bitwise_xor(h, b, out=x)
-        np.multiply(x, a, out=x)
-        low = np.minimum.reduceat(x, base).astype(np.uint64)
-        band = k // rows
-        bit[:, k] = (low >> np.uint64(9)) & np.uint64(1)
-        out[:, band] = (out[:, band] ^ low) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band + 1)
-        out[:, band] ^= out[:, band] >> np.uint64(29)
-    out &= ~np.uint64((1 << SKETCH) - 1)
+    h = np.zeros(len(cps), np.uint32)  # of the shingle that starts here, by Horner's rule over shifted arrays
+    for k in range(shingle):
+        h *= np.uint32(0x9E3779B1)
+        h[: len(cps) - k] += cps[k:]
+        h ^= h >> np.uint32(15)
+    h *= np.uint32(0x85EBCA77)
+    h ^= h >> np.uint32(13)
+    out = h[np.minimum(ragged(begin, count), max(len(cps) - 1, 0))] if len(cps) else np.zeros(int(count.sum()), np.uint32)
+    short = np.flatnonzero(size < shingle)
+    first = (np.cumsum(count) - count)[short]
+    for i, at in zip(short.tolist(), first.tolist()):  # few lines
+        out[at] = xxhash.xxh32_intdigest(cps[begin[i] : begin[i] + size[i]].tobytes(), 42)
+    return out, count
+
+
+def band_keys(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lines, bands) keys from the MinHash signatures of lines cps[begin:begin+size], and the upper part of their sketches; the low LOW bits of a key are the lower part."""
+    low = signatures(*shingle_hashes(cps, begin, size, shingle), bands * rows)
+    by_band = low.reshape(bands, rows, -1)
+    key, salt = np.zeros((bands, len(size)), np.uint64), np.arange(1, bands + 1, dtype=np.uint64)[:, None]
+    for k in range(rows):
+        key = (key ^ by_band[:, k]) * np.uint64(0x9E3779B97F4A7C15) + salt
+        key ^= key >> np.uint64(29)
     n = min(SKETCH, (bands - 1) * rows)
-    weight = np.uint64(1) << np.arange(n, dtype=np.uint64)
-    bit = np.concatenate([bit, bit], axis=1)
+    weight = np.zeros((2, bands, bands * rows))
     for band in range(bands):
-        out[:, band] |= bit[:, (band + 1) * rows : (band + 1) * rows + n] @ weight
-    return out.view(np.int64)
+        at = (np.arange(n) + (band + 1) * rows) % (bands * rows)
+        weight[0, band, at[:LOW]] = 2.0 ** np.arange(len(at[:LOW]))
+        weight[1, band, at[LOW:]] = 2.0 ** np.arange(len(at[LOW:]))
+    sketch = (weight @ sketch_bits(low)).astype(np.uint64)  # sums below 2 ** 32: exact
+    key = (key & ~np.uint64((1 << LOW) - 1)) | sketch[0]
+    return np.ascontiguousarray(key.T).view(np.int64), np.ascontiguousarray(sketch[1].T.astype(np.uint32)).view(np.int32)
+
+
+def sketch_bits(low: np.ndarray) -> np.ndarray:
+    """One bit of each MinHash value."""
+    return ((low >> np.uint32(9)) & np.uint32(1)).astype(np.float64)
+
+
+def sketches(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int) -> np.ndarray:
+    """64 bits a line, each from another MinHash value. At similarity 0.8 a bit differs with probability 0.1."""
+    low = signatures(*shingle_hashes(cps, begin, size, shingle), 64)
+    bits = ((low >> np.uint32(9)) & np.uint32(1)).astype(np.uint64)
+    return (bits << np.arange(64, dtype=np.uint64)[:, None]).sum(0, dtype=np.uint64).view(np.int64)
 
 
 def lines_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shortest: int = SHORTEST) -> DataFrame:
@@ -83,60 +139,66 @@ def shingles(line: str, k: int) -> frozenset[str]:
     return frozenset(line[i : i + k] for i in range(max(1, len(line) - k + 1)))
 
 
-def plausible(key: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Which members of groups (of the given sizes, in a row) have a sketch near to another member's; all of large groups."""
+def plausible(sketch: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which members of groups (of the given sizes, in a row) have a sketch near to another member's.
+
+    Members not yet found near are compared with the next, the one after it, and so on around their group; those that are
+    alone after NEIGHBOURS steps with the whole group at once."""
     wide = np.repeat(size, size)
-    group = np.repeat(np.arange(len(size)), size)
-    ok = wide > COMPARED
-    at = np.flatnonzero(~ok)
-    for step in range(1, COMPARED):
-        at = at[wide[at] > step]
-        at = at[at + step < len(key)]
+    base = np.repeat(np.cumsum(size) - size, size)
+    ok = np.zeros(len(sketch), bool)
+    at = np.arange(len(sketch))
+    for step in range(1, NEIGHBOURS + 1):
+        at = at[~ok[at] & (wide[at] > step)]
         if not len(at):
-            break
-        one = at[group[at] == group[at + step]]
-        near = one[np.bitwise_count((key[one] ^ key[one + step]) & ((1 << SKETCH) - 1)) <= APART]
-        ok[near] = True
-        ok[near + step] = True
+            return ok
+        other = base[at] + (at - base[at] + step) % wide[at]
+        near = np.bitwise_count(sketch[at] ^ sketch[other]) <= APART
+        ok[at[near]] = ok[other[near]] = True
+    for i in at[~ok[at] & (wide[at] > NEIGHBOURS + 1)].tolist():  # alone so far in a large group: all its members
+        near = np.bitwise_count(sketch[base[i] : base[i] + wide[i]] ^ sketch[i]) <= APART
+        ok[i] = np.count_nonzero(near) > 1
     return ok
 
 
 def _groups(keyed: DataFrame) -> DataFrame:
     """(g, h): members of band-key groups of two or more distinct lines; g depends on the members only."""
-    rows = keyed.repartition(shuffle_partitions(keyed.sparkSession), F.shiftright("key", SKETCH)).sortWithinPartitions("key")
+    rows = keyed.repartition(shuffle_partitions(keyed.sparkSession), F.shiftright("key", LOW)).sortWithinPartitions("key")
 
     def starts(band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first = np.flatnonzero(np.append(True, band[1:] != band[:-1])) if len(band) else np.zeros(0, np.int64)
         return first, np.diff(np.append(first, len(band)))
 
-    def groups(key: np.ndarray, h: np.ndarray):
-        _, size = starts(key >> SKETCH)
+    def groups(key: np.ndarray, x: np.ndarray, h: np.ndarray):
+        band = key >> LOW
+        _, size = starts(band)
         many = np.repeat(size > 1, size)
-        key, h = key[many], h[many]
-        order = np.lexsort((h, key >> SKETCH))
-        key, h = key[order], h[order]
-        fresh = np.append(True, (h[1:] != h[:-1]) | (key[1:] != key[:-1]))[: len(h)]
-        key, h = key[fresh], h[fresh]
-        _, size = starts(key >> SKETCH)
-        kept = plausible(key, size)
-        key, h = key[kept], h[kept]
-        if not len(key):
+        band, key, x, h = band[many], key[many], x[many], h[many]
+        order = np.lexsort((h, band))
+        band, key, x, h = band[order], key[order], x[order], h[order]
+        fresh = np.append(True, (h[1:] != h[:-1]) | (band[1:] != band[:-1]))[: len(h)]
+        band, key, x, h = band[fresh], key[fresh], x[fresh], h[fresh]
+        sketch = (key & ((1 << LOW) - 1)) | (x.astype(np.int64) & 0xFFFFFFFF) << LOW
+        kept = plausible(sketch, starts(band)[1])
+        band, h = band[kept], h[kept]
+        if not len(band):
             return None
-        first, size = starts(key >> SKETCH)
+        first, size = starts(band)
         u = h.view(np.uint64)
         g = np.bitwise_xor.reduceat((u ^ (u >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9), first) + size.astype(np.uint64)
         return pa.RecordBatch.from_arrays([pa.array(np.repeat(g, size).view(np.int64)), pa.array(h)], ["g", "h"])
 
     def run(batches):
-        key, h = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))
         for rb in batches:
-            key, h = np.concatenate([key, np.asarray(rb.column(0))]), np.concatenate([h, np.asarray(rb.column(1))])
-            done = int(np.searchsorted(key >> SKETCH, key[-1] >> SKETCH)) if len(key) else 0  # the last group may go on
+            held = tuple(np.concatenate([a, np.asarray(rb.column(i))]) for i, a in enumerate(held))
+            key = held[0]
+            done = int(np.searchsorted(key >> LOW, key[-1] >> LOW)) if len(key) else 0  # the last group may go on
             if done:
-                if (out := groups(key[:done], h[:done])) is not None:
+                if (out := groups(*(a[:done] for a in held))) is not None:
                     yield out
-                key, h = key[done:], h[done:]
-        if len(key) and (out := groups(key, h)) is not None:
+                held = tuple(a[done:] for a in held)
+        if len(held[0]) and (out := groups(*held)) is not None:
             yield out
 
     return rows.mapInArrow(run, "g long, h long")
@@ -147,18 +209,25 @@ def similar(a: frozenset, b: frozenset, least: float) -> bool:
     return small >= least * large and (both := len(a & b)) >= least * (len(a) + len(b) - both)
 
 
-def shingle_keys(lines: list[str], k: int, hasher: Hasher) -> list[np.ndarray]:
+def shingle_keys(lines: list[str], k: int) -> list[np.ndarray]:
     """Sorted distinct 48-bit hashes of each line's shingles, for many lines at once."""
     out = []
     for start in range(0, len(lines), 1 << 15):
         part = lines[start : start + (1 << 15)]
         size = np.fromiter(map(len, part), np.int64, len(part))
         cps = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32)
-        count = np.maximum(size - k + 1, 1)
+        begin, count = np.cumsum(size) - size, np.maximum(size - k + 1, 1)
+        h = np.zeros(len(cps), np.uint64)  # of the shingle that starts here
+        for i in range(k):
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h[: len(cps) - i] += cps[i:]
+            h ^= h >> np.uint64(32)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
         owner = np.repeat(np.arange(len(part)), count)
-        at = ragged(np.cumsum(size) - size, count)
-        h = hasher(cps, at, np.minimum(k, size[owner])) >> np.uint64(16)
-        both = np.sort((owner.astype(np.uint64) << np.uint64(48)) | h)
+        own = h[np.minimum(ragged(begin, count), max(len(cps) - 1, 0))] if len(cps) else np.zeros(len(owner), np.uint64)
+        for i in np.flatnonzero(size < k).tolist():
+            own[int(count[:i].sum())] = xxhash.xxh64_intdigest(part[i].encode("utf-8", "surrogatepass"), 42)
+        both = np.sort((owner.astype(np.uint64) << np.uint64(48)) | (own >> np.uint64(16)))
         both = both[np.concatenate([[True], both[1:] != both[:-1]])]
         edge = np.searchsorted(both, np.arange(len(part) + 1, dtype=np.uint64) << np.uint64(48))
         both &= np.uint64((1 << 48) - 1)
@@ -166,39 +235,74 @@ def shingle_keys(lines: list[str], k: int, hasher: Hasher) -> list[np.ndarray]:
     return out
 
 
+def bit_sets(keys: list[np.ndarray]) -> list[tuple[int, int]]:
+    """(bits of the keys by their lowest SET_BITS, how many keys share a bit with an earlier one) of each line."""
+    out = []
+    for start in range(0, len(keys), 512):
+        part = keys[start : start + 512]
+        size = np.fromiter(map(len, part), np.int64, len(part))
+        flags = np.zeros((len(part), SET_BITS), bool)
+        if size.sum():
+            flags[np.repeat(np.arange(len(part)), size), np.concatenate(part).astype(np.int64) & (SET_BITS - 1)] = True
+        lost = (size - flags.sum(1)).tolist()
+        out += [(int.from_bytes(x.tobytes(), "little"), n) for x, n in zip(np.packbits(flags, axis=1, bitorder="little"), lost)]
+    return out
+
+
+def may_be_alike(a: tuple[int, int], b: tuple[int, int], size_a: int, size_b: int, least: float) -> bool:
+    """Whether the sets may share enough keys: shared ones share a bit, except those that are lost to another of their own set; so this never says no to like lines."""
+    shared = min((a[0] & b[0]).bit_count() + min(a[1], b[1]), size_a, size_b)
+    return shared + MARGIN >= least * (size_a + size_b - shared)
+
+
 def alike(a: np.ndarray, b: np.ndarray, line_a: str, line_b: str, k: int, least: float) -> bool:
     """similar() by the lines' shingle_keys; with the shingles themselves where a colliding hash could change the answer."""
     small, large = (len(a), len(b)) if len(a) < len(b) else (len(b), len(a))
-    if small + 4 < least * large:
+    if small + MARGIN < least * large:
         return False
-    if large > 64:
-        both = np.concatenate([a, b])
-        both.sort()
-        shared = np.count_nonzero(both[1:] == both[:-1])
-        over = shared - least * (len(a) + len(b) - shared)
-        if abs(over) > 4:
-            return bool(over > 0)
+    both = np.concatenate([a, b])
+    both.sort()
+    shared = np.count_nonzero(both[1:] == both[:-1])
+    over = shared - least * (len(a) + len(b) - shared)
+    if abs(over) > MARGIN:
+        return bool(over > 0)
     return similar(shingles(line_a, k), shingles(line_b, k), least)
 
 
 def _stars(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
     """(u, v, ok) of pairs (c, h): whether the lines are similar. A centre's text comes before its members' in one sorted run."""
-    own = pairs.select("c").distinct().join(texts, F.col("c") == F.col("h")).select("c", F.lit(None).cast("long").alias("h"), "line")
-    rest = pairs.join(texts, "h").select("c", "h", "line")
-    rows = own.unionByName(rest).repartition(shuffle_partitions(pairs.sparkSession), "c").sortWithinPartitions("c", F.col("h").asc_nulls_first())
+    # a centre with many members is dealt to several tasks, each with the centre's text
+    sized = pairs.groupBy("c").agg(F.ceil(F.count("*") / STAR).cast("int").alias("shares"))
+    own = sized.join(texts, F.col("c") == F.col("h")).select("c", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(None).cast("long").alias("h"), "line", "s")
+    rest = pairs.join(sized, "c").join(texts, "h").select("c", F.pmod(F.xxhash64("h"), "shares").cast("int").alias("share"), "h", "line", "s")
+    rows = own.unionByName(rest).repartition(shuffle_partitions(pairs.sparkSession), "c", "share").sortWithinPartitions("c", "share", F.col("h").asc_nulls_first()).select("c", "h", "line", "s")
 
     def run(batches):
-        centre, text, parts, hasher = None, "", None, Hasher()
+        centre, text, sketch, parts = None, "", 0, None
         for rb in slices(batches, "line", 1 << 19):
-            u, v, ok = [], [], []
-            lines = rb.column(2).to_pylist()
-            for c, h, line, own in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), lines, shingle_keys(lines, shingle, hasher)):
-                if h is None:
-                    centre, text, parts = c, line, own.copy()
-                elif c == centre:
-                    u.append(h)
-                    v.append(c)
-                    ok.append(alike(parts, own, text, line, shingle, least))
+            c, h, s = (rb.column(i).to_pylist() for i in (0, 1, 3))
+            u, v, ok, near = [], [], [], []  # near: a centre's row, or a member with a sketch that is near to its centre's
+            for i in range(len(c)):
+                if h[i] is None:
+                    centre, sketch = c[i], s[i] & MASK
+                    near.append(i)
+                elif c[i] == centre:
+                    u.append(h[i])
+                    v.append(centre)
+                    ok.append(False)
+                    if ((s[i] & MASK) ^ sketch).bit_count() <= FAR:
+                        near.append(i)
+            lines = rb.column(2).take(pa.array(near, pa.int64())).to_pylist()
+            own = shingle_keys(lines, shingle)
+            at = {i: n for n, i in enumerate(near)}
+            m = 0
+            for i in range(len(c)):
+                if h[i] is None:
+                    text, parts = lines[at[i]], own[at[i]].copy()
+                elif m < len(u) and h[i] == u[m]:
+                    n = at.get(i)
+                    ok[m] = n is not None and alike(parts, own[n], text, lines[n], shingle, least)
+                    m += 1
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(ok, pa.bool_())], ["u", "v", "ok"])
 
     return rows.mapInArrow(run, "u long, v long, ok boolean")
@@ -209,7 +313,10 @@ def _forests(rows: DataFrame, shingle: int, least: float) -> DataFrame:
     rows = rows.repartition(shuffle_partitions(rows.sparkSession), "g").sortWithinPartitions("g", "h")
 
     def run(batches):
-        forest, last, held, hasher = Forest(), None, {}, Hasher()
+        forest, last, held = Forest(), None, {}
+
+        def same(one, two) -> bool:
+            return (one[0] ^ two[0]).bit_count() <= FAR and may_be_alike(one[1], two[1], len(one[2]), len(two[2]), least) and alike(one[2], two[2], one[3], two[3], shingle, least)
 
         def close():
             rest = sorted(held)
@@ -217,24 +324,28 @@ def _forests(rows: DataFrame, shingle: int, least: float) -> DataFrame:
                 queue, rest = [rest[0]], rest[1:]
                 while queue and rest:
                     u = queue.pop()
-                    new = [v for v in rest if any(alike(a, b, s, t, shingle, least) for a, s in held[u] for b, t in held[v])]
+                    new = {v for v in rest if any(same(one, two) for one in held[u] for two in held[v])}
                     for v in new:
                         forest.join(u, v)
                     queue.extend(new)
-                    rest = [v for v in rest if v not in set(new)]
+                    rest = [v for v in rest if v not in new]
 
         for rb in slices(batches, "line", 1 << 19):
-            lines = rb.column(3).to_pylist()
-            for g, k, line, own in zip(rb.column(0).to_pylist(), rb.column(2).to_pylist(), lines, shingle_keys(lines, shingle, hasher)):
+            lines = rb.column(4).to_pylist()
+            keys = shingle_keys(lines, shingle)
+            for g, k, s, line, own, bits in zip(*(rb.column(i).to_pylist() for i in (0, 2, 3)), lines, keys, bit_sets(keys)):
                 if g != last:
-                    close()
+                    if len(held) > 1:
+                        close()
+                    if forest.full():
+                        yield star_batch(forest.take())
                     held, last = {}, g
-                held.setdefault(k, []).append((own.copy(), line))
-        close()
-        out = np.array(forest.links() or np.zeros((0, 2)), np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
+                held.setdefault(k, []).append((s & MASK, bits, own.copy(), line))
+        if len(held) > 1:
+            close()
+        yield star_batch(forest.take())
 
-    return rows.select("g", "h", "k", "line").mapInArrow(run, "u long, v long")
+    return rows.select("g", "h", "k", "s", "line").mapInArrow(run, "u long, v long")
 
 
 def distinct_lines(texts: pa.Array, shortest: int):
@@ -274,7 +385,7 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
     inner = docs.select(docs[text].cast("string").alias("t"))
 
     def keys(batches):
-        hasher, sent = Hasher(), set()
+        sent = set()
         for rb in slices(batches, "t", 1 << 18):
             string, cps, begin, size, h = distinct_lines(rb.column(0), shortest)
             new = np.array([x not in sent for x in h.tolist()], bool)  # others' keys are on their way already
@@ -283,10 +394,10 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
                 sent.clear()
             sent.update(h.tolist())
             if len(h):
-                k = band_keys(cps, begin, size, shingle, bands, rows, hasher)
-                yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(np.repeat(h, bands))], ["key", "h"])
+                key, x = band_keys(cps, begin, size, shingle, bands, rows)
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(x.ravel()), pa.array(np.repeat(h, bands))], ["key", "x", "h"])
 
-    found = cut(_groups(inner.mapInArrow(keys, "key long, h long")).distinct())
+    found = cut(_groups(inner.mapInArrow(keys, "key long, x int, h long")).distinct())
     release(docs.sparkSession)  # the band keys' shuffle
     # a group's centre is the member found in most groups: the text that the others are variants of
     degree = found.groupBy("h").agg(F.count("*").alias("n"))
@@ -301,9 +412,9 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
             bit = h & (FILTER_BITS - 1)
             on = ((mask[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
             lines = [string[a : a + n] for a, n in zip(begin[on].tolist(), size[on].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(h[on]), pa.array(lines, pa.string())], ["h", "line"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[on]), pa.array(lines, pa.string()), pa.array(sketches(cps, begin[on], size[on], shingle))], ["h", "line", "s"])
 
-    own = inner.mapInArrow(candidates, "h long, line string").groupBy("h").agg(F.first("line").alias("line"))
+    own = inner.mapInArrow(candidates, "h long, line string, s long").groupBy("h").agg(F.first("line").alias("line"), F.first("s").alias("s"))
     texts = cut(own.join(wanted, "h", "left_semi"))
     release(docs.sparkSession)
     pairs = members.where("c != h").select("c", "h").distinct()
@@ -341,7 +452,7 @@ def report(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **set
     newlines = F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"), F.lit("")))
     base = docs.select(docs[doc_id].alias("d"), F.xxhash64(body).alias("t"), F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"))
     out = base.join(gone, base.d.eqNullSafe(gone.d) & (base.t == gone.t), "left").select(base.d.alias(doc_id), "n_lines", "removed")
-    none = F.array().cast("array<struct<pos:int,keep_doc:bigint,keep_pos:int>>")
+    none = F.array().cast(gone.schema["removed"].dataType)
     return out.select(doc_id, "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", none).alias("removed"))
 
 
