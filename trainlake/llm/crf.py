@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Nodes that are swept at once; bounds the memory of a long sequence.
+BLOCK = 1 << 17
+
 
 class Chain:
     def __init__(self, edges: np.ndarray | None = None, start: np.ndarray | None = None):
@@ -26,8 +29,8 @@ class Chain:
         return step
 
     @staticmethod
-    def _sweep(step: np.ndarray) -> np.ndarray:
-        """Normalised v[t] = v[t-1] @ step[t] for all t."""
+    def _sweep(step: np.ndarray, entry: tuple[float, float] = (0.5, 0.5)) -> np.ndarray:
+        """Normalised v[t] = v[t-1] @ step[t] for all t, from v[-1] = entry."""
         n = len(step)
         rows = max(1, int(np.sqrt(n)))
         cols = -(-n // rows)
@@ -41,15 +44,15 @@ class Chain:
             a, b, c, d = a * p + b * s, a * q + b * t, c * p + d * s, c * q + d * t
             z = a + b + c + d
             a, b, c, d = a / z, b / z, c / z, d / z
-        entry = np.zeros((cols, 2))
-        x, y = 0.5, 0.5
+        into = np.zeros((cols, 2))
+        x, y = entry
         for k, (p, q, s, t) in enumerate(zip(a.tolist(), b.tolist(), c.tolist(), d.tolist())):
-            entry[k] = x, y
+            into[k] = x, y
             x, y = x * p + y * s, x * q + y * t
             z = x + y
             x, y = x / z, y / z
         out = np.zeros((rows, 2, cols))
-        x, y = entry[:, 0], entry[:, 1]
+        x, y = into[:, 0], into[:, 1]
         for r in range(rows):
             x, y = x * m[r, 0, 0] + y * m[r, 1, 0], x * m[r, 0, 1] + y * m[r, 1, 1]
             z = x + y
@@ -57,22 +60,42 @@ class Chain:
             out[r, 0], out[r, 1] = x, y
         return out.transpose(2, 0, 1).reshape(-1, 2)[:n]
 
+    @classmethod
+    def _backward(cls, step: np.ndarray, after: np.ndarray, entry: tuple[float, float]) -> np.ndarray:
+        """Normalised beta[t] = step[t+1] @ beta[t+1]; step `after` follows the last one and has beta `entry`."""
+        back = np.empty_like(step)
+        back[0] = after.T
+        back[1:] = step[:0:-1].transpose(0, 2, 1)
+        return cls._sweep(back, entry)[::-1]
+
     def marginals(self, scores: np.ndarray, first: np.ndarray, pairs: bool = False):
-        """P(label 1) of each node; with pairs also the expected label pairs of each step (none at starts)."""
+        """P(label 1) of each node; with pairs also the expected label pairs of each step (none at starts).
+
+        Without pairs, long arrays are swept block by block: backward first, keeping what enters each block, then forward."""
         n = len(scores)
         if not n:
             return (np.zeros(0), np.zeros((0, 2, 2))) if pairs else np.zeros(0)
+        even, flat = (0.5, 0.5), np.ones((2, 2))
+        if not pairs:
+            edges = [*range(0, n, BLOCK), n]
+            blocks = list(zip(edges, edges[1:]))
+            enter, after = [(even, flat)], None
+            for a, b in blocks[:0:-1]:
+                step = self._steps(scores[a:b], first[a:b])
+                beta, after = enter[-1]
+                enter.append((tuple(self._backward(step, after, beta)[0].tolist()), step[0].copy()))
+            p, alpha = np.zeros(n), even
+            for (a, b), (beta, after) in zip(blocks, enter[::-1]):
+                step = self._steps(scores[a:b], first[a:b])
+                ahead = self._sweep(step, alpha)
+                alpha = tuple(ahead[-1].tolist())
+                both = ahead * self._backward(step, after, beta)
+                p[a:b] = both[:, 1] / both.sum(1)
+            return p
         step = self._steps(scores, first)
-        alpha = self._sweep(step)
-        # backward: beta[t] = step[t+1] @ beta[t+1], run as a forward sweep over the reversed, transposed steps
-        back = np.empty_like(step)
-        back[0] = 1.0
-        back[1:] = step[:0:-1].transpose(0, 2, 1)
-        beta = self._sweep(back)[::-1]
+        alpha, beta = self._sweep(step), self._backward(step, flat, even)
         both = alpha * beta
         p = both[:, 1] / both.sum(1)
-        if not pairs:
-            return p
         joint = np.zeros((n, 2, 2))
         joint[1:] = alpha[:-1, :, None] * step[1:] * beta[1:, None, :]
         joint[first] = 0

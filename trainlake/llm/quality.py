@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from .common import held_out, slices, utf8
 from .crf import Chain, fit, logistic, predict
+from .labelled import LONGEST
 from .labelled import sample as labelled
 from .pretokens import Hasher
 
@@ -39,12 +40,10 @@ KINDS = [
 ]
 
 
-def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features of every line with those of its neighbours, index of the first line of each text and the end, line lengths)."""
+def line_columns(data: np.ndarray, offsets: np.ndarray):
+    """(index of the first line of each text and the end, line lengths, an iterator over the features of every line)."""
     n = len(data)
-    cut = np.zeros(n + 2, bool)
     newline = np.flatnonzero(data == 10)
-    cut[newline + 1] = True
     texts = len(offsets) - 1
     # a text's lines: one more than its newlines; empty lines and texts keep a line of length 0
     per = np.searchsorted(newline, offsets[1:]) - np.searchsorted(newline, offsets[:-1]) + 1
@@ -58,24 +57,36 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     last[first[1:] - 1] = False
     end[first[1:] - 1], end[last] = offsets[1:], newline
     size = end - begin
-    cols = []
-    for kind in KINDS:
-        run = np.concatenate([[0], np.cumsum(kind[data])])
-        cols.append((run[end] - run[begin]) / np.maximum(size, 1))
-    space = cols[3] * size
-    cols.append(np.log1p(size) / 6)
-    cols.append(np.minimum(size / (space + 1), 30) / 10)
-    cols.append((size == 0).astype(float))
-    tail = np.where(size > 0, data[np.maximum(end - 1, 0)] if n else 0, 0)
-    cols.append(np.isin(tail, list(b".!?")).astype(float))
-    h = HASHER(data.astype(np.uint32), begin, size)
-    owner = np.repeat(np.arange(texts), per)
-    order = np.lexsort((h, owner))
-    same = (owner[order][1:] == owner[order][:-1]) & (h[order][1:] == h[order][:-1]) & (size[order][1:] > 0)
-    twin = np.zeros(len(size), bool)
-    twin[order[1:][same]] = twin[order[:-1][same]] = True
-    cols.append(twin.astype(float))
-    x = np.column_stack(cols)
+
+    def columns():
+        for nth, kind in enumerate(KINDS):
+            run = np.zeros(n + 1, np.int32)
+            np.cumsum(kind[data], out=run[1:])
+            inside = run[end] - run[begin]
+            if nth == 3:
+                space = inside
+            yield inside / np.maximum(size, 1)
+        yield np.log1p(size) / 6
+        yield np.minimum(size / (space + 1), 30) / 10
+        yield (size == 0).astype(float)
+        tail = np.where(size > 0, data[np.maximum(end - 1, 0)] if n else 0, 0)
+        yield np.isin(tail, list(b".!?")).astype(float)
+        h = HASHER(data.astype(np.uint32), begin, size)
+        owner = np.repeat(np.arange(texts), per)
+        full = np.flatnonzero(size > 0)
+        order = full[np.lexsort((h[full], owner[full]))]
+        same = (owner[order][1:] == owner[order][:-1]) & (h[order][1:] == h[order][:-1])
+        twin = np.zeros(len(size))
+        twin[order[1:][same]] = twin[order[:-1][same]] = 1.0
+        yield twin
+
+    return first, size, columns()
+
+
+def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features of every line with those of its neighbours, index of the first line of each text and the end, line lengths)."""
+    first, size, columns = line_columns(data, offsets)
+    x = np.column_stack(list(columns))
     prev, nxt = np.zeros_like(x), np.zeros_like(x)
     prev[1:], nxt[:-1] = x[:-1], x[1:]
     prev[first[:-1]] = 0
@@ -83,15 +94,32 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return np.column_stack([x, x**2, prev, nxt, np.ones(len(x))]), first, size
 
 
+def line_scores(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line_features @ weights, first lines, lengths), one feature at a time: a text of many short lines takes a few arrays."""
+    first, size, columns = line_columns(data, offsets)
+    k = (len(weights) - 1) // 4
+    own, prev, nxt = np.full(len(size), weights[-1]), np.zeros(len(size)), np.zeros(len(size))
+    for i, x in enumerate(columns):
+        own += x * weights[i] + x**2 * weights[k + i]
+        prev += x * weights[2 * k + i]
+        nxt += x * weights[3 * k + i]
+    inner = np.ones(len(size), bool)
+    inner[first[:-1]] = False
+    at = np.flatnonzero(inner)
+    own[at] += prev[at - 1]
+    own[at - 1] += nxt[at]
+    return own, first, size
+
+
 class Model:
     def __init__(self):
         self.weights, self.chain, self.top = None, Chain(), None
 
-    def document(self, x: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    def document(self, scores: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Per document: length-weighted mean and largest badness of its lines."""
-        begin = np.zeros(len(x), bool)
+        begin = np.zeros(len(scores), bool)
         begin[first[:-1]] = True
-        bad = self.chain.marginals(x @ self.weights, begin)
+        bad = self.chain.marginals(scores, begin)
         weight = size + 1.0
         mean = np.add.reduceat(bad * weight, first[:-1]) / np.add.reduceat(weight, first[:-1])
         return np.column_stack([mean, np.maximum.reduceat(np.where(size >= 10, bad, 0), first[:-1])])
@@ -116,17 +144,18 @@ class Model:
             self.chain = fit(lambda rows: x[rows] @ self.weights, update, label, begin, [np.arange(len(x))], 80, 0.3)
             bad = self.chain.marginals(x @ self.weights, begin)
             label = np.where(np.repeat(y, per) > 0, bad > 0.5, 0).astype(float)
-        self.top = logistic(self.document(x, first, size), 1 - y)
+        self.top = logistic(self.document(x @ self.weights, first, size), 1 - y)
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.top is None:
             return np.full(len(offsets) - 1, 0.5)
-        return predict(self.document(*line_features(data, offsets)), self.top)
+        return predict(self.document(*line_scores(data, offsets, self.weights)), self.top)
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample: int = 2000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample: int = 2000, longest: int = LONGEST) -> Model:
+    """A model fitted on about 2 x `sample` documents of at most `longest` characters (both bound the driver's memory)."""
     model = Model()
-    model.fit(*labelled(docs, labels, label, sample))
+    model.fit(*labelled(docs, labels, label, sample, longest))
     return model
 
 
@@ -136,7 +165,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", threshold: float
     schema = T.StructType([inner.schema[0], T.StructField("score", T.DoubleType())])
 
     def run(batches):
-        for rb in slices(batches, "t"):
+        for rb in slices(batches, "t", 1 << 19):
             yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(model.score(*utf8(rb.column(1))))], ["d", "score"])
 
     out = inner.mapInArrow(run, schema).withColumnRenamed("d", "doc_id")

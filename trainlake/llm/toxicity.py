@@ -21,11 +21,16 @@ from pyspark.sql import types as T
 from .common import held_out, slices, utf8
 from .crf import Chain, fit, logistic, predict
 from .decontamination import FOLD, WORD
+from .labelled import LONGEST
 from .labelled import sample as labelled
 from .pretokens import Hasher
 
 TABLE_BITS = 18
 HASHER = Hasher()
+#: Words whose features are built at once; bounds the memory that a long text takes.
+BLOCK_WORDS = 1 << 15
+#: Bytes of text that one step tags.
+SLICE = 1 << 18
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -42,7 +47,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 class Model:
     def __init__(self):
-        self.weights = np.zeros(1 << TABLE_BITS, np.float64)
+        self.weights = np.zeros(1 << TABLE_BITS, np.float32)
         self.chain, self.top = Chain(), None
 
     @staticmethod
@@ -82,8 +87,21 @@ class Model:
         at, size, first = tokens(data, offsets)
         begin = np.zeros(len(at), bool)
         begin[first[:-1][first[:-1] < len(at)]] = True
-        s = self.weights[self.slots(self.keys(data, at, size), first)].sum(1) if len(at) else np.zeros(0)
-        return self.chain.marginals(s, begin), at, size, first
+        return self.chain.marginals(self.scores(data, at, size, first), begin), at, size, first
+
+    def scores(self, data: np.ndarray, at: np.ndarray, size: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Summed weights of each word, worked off in blocks of words (each with a neighbour on both sides)."""
+        out = np.zeros(len(at))
+        for a in range(0, len(at), BLOCK_WORDS):
+            b = min(a + BLOCK_WORDS, len(at))
+            low, high = max(a - 1, 0), min(b + 1, len(at))
+            base = int(at[low])
+            own = data[base : int(at[high - 1] + size[high - 1])]
+            edge = np.clip(first, low, high) - low
+            edge = np.unique(np.concatenate([[0], edge, [high - low]]))
+            rows = self.slots(self.keys(own, at[low:high] - base, size[low:high]), edge)[a - low : b - low]
+            out[a:b] = self.weights[rows].sum(1)
+        return out
 
     def fit(self, texts: list[str], toxic: list[int], lowest: int = 4, epochs: int = 3) -> None:
         y = np.array(toxic)
@@ -100,6 +118,7 @@ class Model:
         first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
         parts = [np.concatenate([k[i] for k in keys]) for i in range(5)]
         slots = np.concatenate(slot_rows)
+        self.weights = np.zeros(1 << TABLE_BITS, np.float64)
         del keys, slot_rows
         at = parts[0]
         owner = np.repeat(np.arange(len(y)), np.diff(first))
@@ -131,6 +150,7 @@ class Model:
         for rows in batches:
             p[rows] = self.chain.marginals(self.weights[slots[rows]].sum(1), begin[rows])
         self.top = logistic(self.document(p, first), y.astype(float))
+        self.weights = self.weights.astype(np.float32)
 
     @staticmethod
     def features(parts: list[np.ndarray], owner: np.ndarray, y: np.ndarray, lowest: int) -> np.ndarray:
@@ -178,9 +198,10 @@ class Model:
         return predict(self.document(p, first), self.top)
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int = 1500) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int = 1500, longest: int = LONGEST) -> Model:
+    """A model fitted on about 2 x `sample` documents of at most `longest` characters (both bound the driver's memory)."""
     model = Model()
-    model.fit(*labelled(docs, labels, label, sample))
+    model.fit(*labelled(docs, labels, label, sample, longest))
     return model
 
 
@@ -191,7 +212,7 @@ def tag(docs: DataFrame, model: Model, *, text: str = "text", doc_id: str = "doc
     schema = T.StructType([inner.schema[0], T.StructField("score", T.DoubleType()), T.StructField("spans", span)])
 
     def run(batches):
-        for rb in slices(batches, "t"):
+        for rb in slices(batches, "t", SLICE):
             data, offsets = utf8(rb.column(1))
             p, at, size, first = model.tag(data, offsets)
             s = predict(model.document(p, first), model.top) if model.top is not None else np.zeros(len(first) - 1)
@@ -222,7 +243,7 @@ def score_rows(docs: DataFrame, model: Model, *, text: str = "text") -> DataFram
     at = docs.columns.index(text)
 
     def run(batches):
-        for rb in slices(batches, text):
+        for rb in slices(batches, text, SLICE):
             yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(model.score(*utf8(rb.column(at))))], [*rb.schema.names, "score"])
 
     return docs.mapInArrow(run, schema)
