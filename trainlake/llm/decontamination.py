@@ -6,11 +6,11 @@ shorter than the shortest test phrase hold no phrase and are left out of the ind
 the test items are searched backwards at once through wavelet-tree ranks, located by sampled suffix positions, and the
 located spans of a document are merged. There is no shuffle: a document lies in one shard.
 
-Test phrases are sent to the tasks in blocks of a checked size; with more than one block the spans of a document are
-merged by a second, keyed step.
+Test phrases are sent to the tasks in blocks of a checked size. A task searches each shard for one block after the other
+and merges the spans, so a document gives one row whatever the number of blocks.
 
 Defined results: null text has no words; a document or item without words has no hits; an item of fewer than `width`
-words is one window; equal items are all named; items without an id or with null text are left out; an empty test set
+words is one window; equal items are all named, an id that stands in several rows once; items without an id or with null text are left out; an empty test set
 leaves all documents clean. Other columns are not read.
 """
 
@@ -30,7 +30,8 @@ from .pretokens import Hasher
 
 #: Bytes of test text that one block of phrases may hold; larger test sets are searched block by block.
 BLOCK_BYTES = 32 << 20
-SHARD_SYMBOLS = 1 << 20
+#: Bytes of documents that are indexed together.
+SHARD_BYTES = 16 << 20
 
 # word bytes: 0-9, a-z (after A-Z are lowered) and every byte of a character from U+0080
 FOLD = np.arange(256, dtype=np.uint8)
@@ -56,18 +57,20 @@ def words(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[np.nda
 
 
 class Phrases:
-    """The windows of a block of test items."""
+    """The windows of a block of test items (an id that occurs in several rows is one item)."""
 
     def __init__(self, ids: list, texts: list[str], width: int):
-        self.ids, self.width = ids, width
+        self.width = width
+        self.ids = sorted(set(ids))
+        place = {x: i for i, x in enumerate(self.ids)}
         h, at = words(*utf8(pa.array(texts, pa.string())), Hasher())
         self.vocabulary = np.unique(h)
         number = np.searchsorted(self.vocabulary, h) + 1
         rows: dict[tuple[int, ...], set[int]] = {}
-        for item in range(len(ids)):
-            own = number[at[item] : at[item + 1]].tolist()
+        for row, item in enumerate(ids):
+            own = number[at[row] : at[row + 1]].tolist()
             for k in range(max(1, len(own) - width + 1) if own else 0):
-                rows.setdefault(tuple(own[k : k + width]), set()).add(item)
+                rows.setdefault(tuple(own[k : k + width]), set()).add(place[item])
         self.lengths = np.array([len(w) for w in rows], np.int64)
         self.patterns = np.zeros((len(rows), width), np.int64)
         for k, w in enumerate(rows):
@@ -84,68 +87,88 @@ class Phrases:
 
 
 class Shard:
-    """Documents gathered until their segments are indexed and searched."""
+    """A run of documents as word hashes, indexed and searched for one block of phrases at a time."""
 
-    def __init__(self, phrases: Phrases):
-        self.phrases = phrases
-        self.clear()
-
-    def clear(self) -> None:
-        self.symbols, self.docs, self.places = [], [], []
-        self.size = self.documents = 0
+    def __init__(self):
+        self.hashes, self.sizes = [], []
+        self.words = 0
 
     def add(self, h: np.ndarray, at: np.ndarray) -> None:
-        number = self.phrases.number(h)
+        self.hashes.append(h)
+        self.sizes.append(np.diff(at))
+        self.words += len(h)
+
+    def segments(self, p: Phrases, h: np.ndarray, at: np.ndarray):
+        """(symbols with a 0 after each segment, the document of each, its position in that) of the runs of known words."""
+        number = p.number(h)
         n = len(number)
-        count = len(at) - 1
-        if n:
-            sizes = np.diff(at)
-            doc = np.repeat(np.arange(count), sizes)
-            place = np.arange(n) - at[doc]
-            known = number > 0
-            begin = np.flatnonzero(known & (np.concatenate([[True], ~known[:-1]]) | (place == 0)))
-            end = np.flatnonzero(known & (np.concatenate([~known[1:], [True]]) | np.concatenate([place[1:] == 0, [True]]))) + 1
-            length = end - begin
-            begin, length = begin[length >= self.phrases.shortest], length[length >= self.phrases.shortest]
-            if len(begin):
-                rows = ragged(begin, length)
-                ends = np.cumsum(length)  # a separator after each segment
-                self.symbols.append(np.insert(number[rows], ends, 0))
-                self.docs.append(np.insert(doc[rows] + self.documents, ends, -1))
-                self.places.append(np.insert(place[rows], ends, -1))
-                self.size += len(rows) + len(begin)
-        self.documents += count
-
-    def hits(self):
-        """For each document of the shard: (merged spans [start, end) as an array, sorted items)."""
-        spans = [np.zeros((0, 2), np.int64)] * self.documents
-        items: list[list[int]] = [[] for _ in range(self.documents)]
-        p = self.phrases
-        if self.size and len(p.patterns):
-            text, docs, places = map(np.concatenate, (self.symbols, self.docs, self.places))
+        doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        place = np.arange(n) - at[doc]
+        known = number > 0
+        begin = np.flatnonzero(known & (np.concatenate([[True], ~known[:-1]]) | (place == 0)))
+        end = np.flatnonzero(known & (np.concatenate([~known[1:], [True]]) | np.concatenate([place[1:] == 0, [True]]))) + 1
+        length = end - begin
+        begin, length = begin[length >= p.shortest], length[length >= p.shortest]
+        rows, ends = ragged(begin, length), np.cumsum(length)
+        return np.insert(number[rows], ends, 0), np.insert(doc[rows], ends, -1), np.insert(place[rows], ends, -1)
+
+    def hits(self, blocks) -> tuple[list[np.ndarray], list[list[str]]]:
+        """For each document: (merged spans [start, end) as an array, sorted items), over all blocks of phrases."""
+        sizes = np.concatenate([np.zeros(0, np.int64), *self.sizes])
+        h, at = np.concatenate([np.zeros(0, np.uint64), *self.hashes]), np.concatenate([[0], np.cumsum(sizes)])
+        spans = [np.zeros((0, 2), np.int64)] * len(sizes)
+        items: list[set[str]] = [set() for _ in sizes]
+        for p in blocks:
+            if not len(p.patterns) or not len(h):
+                continue
+            text, docs, places = self.segments(p, h, at)
+            if not len(text):
+                continue
             index = FMIndex(text, len(p.vocabulary) + 1)
             low, high = index.search(p.patterns, p.lengths)
             found = np.flatnonzero(low < high)
             each = (high - low)[found]
             position = index.locate(ragged(low[found], each))
             window = np.repeat(found, each)
-            if len(position):
-                depth = np.zeros(len(text) + 1, np.int64)
-                np.add.at(depth, position, 1)
-                np.add.at(depth, position + p.lengths[window], -1)
-                hit = np.cumsum(depth)[:-1] > 0
-                open_, close = hit & ~np.concatenate([[False], hit[:-1]]), hit & ~np.concatenate([hit[1:], [False]])
-                a, b = np.flatnonzero(open_), np.flatnonzero(close)
-                owner = docs[a]
-                both = np.stack([places[a], places[b] + 1], 1)
-                edge = np.flatnonzero(np.diff(owner)) + 1
-                for d, rows in zip(owner[np.concatenate([[0], edge])].tolist(), np.split(both, edge)):
-                    spans[d] = rows
-                # (document, window) pairs, each once
-                pair = np.unique(np.stack([docs[position], window], 1), axis=0)
-                for d, w in pair.tolist():
-                    items[d].extend(p.items[w].tolist())
-        return spans, [sorted(set(i)) for i in items]
+            if not len(position):
+                continue
+            depth = np.zeros(len(text) + 1, np.int64)
+            np.add.at(depth, position, 1)
+            np.add.at(depth, position + p.lengths[window], -1)
+            hit = np.cumsum(depth)[:-1] > 0
+            open_, close = hit & ~np.concatenate([[False], hit[:-1]]), hit & ~np.concatenate([hit[1:], [False]])
+            a, b = np.flatnonzero(open_), np.flatnonzero(close)
+            owner = docs[a]
+            both = np.stack([places[a], places[b] + 1], 1)
+            edge = np.flatnonzero(np.diff(owner)) + 1
+            for d, rows in zip(owner[np.concatenate([[0], edge])].tolist(), np.split(both, edge)):
+                spans[d] = merged(np.concatenate([spans[d], rows]))
+            # (document, window) pairs, each once
+            for d, w in np.unique(np.stack([docs[position], window], 1), axis=0).tolist():
+                items[d].update(p.ids[i] for i in p.items[w].tolist())
+        return spans, [sorted(i) for i in items]
+
+
+def merged(spans: np.ndarray) -> np.ndarray:
+    """Union of spans [start, end) that overlap or touch."""
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    reach = np.maximum.accumulate(spans[:, 1])
+    new = np.concatenate([[True], spans[1:, 0] > reach[:-1]])
+    last = np.concatenate([new[1:], [True]])
+    return np.stack([spans[new, 0], reach[last]], 1)
+
+
+class Blocks:
+    """Broadcast blocks of phrases; a task holds one of them at a time, unless there is only one."""
+
+    def __init__(self, parts: list):
+        self.parts = parts
+
+    def __iter__(self):
+        for part in self.parts:
+            yield part.value
+            if len(self.parts) > 1:
+                part.__dict__.pop("_value", None)  # read again from the worker's disk by the next shard
 
 
 def find(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 13, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -153,71 +176,46 @@ def find(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str
     rows = items.select(items[item_id].cast("string").alias("i"), items[item_text].cast("string").alias("t")).where("i is not null and t is not null")
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1
-    out = None
+    parts = []
     for b in range(blocks):
-        own = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
-        got = own.orderBy("i", "t").collect()  # at most about BLOCK_BYTES
-        part = _search(docs, Phrases([r.i for r in got], [r.t for r in got], width), doc_id, text, keep)
-        out = part if out is None else out.unionByName(part)
-    if blocks > 1:
-        names = [c for c in out.columns if c not in ("spans", "items", "row")]
-        out = out.groupBy("row", *names).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        out = out.withColumn("spans", merged("spans"))
-    return out.drop("row")
-
-
-def merged(spans: str):
-    """Union of overlapping or touching spans, as a column."""
-    order = F.array_sort(F.col(spans))
-    start = F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")
+        got = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).distinct().orderBy("i", "t").collect()  # about BLOCK_BYTES
+        part = docs.sparkSession.sparkContext.broadcast(Phrases([r.i for r in got], [r.t for r in got], width))
+        if blocks > 1:
+            part.__dict__.pop("_value", None)  # it is in the broadcast's file; the driver keeps one block at most
+        parts.append(part)
+    return _search(docs, Blocks(parts), doc_id, text, keep)
 
-    def step(done, x):
-        last = F.element_at(done, -1)
-        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))))
-        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= x["start"]), joined).otherwise(F.concat(done, F.array(x)))
 
-    return F.aggregate(order, start, step)
-
-
-def _search(docs: DataFrame, phrases: Phrases, doc_id: str, text: str, keep: tuple[str, ...]) -> DataFrame:
+def _search(docs: DataFrame, blocks: Blocks, doc_id: str, text: str, keep: tuple[str, ...]) -> DataFrame:
     inner = docs.select(docs[text].cast("string").alias("t"), docs[doc_id].alias("d"), *[docs[c].alias(f"k{i}") for i, c in enumerate(keep)])
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([*inner.schema.fields[1:], T.StructField("row", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("spans", span), T.StructField("items", T.ArrayType(T.StringType()))])
+    schema = T.StructType([*inner.schema.fields[1:], T.StructField("n_words", T.LongType()), T.StructField("spans", span), T.StructField("items", T.ArrayType(T.StringType()))])
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        from pyspark import TaskContext
-
-        part, hasher, shard, held, counts, nth = TaskContext.get().partitionId(), Hasher(), Shard(phrases), [], [], 0
+        hasher, shard, held = Hasher(), Shard(), []
 
         def flush():
-            nonlocal nth
-            spans, items = shard.hits()
+            spans, items = shard.hits(blocks)
             done = 0
-            for rest, n in zip(held, counts):
+            for rest, n in zip(held, shard.sizes):
                 own = range(done, done + len(n))
                 sizes = np.cumsum([0, *(len(spans[i]) for i in own)])
-                flat = np.concatenate([spans[i] for i in own])
+                flat = np.concatenate([np.zeros((0, 2), np.int64), *(spans[i] for i in own)])
                 pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "end"])
-                cols = [*rest, pa.array([f"{part}-{nth + k}" for k in range(len(n))]), pa.array(n), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pairs).cast(kind), pa.array([[phrases.ids[j] for j in items[i]] for i in own], pa.list_(pa.string()))]
+                cols = [*rest, pa.array(n), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pairs).cast(kind), pa.array([items[i] for i in own], pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(cols, [f.name for f in schema.fields])
                 done += len(n)
-                nth += len(n)
-            shard.clear()
-            held.clear()
-            counts.clear()
 
         seen = 0
         for rb in slices(batches, "t"):
             data, offsets = utf8(rb.column(0))
-            h, at = words(data, offsets, hasher)
-            shard.add(h, at)
+            shard.add(*words(data, offsets, hasher))
             held.append(rb.columns[1:])
-            counts.append(np.diff(at))
             seen += len(data)
-            if shard.size >= SHARD_SYMBOLS or seen >= 16 * (2 << 20):
+            if seen >= SHARD_BYTES:
                 yield from flush()
-                seen = 0
+                shard, held, seen = Shard(), [], 0
         if held:
             yield from flush()
 
