@@ -7,7 +7,8 @@ code points share a chosen hash. A text with fewer than w k-grams is one window;
 Likeness of two fingerprints is the Jaccard index of their sets of hashes (1 for two empty ones).
 
 Defined results: null text is empty, and an empty text has the empty fingerprint; equal texts have equal fingerprints;
-rows with equal ids are ordered by the hash of their text; null ids come last; extra columns are not read.
+rows with equal ids are ordered by the hash of their text; null ids come last; ids that are no integers fail the query
+(compare_with_next orders by number; fingerprint takes any id); extra columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -129,8 +130,7 @@ def compare_with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     first = [(r.r, r.d, r.h) for r in ranged.groupBy("r").agg(F.max(F.struct("d", F.xxhash64("t").alias("h"))).alias("x")).select("r", "x.d", "x.h").collect()]  # one small row a range
     first.sort()
     above = {r: first[k - 1][0] for k, (r, *_) in enumerate(first)}  # the range that needs this one's first document (the last needs the first's)
-    heads = [F.struct(F.lit(r).alias("r"), F.lit(above[r]).alias("to"), F.lit(d).cast("long").alias("d"), F.lit(h).alias("h")) for r, d, h in first]
-    if not heads:
+    if not first:
         copies = ranged.limit(0).withColumn("helper", F.lit(1))
     else:
         small = spark.createDataFrame([(r, above[r], d, h) for r, d, h in first], "r int, to int, hd long, hh long")
