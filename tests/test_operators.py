@@ -168,6 +168,14 @@ def test_extract(spark):
     assert rows.first().meta == {"harness": "own", "data_source": "public", "public_dataset": "ds", "sample_weight": "0.25"} and [r.curated_id for r in missing.collect()] == ["b"]
 
 
+def test_index_rows(spark):
+    long = "word " * 60
+    rows = [("f", i, "public", "public_d", "s", "/p", None, "user" if i % 2 else "assistant", f"{i} {long}", None) for i in range(1, 5)]
+    index = mix.index_rows(curate.curate(raw(spark, rows).withColumn("dataset_id", F.lit("d"))).withColumn("source_line", F.lit(3))).first()
+    assert (index.harness, index.data_source, index.public_dataset, index.message_count, index.train_tier, index.safety_ok, index.project) == ("public_d", "public", "d", 4, 1, 1, "public:d")
+    assert index.char_count == 4 * (2 + len(long.strip())) and len(index.curated_id) == 32
+
+
 def test_train_set_and_weights(spark):
     m = "array<struct<role:string,content:string>>"
     df = spark.createDataFrame([([("user", " a "), ("tool", "t"), ("assistant", "b" * 9)], None, "public_x", 0.01), ([("user", "a"), ("system", "b")], None, "h", 1.0), ([("user", ""), ("assistant", "b")], None, "h", 1.0)], f"messages {m}, data_source string, harness string, sample_weight double")
