@@ -10,7 +10,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import added_lines
@@ -102,16 +102,23 @@ def count_of(text: Column, pattern: str) -> Column:
 
 def located(text: Column, source: str, kind: str, pattern: str, *, group: int = 0, detail: Column | None = None) -> Column:
     """All matches of a pattern that lie one after the other, with their offsets. A group must be the match's end."""
-    whole, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    shown = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    ends = F.transform(whole, lambda m, i: F.aggregate(F.slice(pieces, 1, i + 1), F.lit(0), lambda a, p: a + F.length(p)) + F.aggregate(F.slice(whole, 1, i + 1), F.lit(0), lambda a, p: a + F.length(p)))
-    rows = F.arrays_zip(shown.alias("m"), ends.alias("e"))
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("w"), F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("m"))
+
+    def ends(b: Column) -> Column:
+        sizes = F.struct(F.transform(b["w"], F.length).alias("w"), F.transform(b["p"], F.length).alias("p"))
+        total = lambda a, i: F.aggregate(F.slice(a, 1, i + 1), F.lit(0), lambda x, y: x + y)
+        return let(sizes, lambda n: F.transform(n["w"], lambda _, i: total(n["w"], i) + total(n["p"], i)))
 
     def of(x: Column) -> Column:
         m, e = x["m"], x["e"]
         return F.struct(F.lit(source).alias("source"), F.lit(kind).alias("kind"), (F.left(m, F.lit(DETAIL)) if detail is None else detail).alias("detail"), (e - F.length(m)).cast("int").alias("start"), e.cast("int").alias("end"), m.alias("match"))
 
-    return F.transform(rows, of)
+    return F.when(text.rlike(pattern), let(found, lambda b: F.transform(F.arrays_zip(b["m"].alias("m"), ends(b).alias("e")), of))).otherwise(nothing())
+
+
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.element_at(F.transform(F.array(value), lambda x: f(x)), 1)
 
 
 def any_of(patterns: list[str]) -> str:
@@ -181,7 +188,12 @@ def severity(source: Column, kind: Column, detail: Column, policy: Policy = Poli
 def judged(found: Column, policy: Policy = Policy()) -> Column:
     """findings that are not let through, with their severity: first those that block, then warnings, each in order."""
     rated = F.transform(F.filter(found, lambda f: ~allowed(f, policy)), lambda f: f.withField("severity", severity(f["source"], f["kind"], f["detail"], policy)))
-    return F.concat(F.filter(rated, lambda f: f["severity"] == "block"), F.filter(rated, lambda f: f["severity"] == "warn"))
+    return let(rated, lambda r: F.concat(F.filter(r, lambda f: f["severity"] == "block"), F.filter(r, lambda f: f["severity"] == "warn")))
+
+
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """rows with a dear column that later filters do not compute again (a generator of one row keeps them from being pushed below it)."""
+    return rows.select(*[c for c in rows.columns if c != name], F.explode(F.array(value)).alias(name))
 
 
 def blocks(rated: Column) -> Column:

@@ -119,7 +119,7 @@ def finalize(cut: DataFrame, *, filter_secrets: bool = True, bootstrap: bool = T
     first = F.col("first")
     body = F.array_join(F.transform("messages", lambda m: m.content), "\n\n")
     diff = safety.is_diff(first["harness"], first["source"], first["source_path"], policy)
-    out = cut.withColumn("rated", window_findings(body, diff, policy=policy, personal=personal_data, enabled=filter_secrets)).withColumn("pub", public_defaults(first))
+    out = safety.once(cut, "rated", window_findings(body, diff, policy=policy, personal=personal_data, enabled=filter_secrets)).withColumn("pub", public_defaults(first))
     ok = ~safety.should_quarantine(safety.blocks(F.col("rated")), safety.warns(F.col("rated")), policy.quarantine)
     plain = F.array_join(F.transform("messages", lambda m: m.content), "\n")
     meta = F.struct(

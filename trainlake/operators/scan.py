@@ -34,7 +34,7 @@ def evaluate(rows: DataFrame, *, policy: Policy = Policy(), personal: bool = Fal
     found = F.when(diff, safety.scan_diff(body)).otherwise(safety.scan_text(whole, with_personal=personal, policy=policy))
     if external is not None:
         found = F.concat(found, F.coalesce(external, safety.nothing()))
-    out = rows.withColumn("rated", safety.judged(found, policy))
+    out = safety.once(rows, "rated", safety.judged(found, policy))
     out = out.withColumn("block_count", safety.blocks(F.col("rated"))).withColumn("warn_count", safety.warns(F.col("rated")))
     return out.withColumn("quarantine", safety.should_quarantine(F.col("block_count"), F.col("warn_count"), policy.quarantine))
 

@@ -156,7 +156,7 @@ def given(spark, d):
 
 
 def rated(spark, d, policy=safety.Policy()):
-    return given(spark, d).withColumn("rated", safety.judged(safety.scan_text(F.col("text")), policy))
+    return safety.once(given(spark, d), "rated", safety.judged(safety.scan_text(F.col("text")), policy))
 
 
 def _block_warn(rows):
