@@ -31,7 +31,7 @@ from .pretokens import Hasher
 #: Bytes of test text that one block of phrases may hold; larger test sets are searched block by block.
 BLOCK_BYTES = 32 << 20
 #: Bytes of documents that are indexed together.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 
 # word bytes: 0-9, a-z (after A-Z are lowered) and every byte of a character from U+0080
 FOLD = np.arange(256, dtype=np.uint8)
@@ -208,7 +208,7 @@ def _search(docs: DataFrame, blocks: Blocks, doc_id: str, text: str, keep: tuple
                 done += len(n)
 
         seen = 0
-        for rb in slices(batches, "t"):
+        for rb in slices(batches, "t", 1 << 19):
             data, offsets = utf8(rb.column(0))
             shard.add(*words(data, offsets, hasher))
             held.append(rb.columns[1:])

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import code_points, ragged, slices, utf8
+from .common import code_points, ragged, slices, trim, utf8
 from .pretokens import SPECIAL, Cache, starts
 
 TIERS = (256, 512, 1024, 2048)
@@ -36,7 +36,7 @@ BLOCK_TOKENS = 1 << 21
 class Encoder:
     """Token ids by the tokenizers library; ids of pre-tokens seen before come from a bounded cache."""
 
-    ARENA = 1 << 23
+    ARENA = 1 << 22
 
     def __init__(self, path: str):
         import os
@@ -44,13 +44,13 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.cache = Tokenizer.from_file(path), Cache()
+        self.library = Tokenizer.from_file(path)
         self.reset()
 
     def reset(self) -> None:
-        self.cache.clear()
+        self.cache = Cache(20)
         self.ids, self.used = np.zeros(self.ARENA, np.int32), 0
-        self.offset, self.size, self.words = np.zeros(1 << 20, np.int64), np.zeros(1 << 20, np.int32), 0
+        self.offset, self.size, self.words = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int32), 0
 
     def _compute(self, words: list[str]) -> np.ndarray:
         encoded = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
@@ -69,7 +69,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of the texts in them)."""
-        if self.used > self.ARENA // 2 or self.words > 1 << 20:
+        if self.used > self.ARENA // 2 or self.words > 1 << 19:
             self.reset()
         text, cps, at = code_points(data, offsets)
         n = len(at) - 1
@@ -235,6 +235,10 @@ def pack(docs: DataFrame, path: str, *, text: str = "text", doc_id: str = "doc_i
                 held, tokens = ([], [], []), 0
         if held[0]:
             yield from emit(*held, counters, base)
+        # the worker lives on for other stages: nothing of this one stays in it
+        _encoder.cache_clear()
+        encoder = held = None
+        trim()
 
     out = inner.mapInArrow(run, schema)
     return out.withColumnRenamed("d", doc_id)
