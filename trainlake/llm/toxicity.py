@@ -107,19 +107,20 @@ class Model:
         y = np.array(toxic)
         if not len(y) or y.min() == y.max():
             return
-        keys, slot_rows, counts = [], [], []
-        for rb in slices(iter([pa.record_batch([pa.array(texts, pa.string())], ["t"])]), "t", 1 << 19):  # bounds the driver's memory
+        parts_of = lambda: slices(iter([pa.record_batch([pa.array(texts, pa.string())], ["t"])]), "t", 1 << 19)
+        counts = np.concatenate([np.diff(tokens(*utf8(rb.column(0)))[2]) for rb in parts_of()])
+        first = np.concatenate([[0], np.cumsum(counts)])
+        parts = [np.empty(first[-1], np.uint64) for _ in range(5)]
+        slots, done = np.empty((first[-1], 8), np.int32), 0
+        for rb in parts_of():  # filled in place: the driver's memory holds each array once
             data, offsets = utf8(rb.column(0))
             at, size, own = tokens(data, offsets)
             k = self.keys(data, at, size)
-            keys.append(k[:5])
-            slot_rows.append(self.slots(k, own))
-            counts.append(np.diff(own))
-        first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-        parts = [np.concatenate([k[i] for k in keys]) for i in range(5)]
-        slots = np.concatenate(slot_rows)
+            for part, new in zip(parts, k):
+                part[done : done + len(at)] = new
+            slots[done : done + len(at)] = self.slots(k, own)
+            done += len(at)
         self.weights = np.zeros(1 << TABLE_BITS, np.float64)
-        del keys, slot_rows
         at = parts[0]
         owner = np.repeat(np.arange(len(y)), np.diff(first))
         chosen = self.features(parts, owner, y, lowest)
