@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import TRAIN_MARKER, curated_id, truncate
 from ..functions.variant import strip
+from .numbering import cut, numbered
 
 
 @dataclass(frozen=True)
@@ -34,16 +35,6 @@ def quota(personal: int, public: int, ratio: float, cap: int | None) -> int:
     return max(0, min(n, public, cap if cap is not None else public))
 
 
-def numbered(rows: DataFrame, *order: Column | str) -> DataFrame:
-    """sort_order from 0 in this order, without one task for all rows: ranges are sorted on their own, and a count a range gives where each begins."""
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part_", F.spark_partition_id()).withColumn("at_", F.monotonically_increasing_id())
-    counts = ranged.groupBy("part_").agg(F.count("*").alias("n_"), F.min("at_").alias("first_"))
-    before = F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select("part_", "first_", before.alias("before_"))  # a row for each partition
-    out = ranged.join(F.broadcast(starts), "part_").withColumn("sort_order", F.col("before_") + F.col("at_") - F.col("first_"))
-    return out.drop("part_", "at_", "first_", "before_")
-
-
 def place_of(dataset: Column, priority: tuple[str, ...]) -> Column:
     """The dataset's place in the list of priorities; others come after all."""
     return reduce(lambda a, x: F.when(dataset == x[1], F.lit(x[0])).otherwise(a), list(enumerate(priority))[::-1], F.lit(len(priority)))
@@ -251,7 +242,7 @@ def weighted_draws(rows: DataFrame, key: str, weight: str, n: int, seed: int = 7
 
     Weights become integer intervals on a line; a draw falls into one. Ranges of the line are found by each range's total
     (a row a partition), then draws and rows meet by a bucket of the line, so neither side is sent to all tasks."""
-    ranged = rows.select(key, F.col(weight).cast("double").alias("w_")).where("w_ > 0").repartitionByRange(key).sortWithinPartitions(key).withColumn("part_", F.spark_partition_id())
+    ranged = cut(rows.select(key, F.col(weight).cast("double").alias("w_")).where("w_ > 0").repartitionByRange(key).withColumn("part_", F.spark_partition_id()))
     own = Window.partitionBy("part_").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     inside = ranged.withColumn("to_", F.sum("w_").over(own))
     parts = ranged.groupBy("part_").agg(F.sum("w_").alias("all_"))

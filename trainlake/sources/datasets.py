@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import variant as J
 from ..functions.variant import row as V
+from ..operators.numbering import in_given_order, numbered
 from .jsonl import parquet_rows, read_strict
 
 LOADERS: dict[str, Callable[..., DataFrame]] = {}
@@ -42,22 +43,19 @@ def loader(name: str):
 
 
 def indexed(rows: DataFrame) -> DataFrame:
-    """v (the row as VARIANT) and index (its place in the source)."""
+    """v (the row as VARIANT) and index (its place in the source, from 0).
+
+    Rows of Parquet shards carry their shard and place in it, so a count of each shard is all that is needed; other rows
+    are written once with their places."""
     if rows.columns == ["index", "v"]:
         return rows
     v = F.parse_json(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in ("_shard", "_row")])))
-    if {"_shard", "_row"} <= set(rows.columns):  # shards in order of name, each in its own order
-        rows = rows.repartitionByRange("_shard", "_row").sortWithinPartitions("_shard", "_row")
-    return rows.select(F.monotonically_increasing_id().alias("index"), v.alias("v"))
-
-
-def numbered(rows: DataFrame) -> DataFrame:
-    """index as consecutive numbers from 0, for session names made of them."""
-    placed = rows.withColumn("part_", F.spark_partition_id()).withColumn("at_", F.monotonically_increasing_id())
-    counts = placed.groupBy("part_").agg(F.count("*").alias("n_"), F.min("at_").alias("first_"))
-    before = F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select("part_", "first_", before.alias("before_"))  # a row for each partition
-    return placed.join(F.broadcast(starts), "part_").select((F.col("before_") + F.col("at_") - F.col("first_")).alias("index"), "v")
+    if not {"_shard", "_row"} <= set(rows.columns):
+        return in_given_order(rows.select(v.alias("v")), "index").select("index", "v")
+    last = rows.groupBy("_shard").agg(F.max("_row").alias("last_"))  # a row for each file
+    before = F.coalesce(F.sum(F.col("last_") + 1).over(Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(last.select("_shard", before.alias("before_")))
+    return rows.select("_shard", "_row", v.alias("v")).join(starts, "_shard").select((F.col("before_") + F.col("_row")).alias("index"), "v")
 
 
 def first_rows(rows: DataFrame, max_rows: int | None) -> DataFrame:
@@ -111,7 +109,7 @@ def looks_like_code(v: Column | None = None) -> Column:
 
 def instruction_pairs(rows: DataFrame, dataset: str, verify: str, *, max_rows: int | None = None, user_keys=USER_KEYS, assistant_keys=ASSISTANT_KEYS, thinking_keys=THINKING_KEYS, where: Column | None = None, extra: dict[str, Column] | None = None) -> DataFrame:
     """Pairs from the first non-blank key of each list; rows without both sides by their messages, if they have some."""
-    rows = numbered(indexed(rows))
+    rows = indexed(rows)
     if where is not None:
         rows = rows.where(where)
     user, answer, thought = J.first_text(V(), *user_keys), J.first_text(V(), *assistant_keys), J.first_text(V(), *thinking_keys)
@@ -125,7 +123,7 @@ def instruction_pairs(rows: DataFrame, dataset: str, verify: str, *, max_rows: i
 
 
 def _talks(rows: DataFrame, dataset: str, verify: str, session: Callable[[], Column], *, messages: Column, where: Column | None = None, max_rows: int | None = None, tool_to_user: bool | Column = True, extra: dict[str, Column] | None = None) -> DataFrame:
-    rows = numbered(indexed(rows))
+    rows = indexed(rows)
     if where is not None:
         rows = rows.where(where)
     rows = rows.withColumn("messages_", messages).where(F.coalesce(F.size("messages_"), F.lit(0)) >= 2)
@@ -144,7 +142,7 @@ def swe_chat(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
 
     The start of a run is where the id before it differs; runs are told apart by the place of their start, found in
     each session's own rows: a row starts a run if the accepted row before it (in all rows) is another session's."""
-    rows = numbered(indexed(rows))
+    rows = indexed(rows)
     role, kind = F.lower(J.scalar_at(V(), "$.role")), F.lower(J.scalar_at(V(), "$.turn_type"))
     content = J.strip(J.scalar_at(V(), "$.content"))
     prefix = F.when(role == "tool_use", F.concat(F.lit("[tool:"), J.first_of(J.scalar_at(V(), "$.tool_name"), F.lit("call")), F.lit("]\n"))).when(role == "tool_result", "[tool_result]\n").otherwise("")
@@ -154,11 +152,7 @@ def swe_chat(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
     turns = turns.where((F.col("content") != "") & F.col("role").isNotNull() & ~F.coalesce(F.col("kind").isin(*NO_CHAT), F.lit(False)))
     turns = first_rows(turns, max_rows)
     # consecutive numbers of the accepted rows, without one task for all: equal (place - place within the session) means one run
-    ranked = turns.repartitionByRange("index").sortWithinPartitions("index")
-    ranked = ranked.withColumn("part_", F.spark_partition_id()).withColumn("at_", F.monotonically_increasing_id())
-    counts = ranked.groupBy("part_").agg(F.count("*").alias("n_"), F.min("at_").alias("first_"))
-    before = F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = ranked.join(F.broadcast(counts.select("part_", "first_", before.alias("before_"))), "part_").withColumn("place", F.col("before_") + F.col("at_") - F.col("first_"))
+    placed = numbered(turns, "index", name="place")
     own = Window.partitionBy("sid").orderBy("place")
     run = placed.withColumn("run", F.col("place") - F.row_number().over(own))
     line = F.row_number().over(Window.partitionBy("sid", "run").orderBy("turn", "place"))
@@ -192,7 +186,7 @@ def swe_zero_12m(rows: DataFrame, max_rows: int | None = None, exit_status: str
 def swe_zero_openhands(rows: DataFrame, max_rows: int | None = None, require_patch: bool = True) -> DataFrame:
     """Trajectories of at least two steps, two of them with a text; with a patch, if required."""
     patch = F.coalesce(J.strip(J.scalar_at(V(), "$.model_patch")), F.lit(""))
-    rows = numbered(indexed(rows)).where(F.coalesce(F.size(J.list_at(V(), "$.trajectory")) >= 2, F.lit(False)))
+    rows = indexed(rows).where(F.coalesce(F.size(J.list_at(V(), "$.trajectory")) >= 2, F.lit(False)))
     if require_patch:
         rows = rows.where(patch != "")
     turns = F.filter(F.transform(F.filter(J.list_at(V(), "$.trajectory"), J.is_dict), with_tool_calls), lambda m: m.content != "")
@@ -204,7 +198,7 @@ def swe_zero_openhands(rows: DataFrame, max_rows: int | None = None, require_pat
 
 def _two_sides(rows: DataFrame, dataset: str, verify: str, user: str, assistant: str, session: Column, extra: tuple[str, ...], max_rows: int | None) -> DataFrame:
     one, two = J.strip(J.scalar_at(V(), f"$.{user}")), J.strip(J.scalar_at(V(), f"$.{assistant}"))
-    rows = first_rows(numbered(indexed(rows)).where((one != "") & (two != "")), max_rows)
+    rows = first_rows(indexed(rows).where((one != "") & (two != "")), max_rows)
     return pair(rows, dataset, verify, session, one, two, extra={k: J.scalar_at(V(), f"$.{k}") for k in extra})
 
 
@@ -264,7 +258,7 @@ def _in_turn(parts: list[DataFrame], max_rows: int | None) -> DataFrame:
 def cooper(rows: DataFrame, max_rows: int | None = None, *, folder: str, files: tuple[str, ...] = COOPER_FILES) -> DataFrame:
     """Each index row names a folder with a trajectory file for each agent; missing files are passed over. max_rows counts pairs."""
     spark = rows.sparkSession
-    base = numbered(indexed(rows)).withColumn("dir_", F.regexp_replace(J.strip(J.scalar_at(V(), "$.log_dir")), "^/+", "")).where("dir_ != ''")
+    base = indexed(rows).withColumn("dir_", F.regexp_replace(J.strip(J.scalar_at(V(), "$.log_dir")), "^/+", "")).where("dir_ != ''")
     base = base.withColumn("dir_", F.when(F.col("dir_").startswith("coop/"), F.col("dir_")).otherwise(F.concat(F.lit("coop/"), F.col("dir_"))))
     wanted = base.select("index", F.col("v").alias("row_"), F.explode(F.array(*[F.struct(F.lit(i).alias("nth"), F.concat("dir_", F.lit("/" + f)).alias("path"), F.lit(f).alias("file")) for i, f in enumerate(files)])).alias("w_"))
     files_below = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(folder, wholetext=True)
