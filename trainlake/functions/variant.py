@@ -163,11 +163,11 @@ def dataset_text(v: Column, path: str = "$") -> Column:
 
 def first_text(v: Column, *keys: str) -> Column:
     """The first key that holds a non-blank string, or a block with one; empty if none does."""
-    looks = []
-    for k in keys:
-        looks.append(text_at(v, f"$.{k}"))
-        looks.append(first_of(text_at(v, f"$.{k}.text"), text_at(v, f"$.{k}.content")))
-    return F.coalesce(first_of(*[strip(x) for x in looks]), F.lit(""))
+    def of(x: Column) -> Column:
+        return strip(F.coalesce(text_at(x, "$"), first_of(text_at(x, "$.text"), text_at(x, "$.content"))))
+
+    texts = F.transform(F.array(*[any_at(v, f"$.{k}") for k in keys]), of)
+    return F.coalesce(F.get(F.filter(texts, lambda t: t != ""), F.lit(0)), F.lit(""))
 
 
 def messages_at(v: Column, *keys: str) -> Column:

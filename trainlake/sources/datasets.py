@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import variant as J
+from ..functions.safety import once
 from ..functions.variant import row as V
 from ..operators.numbering import in_given_order, numbered
 from .jsonl import parquet_rows, read_strict
@@ -113,8 +114,10 @@ def instruction_pairs(rows: DataFrame, dataset: str, verify: str, *, max_rows: i
     if where is not None:
         rows = rows.where(where)
     user, answer, thought = J.first_text(V(), *user_keys), J.first_text(V(), *assistant_keys), J.first_text(V(), *thinking_keys)
-    full = F.when((thought != "") & (answer != ""), F.concat(F.lit("[thinking]\n"), thought, F.lit("\n\n"), answer)).otherwise(answer)
-    rows = rows.select("*", user.alias("user_"), full.alias("answer_"), J.messages_at(V(), "messages", "conversations").alias("messages_"))
+    rows = once(rows, "p_", F.struct(user.alias("user"), answer.alias("answer"), thought.alias("thought"), J.messages_at(V(), "messages", "conversations").alias("messages")))
+    said = F.col("p_.answer")
+    full = F.when((F.col("p_.thought") != "") & (said != ""), F.concat(F.lit("[thinking]\n"), F.col("p_.thought"), F.lit("\n\n"), said)).otherwise(said)
+    rows = rows.select("index", "v", F.col("p_.user").alias("user_"), full.alias("answer_"), F.col("p_.messages").alias("messages_"))
     both = (F.col("user_") != "") & (F.col("answer_") != "")
     rows = first_rows(rows.where(both | (F.coalesce(F.size("messages_"), F.lit(0)) > 0)), max_rows)
     pairs = pair(rows.where(both), dataset, verify, named(dataset, "$.id", "$.sample_id", "$.fingerprint"), F.col("user_"), F.col("answer_"), extra=extra)
