@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import json
 import tempfile
 from collections.abc import Iterator
 
@@ -110,6 +111,11 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[str, np.ndarray,
     return text, cps, lead[offsets]
 
 
+def constant(value, kind: str):
+    """A constant of any type as a column: its JSON is read once, when Spark folds constants, not for each row."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False, separators=(",", ":"))), kind)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Contract split: crc32 of the id as text, modulo 5, is 0. A null id counts as the text ''."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0

@@ -116,3 +116,38 @@ def op8_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import link_trust
 
     return link_trust.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resampling import resample
+
+    found = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), longest=1, buckets=10_000, seed="2024", percent=10, least_words=20)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# crc32 by its table: 256 entries made by eight steps each, then one step for each byte of a distinct word
+SQL["op11_resampling"] = r"""
+WITH RECURSIVE steps AS (
+  SELECT 0 AS k, i, i::BIGINT AS c FROM range(256) t(i)
+  UNION ALL SELECT k + 1, i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8
+), lookup AS MATERIALIZED (SELECT list(c ORDER BY i) AS l FROM steps WHERE k = 8),
+dw AS MATERIALIZED (
+  SELECT doc_id, unnest(w) AS w FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents)
+), bw AS MATERIALIZED (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS w FROM benchmark
+), words AS MATERIALIZED (
+  SELECT w, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, strlen(w) + 1), lambda p: ('0x' || substr(hex(w), 2 * p - 1, 2))::BIGINT), lambda c, b: xor(c >> 8, l[1 + xor(c & 255, b)])), 4294967295) % 10000 AS b
+  FROM (SELECT w FROM dw UNION SELECT w FROM bw), lookup
+), s AS (SELECT b, count(*) AS n FROM dw JOIN words USING (w) GROUP BY b), t AS (SELECT b, count(*) AS n FROM bw JOIN words USING (w) GROUP BY b),
+g AS (
+  SELECT words.w, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM words LEFT JOIN s USING (b) LEFT JOIN t USING (b)
+), f AS (SELECT doc_id, count(*) AS n_features, sum(gain) AS weight FROM dw JOIN g USING (w) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN f USING (doc_id)
+), able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN able USING (doc_id)
+"""
