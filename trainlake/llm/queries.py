@@ -151,3 +151,51 @@ scored AS (
 ), able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN able USING (doc_id)
 """
+
+
+@query
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"), longest=3, least=10, cover_percent=50, first=2000)
+
+
+SQL["op13_phrases"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM p),
+g AS (
+  SELECT lang, k, array_to_string(w[i:i+k-1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(w) >= k)
+  GROUP BY ALL
+), n AS (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k >= 2 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.k, a, cut, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+  JOIN g l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(w[1:cut], ' ')
+  JOIN g r ON r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(w[cut+1:], ' ')
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+  SELECT lang, sub, max(a) AS most FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS sub FROM c WHERE k = 3) GROUP BY ALL
+), ranked AS (
+  SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.sub = best.phrase
+  WHERE most IS NULL OR 100 * most < 50 * a
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+def rank_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .byte_bpe import digests
+
+    return digests(table(spark, sf_dir, "documents"), rank_file())
