@@ -89,16 +89,16 @@ def combined_text(parts: list[Column], messages: Column | None = None) -> Column
     return F.array_join(own, "\n\n")
 
 
-# What in a path names the project of the lake itself.
-OWN_PROJECT, OWN_PATHS = "llm-self-training", ("LLM Self Training",)
-
-
-def project(path: Column, dataset: Column) -> Column:
-    """Public:dataset, or the lake's own project by its path, or nothing."""
-    own = F.lower(path).contains(OWN_PROJECT)
-    for p in OWN_PATHS:
-        own = own | path.contains(p)
-    return F.when(F.coalesce(dataset, F.lit("")) != "", F.concat(F.lit("public:"), dataset)).when(own, OWN_PROJECT).otherwise("")
+def project(path: Column, dataset: Column, own: str | None = None, own_paths: tuple[str, ...] = ()) -> Column:
+    """Public:dataset, or the lake's own project (if it has a name) by its path, or nothing. A path is the project's if it
+    holds the name in any case, or one of own_paths as it is written."""
+    out = F.when(F.coalesce(dataset, F.lit("")) != "", F.concat(F.lit("public:"), dataset))
+    if own:
+        mine = F.lower(path).contains(own.lower())
+        for p in own_paths:
+            mine = mine | path.contains(p)
+        out = out.when(mine, own)
+    return out.otherwise("")
 
 
 def harness_of_file(path: Column) -> Column:

@@ -89,7 +89,7 @@ SESSION = ["_source_file", "harness_", "session_"]
 FIRST = ("source", "harness", "source_path", "dataset_id", "data_source", "label", "exec", "verify", "session_id")
 
 
-def curate(turns: DataFrame, *, failures: DataFrame | None = None, filter_secrets: bool = True, bootstrap: bool = True, personal_data: bool = False, policy: safety.Policy = safety.Policy(), skip: tuple[str, ...] = ("developer", "system"), settings: dict | None = None) -> DataFrame:
+def curate(turns: DataFrame, *, failures: DataFrame | None = None, filter_secrets: bool = True, bootstrap: bool = True, personal_data: bool = False, policy: safety.Policy = safety.Policy(), skip: tuple[str, ...] = ("developer", "system"), settings: dict | None = None, own_project: tuple = (None, ())) -> DataFrame:
     """Raw turns (what read_turns gives) to curated examples: messages and meta, one row a kept window.
 
     Sessions are (file, source, session id), so those that two files share are not merged; index rows are dropped; a
@@ -111,10 +111,10 @@ def curate(turns: DataFrame, *, failures: DataFrame | None = None, filter_secret
     built = kept.groupBy(*SESSION).agg(F.first("first").alias("first"), F.array_sort(F.collect_list(item)).alias("m"))
     built = built.withColumn("messages", F.transform("m", lambda x: F.struct(x.role.alias("role"), x.text.alias("content")))).drop("m")
     cut = windows(built, [*SESSION, "first"], most=limit("max_messages"), overlap=limit("overlap"), least=limit("min_messages"), chars=limit("min_total_chars"))
-    return finalize(cut, filter_secrets=filter_secrets, bootstrap=bootstrap, personal_data=personal_data, policy=policy)
+    return finalize(cut, filter_secrets=filter_secrets, bootstrap=bootstrap, personal_data=personal_data, policy=policy, own_project=own_project)
 
 
-def finalize(cut: DataFrame, *, filter_secrets: bool = True, bootstrap: bool = True, personal_data: bool = False, policy: safety.Policy = safety.Policy()) -> DataFrame:
+def finalize(cut: DataFrame, *, filter_secrets: bool = True, bootstrap: bool = True, personal_data: bool = False, policy: safety.Policy = safety.Policy(), own_project: tuple = (None, ())) -> DataFrame:
     """A window's example with its meta: safety by F17, tier by C9, tags and tone of the joined text."""
     first = F.col("first")
     body = F.array_join(F.transform("messages", lambda m: m.content), "\n\n")
@@ -123,7 +123,7 @@ def finalize(cut: DataFrame, *, filter_secrets: bool = True, bootstrap: bool = T
     ok = ~safety.should_quarantine(safety.blocks(F.col("rated")), safety.warns(F.col("rated")), policy.quarantine)
     plain = F.array_join(F.transform("messages", lambda m: m.content), "\n")
     meta = F.struct(
-        F.col("pub.label").alias("label"), F.col("pub.exec").alias("exec"), F.col("pub.verify").alias("verify"), project(first["source_path"], first["dataset_id"]).alias("project"), F.coalesce(F.nullif(first["harness"], F.lit("")), first["source"]).alias("harness"),
+        F.col("pub.label").alias("label"), F.col("pub.exec").alias("exec"), F.col("pub.verify").alias("verify"), project(first["source_path"], first["dataset_id"], *own_project).alias("project"), F.coalesce(F.nullif(first["harness"], F.lit("")), first["source"]).alias("harness"),
         first["session_id"].alias("session_id"), "chunk_index", "chunk_count", first["source_path"].alias("source_path"), F.struct(ok.alias("ok"), F.transform("rated", lambda f: f.dropFields("match")).alias("findings")).alias("safety"), ok.alias("safety_ok"),
         F.transform("rated", lambda f: f["severity"]).alias("safety_severities"), tier(ok, F.col("pub.label"), F.col("pub.exec"), F.col("pub.verify"), bootstrap).alias("train_tier"), style_tags(plain).alias("style_tags"), tone(plain).alias("tone"),
         F.col("pub.data_source").alias("data_source"), F.col("pub.public_dataset").alias("public_dataset"),

@@ -193,48 +193,110 @@ def replay(rows: DataFrame, key: str, *, target: int = 300, fraction: float = 0.
     return (rows.where("train_tier = 2").unionByName(drawn) if tier2 else drawn).withColumn("replay_stratum", F.lit(True))
 
 
+def kth_each(rows: DataFrame, k: DataFrame, *, bits: int = 60, digit: int = 15) -> DataFrame:
+    """by_, kth_, rest_: the k_-th smallest value_ of each by_, and how many of the rows with just that value are among the first k_.
+
+    rows: by_ and value_ (0 <= value_ < 2^bits); k: by_ and k_ (a row a stratum, 1 <= k_ <= its rows). Digits are counted from the
+    top, so no stratum is sorted: a count holds at most 2^digit rows a stratum."""
+    state = k.select("by_", F.col("k_").alias("rest_"), F.lit(0).cast("long").alias("kth_"))
+    for shift in range(bits - digit, -1, -digit):
+        open_ = rows.join(state.select("by_", "kth_"), "by_").where(F.shiftright("value_", shift + digit) == F.shiftright("kth_", shift + digit))
+        counts = open_.groupBy("by_", F.shiftright(F.col("value_") - F.col("kth_"), shift).alias("d_")).agg(F.count("*").alias("n_"))
+        upto = F.sum("n_").over(Window.partitionBy("by_").orderBy("d_"))
+        found = counts.withColumn("upto_", upto).join(state, "by_").where((F.col("upto_") >= F.col("rest_")) & (F.col("upto_") - F.col("n_") < F.col("rest_")))
+        state = cut(found.select("by_", (F.col("rest_") - F.col("upto_") + F.col("n_")).alias("rest_"), (F.col("kth_") + F.shiftleft(F.col("d_"), shift)).alias("kth_")))
+    return state
+
+
 def holdout(rows: DataFrame, key: str, *, ratio: float = 0.1, stratum: str | None = "data_source", seed: str = "42", least: int = 20, least_stratum: int = 8) -> DataFrame:
     """Column split (train or eval): of each stratum of 8 rows or more the ceiling of its share, drawn by hash; all train below 20 rows.
 
-    A row's draw is compared with the share's quantile, so the split costs one shuffle of keys, none of texts."""
+    A row's draw (60 bits of its hash) is compared with the k-th smallest of its stratum, which is found by counting digits
+    of keys; no stratum is ranked in one task. Only rows that share the k-th draw itself are ranked, by whole hash and key."""
     total = rows.count()
     if ratio <= 0 or total < least:
         return rows.withColumn("split", F.lit("train"))
     by = F.coalesce(F.col(stratum).cast("string"), F.lit("")) if stratum else F.lit("")
-    w = Window.partitionBy("by_").orderBy("draw_", key)
-    ranked = rows.select(key, by.alias("by_"), hash_rank(rows, key, seed).alias("draw_")).withColumn("nth_", F.row_number().over(w))
-    sizes = rows.groupBy(by.alias("by_")).agg(F.count("*").alias("n_"))
+    drawn = rows.withColumns({"by_": by, "hash_": hash_rank(rows, key, seed)}).withColumn("value_", F.conv(F.left("hash_", F.lit(15)), 16, 10).cast("long"))
     few = F.lit(least_stratum if stratum else 0)
-    held = ranked.join(F.broadcast(sizes), "by_").where((F.col("n_") >= few) & (F.col("nth_") <= F.ceil(F.col("n_") * F.lit(ratio)))).select(key)
-    return rows.join(held.withColumn("eval_", F.lit(True)), key, "left").withColumn("split", F.when(F.col("eval_"), "eval").otherwise("train")).drop("eval_")
-
-
-def pack(rows: DataFrame, key: str, length: str, stratum: str, *, size: int = 2048, shards: int = 1) -> DataFrame:
-    """Best-fit-decreasing bins of at most `size` a stratum: key, bin, offset. Longer rows are cut to one bin. A stratum is dealt to
-    `shards` tasks by hash, so that a large one is not packed by a single task (bins are then best-fit within a shard)."""
-    from bisect import bisect_left, insort
-
-    schema = f"{stratum} string, shard int, `{key}` {rows.schema[key].dataType.simpleString()}, bin long, offset long, used long"
+    sizes = rows.groupBy(by.alias("by_")).agg(F.count("*").alias("n_")).where(F.col("n_") >= few).select("by_", F.ceil(F.col("n_") * F.lit(ratio)).cast("long").alias("k_"))
+    edge = kth_each(drawn.select("by_", F.coalesce("value_", F.lit(0)).alias("value_")), sizes)
+    placed = drawn.withColumn("value_", F.coalesce("value_", F.lit(0))).join(edge, "by_", "left")
+    same = F.col("value_").eqNullSafe(F.col("kth_"))
+    inside = placed.where(~same).withColumn("split", F.when(F.col("value_") < F.col("kth_"), "eval").otherwise("train"))
+    nth = F.row_number().over(Window.partitionBy("by_", "value_").orderBy("hash_", key))
+    on_edge = placed.where(same).withColumn("nth_", nth).withColumn("split", F.when(F.col("nth_") <= F.col("rest_"), "eval").otherwise("train")).drop("nth_")
+    return inside.unionByName(on_edge).select(*rows.columns, "split")
+
+
+def best_fit(counts: list[tuple[int, int]], size: int) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
+    """Best-fit-decreasing bins of `counts` (length from 1, how many; longest first), worked out for all rows of a length at once.
+
+    Returns (length, first rank, rows, first bin, rows a bin, offset) pieces: row number t of a piece goes to bin
+    first + t // rows a bin, at offset + (t % rows a bin) * length; and the number of bins. Of bins with equal room the
+    first comes first, as if rows were placed one by one."""
+    from heapq import heappop, heappush
+
+    room: dict[int, list[tuple[int, int]]] = {}  # room left: (first bin, bins), a heap of runs
+    out, bins = [], 0
+    for length, n in counts:
+        at = 0
+        while at < n:
+            fits = [r for r in room if r >= length]
+            r = min(fits, default=size)
+            each = r // length
+            need = -(-(n - at) // each)
+            if fits:
+                first, have = heappop(room[r])
+                used = min(have, need)
+                if used < have:
+                    heappush(room[r], (first + used, have - used))
+                if not room[r]:
+                    del room[r]
+            else:
+                first, used = bins, need
+                bins += need
+            put = min(n - at, used * each)
+            out.append((length, at, put, first, each, size - r))
+            full, part = divmod(put, each)
+            if full and r - each * length:
+                heappush(room.setdefault(r - each * length, []), (first, full))
+            if part:
+                heappush(room.setdefault(r - part * length, []), (first + full, 1))
+            at += put
+    return out, bins
+
+
+def pack(rows: DataFrame, key: str, length: str, stratum: str, *, size: int = 2048) -> DataFrame:
+    """Best-fit-decreasing bins of at most `size` a stratum: key, bin, offset, used. Longer rows are cut to one bin, rows without a length lie in bin 0.
+
+    Bins depend on how many rows have each length, so they are worked out from that histogram (at most `size` rows a
+    stratum), and rows are dealt to them by their rank among equal lengths: a global order by ranges, less what comes before."""
+    import pandas as pd
+
+    slim = rows.select(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("by_"), F.col(key).alias("key_"), F.least(F.greatest(F.coalesce(F.col(length).cast("long"), F.lit(0)), F.lit(0)), F.lit(size)).alias("n_"))
+    filled = cut(slim.where("n_ > 0").groupBy("by_", "n_").agg(F.count("*").alias("c_")))
 
     def bins(frame):
-        import pandas as pd
-
-        frame = frame.sort_values(["n_", key], ascending=[False, True], kind="stable")
-        free: list[tuple[int, int]] = []  # (room, bin), in order of room
-        out, used = [], 0
-        for n in frame["n_"].tolist():
-            n = min(int(n), size)
-            at = bisect_left(free, (n, -1))
-            room, b = free.pop(at) if at < len(free) else (size, used)
-            used = max(used, b + 1)
-            out.append((b, size - room, n))
-            if room > n:
-                insort(free, (room - n, b))
-        cols = list(zip(*out)) or [(), (), ()]
-        return pd.DataFrame({stratum: frame[stratum], "shard": frame["shard"], key: frame[key], "bin": cols[0], "offset": cols[1], "used": cols[2]})
-
-    slim = rows.select(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias(stratum), F.pmod(F.xxhash64(key), F.lit(shards)).cast("int").alias("shard"), key, F.col(length).cast("long").alias("n_"))
-    return slim.groupBy(stratum, "shard").applyInPandas(bins, schema)
+        frame = frame.sort_values("n_", ascending=False)
+        pieces, _ = best_fit(list(zip(frame["n_"].tolist(), frame["c_"].tolist())), size)
+        return pd.DataFrame([(frame["by_"].iloc[0], *p) for p in pieces], columns=["by_", "n_", "from_", "put_", "bin_", "each_", "at_"])
+
+    pieces = filled.groupBy("by_").applyInPandas(bins, "by_ string, n_ long, from_ long, put_ long, bin_ long, each_ long, at_ long")
+    plan = pieces.groupBy("by_", "n_").agg(F.array_sort(F.collect_list(F.struct("from_", "put_", "bin_", "each_", "at_"))).alias("plan_"))
+    # rows before each length in the global order; lengths come down from the longest
+    sizes = filled.groupBy("by_").agg(F.sum("c_").alias("all_"))
+    ahead = sizes.withColumn("ahead_", F.coalesce(F.sum("all_").over(Window.orderBy("by_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("by_", "ahead_")
+    own = F.coalesce(F.sum("c_").over(Window.partitionBy("by_").orderBy(F.col("n_").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = filled.withColumn("own_", own).join(ahead, "by_").select("by_", "n_", (F.col("ahead_") + F.col("own_")).alias("start_"))
+    placed = numbered(slim.where("n_ > 0"), "by_", F.col("n_").cast("long") * -1, "key_", name="nth_")
+    found = placed.join(plan.join(starts, ["by_", "n_"]), ["by_", "n_"]).withColumn("rank_", F.col("nth_") - F.col("start_"))
+    piece = F.get(F.filter("plan_", lambda p: (p["from_"] <= F.col("rank_")) & (F.col("rank_") < p["from_"] + p["put_"])), F.lit(0))
+    found = found.select("by_", "key_", "n_", "rank_", piece.alias("p"))
+    t = F.col("rank_") - F.col("p.from_")
+    out = found.select("by_", "key_", (F.col("p.bin_") + F.floor(t / F.col("p.each_"))).cast("long").alias("bin"), (F.col("p.at_") + t % F.col("p.each_") * F.col("n_")).alias("offset"), F.col("n_").alias("used"))
+    empty = slim.where("n_ = 0").select("by_", "key_", *[F.lit(0).cast("long").alias(c) for c in ("bin", "offset", "used")])
+    return out.unionByName(empty).select(F.col("by_").alias(stratum), F.col("key_").alias(key), "bin", "offset", "used")
 
 
 def weighted_draws(rows: DataFrame, key: str, weight: str, n: int, seed: int = 7) -> DataFrame:
@@ -265,10 +327,15 @@ def recommended(p: int, *, step: int = 256, least: int = 512, cap: int = 8192, h
 
 
 def length_audit(rows: DataFrame, length: str, *, percentile: int = 95, cap: int = 8192, above: tuple[int, ...] = (512, 1024, 2048, 4096)) -> DataFrame:
-    """Nearest-rank percentiles, the recommended length, and how many rows are longer than some lengths; zeros for no rows."""
-    n = F.col(length)
-    disc = lambda q: F.coalesce(F.expr(f"percentile_disc({q}) within group (order by `{length}`)"), F.lit(0)).cast("long")
-    got = rows.agg(F.count(n).alias("rows"), disc(0.5).alias("p50"), disc(0.95).alias("p95"), disc(0.99).alias("p99"), F.coalesce(F.max(n), F.lit(0)).cast("long").alias("longest"), disc(percentile / 100).alias("target_"), *[F.count_if(n > a).alias(f"above_{a}") for a in above])
+    """Nearest-rank percentiles, the recommended length, and how many rows are longer than some lengths; zeros for no rows.
+
+    Rows are counted by length first; what is ranked is the table of lengths, which does not grow with the rows."""
+    counts = rows.select(F.col(length).cast("long").alias("n_")).where("n_ is not null").groupBy("n_").agg(F.count("*").alias("c_"))
+    every = Window.orderBy("n_")
+    ranked = counts.withColumns({"upto_": F.sum("c_").over(every), "all_": F.sum("c_").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    disc = lambda p: F.coalesce(F.min(F.when(F.col("upto_") * 100 >= F.col("all_") * p, F.col("n_"))), F.lit(0)).cast("long")
+    many = lambda a: F.coalesce(F.sum(F.when(F.col("n_") > a, F.col("c_")).otherwise(0)), F.lit(0)).cast("long")
+    got = ranked.agg(F.coalesce(F.sum("c_"), F.lit(0)).cast("long").alias("rows"), disc(50).alias("p50"), disc(95).alias("p95"), disc(99).alias("p99"), F.coalesce(F.max("n_"), F.lit(0)).cast("long").alias("longest"), disc(percentile).alias("target_"), *[many(a).alias(f"above_{a}") for a in above])
     rounded = F.ceil(F.floor(F.col("target_") * 1.05) / 256) * 256
     return got.withColumn("recommended", F.greatest(F.lit(512), F.least(F.lit(cap), rounded)).cast("long")).drop("target_")
 

@@ -23,10 +23,10 @@ def chunk_id(source: Column, nth: Column, text: Column) -> Column:
     return F.concat_ws(":", source, nth.cast("string"), F.left(F.sha2(text, 256), F.lit(16)))
 
 
-def index(sources: DataFrame, *, size: int = 512, overlap: int = 50, most: int | None = 200_000, only: tuple[str, ...] | None = None, external: bool = False) -> tuple[DataFrame, DataFrame]:
+def index(sources: DataFrame, *, size: int = 512, overlap: int = 50, most: int | None = None, only: tuple[str, ...] | None = None, external: bool = False) -> tuple[DataFrame, DataFrame]:
     """(chunks with id, text, source_id, url, chunk_index; a row of status for each source).
 
-    sources: source_id, url, kind, tier, library, body (null if it could not be fetched). Sources that another service
+    Whole texts, or their first `most` characters, if given. sources: source_id, url, kind, tier, library, body (null if it could not be fetched). Sources that another service
     serves are listed, not indexed, unless `external`; one that gives no chunk fails alone. Ids follow from the content, so writing them again is an upsert."""
     rows = sources if only is None else sources.where(F.col("source_id").isin(*only))
     served = F.col("library").isNotNull() & F.lit(not external)

@@ -125,36 +125,60 @@ def scan_mode(stage: str = "scan", *, off: bool = False, asked: str | None = Non
     return valid(((config or {}).get("scan") or {}).get("presidio_mode") or "off")
 
 
-def external_scan(rows: DataFrame, key: list[str], text: str = "text", *, binary: str = "gitleaks", longest: int = 500_000, seconds: int = 600) -> DataFrame:
+def external_scan(rows: DataFrame, key: list[str], text: str = "text", *, binary: str = "gitleaks", chunk: int = 200_000, overlap: int = 4_000, seconds: int = 600) -> DataFrame:
     """key columns and `external` (findings) by a secret scanner that is installed on the executors.
 
-    Each batch is written as one file, a line for each row (line breaks become spaces, long texts are cut), and the
-    report's line numbers name the rows. Without the program there are no findings; a failed run is one finding of kind scan_error."""
+    Each batch is written as one file. A text of any length gives a line for each `chunk` characters and the first `overlap`
+    of the next ones (line breaks become spaces), and a map from lines to rows and offsets tells what the report's line and
+    column numbers mean. A finding counts in the line in whose own part it starts, so none counts twice; one longer than
+    `overlap` may be cut. Without the program there are no findings; where a run fails every row of its batch says so
+    (kind scan_error)."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*key).schema) + f", external {safety.FINDINGS}"
 
-    def run(frames):
+    breaks = dict.fromkeys([*range(0x0A, 0x0E), *range(0x1C, 0x1F), 0x85, 0x2028, 0x2029], " ")
+
+    def lines_of(texts):
+        for row, t in enumerate(texts):
+            flat = (t or "").translate(breaks)
+            for at in range(0, max(1, len(flat)), chunk):
+                yield row, at, flat[at : at + chunk + overlap]
+
+    def report_of(folder, program, texts):
         import json
+        import subprocess
+
+        places = []
+        with open(f"{folder}/rows.txt", "w", encoding="utf-8") as f:
+            for row, at, line in lines_of(texts):
+                places.append((row, at))
+                f.write(line + "\n")
+        subprocess.run([program, "detect", "--no-git", "--source", f"{folder}/rows.txt", "--report-format", "json", "--report-path", f"{folder}/report.json", "--exit-code", "0"], capture_output=True, timeout=seconds, check=True)
+        with open(f"{folder}/report.json", encoding="utf-8") as f:
+            return places, json.load(f) or []
+
+    def run(frames):
         import shutil
         import subprocess
         import tempfile
 
-        found_at = shutil.which(binary)
+        program = shutil.which(binary)
         for frame in frames:
             out = [[] for _ in range(len(frame))]
-            if found_at and len(frame):
-                with tempfile.TemporaryDirectory() as folder:
-                    with open(f"{folder}/rows.txt", "w", encoding="utf-8") as f:
-                        f.writelines(" ".join((t or "")[:longest].splitlines()) + "\n" for t in frame[text])
-                    try:
-                        subprocess.run([found_at, "detect", "--no-git", "--source", f"{folder}/rows.txt", "--report-format", "json", "--report-path", f"{folder}/report.json", "--exit-code", "0"], capture_output=True, timeout=seconds, check=True)
-                        with open(f"{folder}/report.json", encoding="utf-8") as f:
-                            for hit in json.load(f) or []:
-                                at = int(hit.get("StartLine", 0)) - 1
-                                if 0 <= at < len(out):
-                                    match = str(hit.get("Match") or hit.get("Secret") or "")
-                                    out[at].append(("gitleaks", str(hit.get("RuleID") or "leak"), f"{hit.get('RuleID') or 'leak'}:{match}"[:80], None, None, match))
-                    except (subprocess.SubprocessError, OSError, ValueError):
-                        out[0].append(("gitleaks", "scan_error", "scan failed", None, None, None))
+            if program and len(frame):
+                try:
+                    with tempfile.TemporaryDirectory() as folder:
+                        places, hits = report_of(folder, program, frame[text])
+                    for hit in hits:
+                        line = int(hit.get("StartLine", 0)) - 1
+                        if 0 <= line < len(places):
+                            row, at = places[line]
+                            column = max(0, int(hit.get("StartColumn") or 1) - 1)
+                            if column < chunk:
+                                match, rule = str(hit.get("Match") or hit.get("Secret") or ""), str(hit.get("RuleID") or "leak")
+                                place = (at + column, at + column + len(match)) if hit.get("StartColumn") else (None, None)
+                                out[row].append(("gitleaks", rule, f"{rule}:{match}"[:80], *place, match))
+                except (subprocess.SubprocessError, OSError, ValueError):
+                    out = [[("gitleaks", "scan_error", "scan failed", None, None, None)] for _ in out]
             frame = frame[key].copy()
             names = ("source", "kind", "detail", "start", "end", "match")
             frame["external"] = [[dict(zip(names, x)) for x in own] for own in out]

@@ -88,14 +88,14 @@ def severity_split(spark, d):
 ADDED = f"""added AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN NULL ELSE line END AS line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM given))"""
 
 
-@register(f"""WITH {GIVEN}, x AS (SELECT doc_id, CASE WHEN doc_id % 16 = 15 THEN 'pass' || 'word: ' || upper(md5(CAST(doc_id AS VARCHAR))) END AS line FROM documents)
-SELECT doc_id, CASE WHEN doc_id % 2 = 1 AND line IS NOT NULL THEN 1 ELSE 0 END AS passwords, CASE WHEN doc_id % 2 = 1 AND line IS NOT NULL THEN upper(md5(CAST(doc_id AS VARCHAR))) END AS detail FROM x""")
+@register(f"""WITH {GIVEN}, l AS (SELECT doc_id, i, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM given) WHERE (doc_id + i) % 2 = 1),
+t AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS t FROM l WHERE NOT starts_with(line, '++') GROUP BY 1), m AS (SELECT doc_id, regexp_extract_all(t, '(?i)(?:password|passwd|pwd)[[:space:]]*[:=][[:space:]]*[''\"]?([^[:space:]''\"#]{{6,}})', 1) AS m FROM t)
+SELECT doc_id, coalesce(len(m), 0) AS passwords, left(m[1], 80) AS detail FROM documents LEFT JOIN m USING (doc_id)""")
 def diff_passwords(spark, d):
-    """a password counts where its line was added (odd documents), with its value only."""
-    sign = F.when(F.col("doc_id") % 2 == 1, "+").otherwise("-")
-    last = F.concat(sign, F.element_at(F.split("text", "\n"), -1))
-    found = F.filter(safety.scan_diff(last), lambda f: f.kind == "password_assignment")
-    return given(spark, d).select("doc_id", F.size(found).alias("passwords"), F.try_element_at(F.transform(found, lambda f: f.detail), F.lit(1)).alias("detail"))
+    """a password counts where its line was added (every second line), with its value only; whole texts."""
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(F.when((F.col("doc_id") + i) % 2 == 0, "+").otherwise("-"), x))
+    found = F.filter(safety.scan_diff(F.array_join(lines, "\n")), lambda f: f.kind == "password_assignment")
+    return safety.once(given(spark, d), "found", found).select("doc_id", F.size("found").alias("passwords"), F.try_element_at(F.transform("found", lambda f: f.detail), F.lit(1)).alias("detail"))
 
 
 @register(f"""WITH p AS (SELECT doc_id, regexp_extract_all(text, '{safety.EMAIL}') AS e, regexp_extract_all(text, '{safety.IPV4}') AS i FROM documents)

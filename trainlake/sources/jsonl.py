@@ -29,15 +29,19 @@ def not_blank(c: str = "value"):
     return F.btrim(F.col(c), F.lit(WHITE)) != ""
 
 
-def blob_lines(blobs: DataFrame, most: int = 50_000) -> DataFrame:
-    """source_path, line_no, value of the first lines of texts in a table (source_path, content)."""
+def blob_lines(blobs: DataFrame, most: int | None = None) -> DataFrame:
+    """source_path, line_no, value of the lines (of the first `most`, if given) of texts in a table (source_path, content)."""
     rows = blobs.select("source_path", F.posexplode(F.split("content", r"\r\n|\n|\r")).alias("line_no", "value"))
-    return rows.where(F.col("line_no") < most).withColumn("line_no", (F.col("line_no") + 1).cast("long"))
+    rows = rows if most is None else rows.where(F.col("line_no") < most)
+    return rows.withColumn("line_no", (F.col("line_no") + 1).cast("long"))
 
 
-def json_lines(spark: SparkSession, path: str | list[str] | DataFrame) -> DataFrame:
-    """source_path, line_no, v (VARIANT) of the lines that hold a JSON object; of files, or of texts in a table (source_path, content)."""
-    lines = blob_lines(path) if isinstance(path, DataFrame) else numbered_lines(spark, path)
+def json_lines(spark: SparkSession, path: str | list[str] | DataFrame, *, most: int | None = None) -> DataFrame:
+    """source_path, line_no, v (VARIANT) of the lines that hold a JSON object; of files, or of texts in a table
+    (source_path, content). `most` keeps the first lines of each file or text."""
+    lines = blob_lines(path, most) if isinstance(path, DataFrame) else numbered_lines(spark, path)
+    if most is not None and not isinstance(path, DataFrame):
+        lines = lines.where(F.col("line_no") <= most)
     rows = lines.where(not_blank()).select("source_path", "line_no", F.try_parse_json("value").alias("v"))
     return rows.where(is_dict(F.col("v")))
 

@@ -1,13 +1,15 @@
 """Readers of session logs: each yields turns (source, harness, session_id, source_path, line_no, role, text, extra).
 
 A reader is a pure column expression over lines, whole files or SQLite rows; nothing is inferred from the data. Unless
-said otherwise a turn needs a user or assistant role and a non-empty text of at most LONGEST characters.
+said otherwise a turn needs a user or assistant role and a non-empty text. Texts of any length are read; every reader takes
+`longest`: turns with more characters are then left out (by the readers that say so: cut).
 """
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,19 +20,32 @@ from ..functions.variant import row as V
 from .jsonl import json_files, json_lines, whole_files
 from .sqlite import read_sqlite
 
-LONGEST = 200_000
 SPEAKERS = ("user", "assistant")
 READERS: dict[str, Callable[..., DataFrame]] = {}
 
 
 def reader(name: str):
+    """Registers a reader under its source's name; one that does not cut long texts itself gets `longest` as a filter."""
     def put(f):
-        READERS[name] = f
-        return f
+        if "longest" in inspect.signature(f).parameters:
+            READERS[name] = f
+            return f
+
+        @wraps(f)
+        def read(*args, longest: int | None = None, **settings) -> DataFrame:
+            rows = f(*args, **settings)
+            return rows if longest is None else rows.where(F.length("text") <= longest)
+
+        READERS[name] = read
+        return read
 
     return put
 
 
+def clipped(text: Column, longest: int | None) -> Column:
+    return text if longest is None else F.left(text, F.lit(longest))
+
+
 def file_name() -> Column:
     return F.element_at(F.split("source_path", "/"), -1)
 
@@ -43,14 +58,13 @@ def folder() -> Column:
     return F.element_at(F.split("source_path", "/"), -2)
 
 
-def emit(rows: DataFrame, name: str, session: Column, role: Column, text: Column, *, line: Column | None = None, longest: int | None = LONGEST, roles: tuple[str, ...] = SPEAKERS, **extra: Column) -> DataFrame:
+def emit(rows: DataFrame, name: str, session: Column, role: Column, text: Column, *, line: Column | None = None, roles: tuple[str, ...] = SPEAKERS, **extra: Column) -> DataFrame:
     no_extra = F.expr("cast(map() as map<string,string>)")
     more = F.map_filter(F.create_map(*[x for k, c in extra.items() for x in (F.lit(k), c.cast("string"))]), lambda _, x: x.isNotNull()) if extra else no_extra
     number = line if line is not None else (F.col("line_no") if "line_no" in rows.columns else F.lit(None))
     path = F.col("source_path") if "source_path" in rows.columns else F.lit(None).cast("string")
     out = rows.select(F.lit(name).alias("source"), F.lit(name).alias("harness"), session.cast("string").alias("session_id"), path.alias("source_path"), number.cast("long").alias("line_no"), role.alias("role"), text.alias("text"), more.alias("extra"))
-    out = out.where(F.col("role").isin(*roles) & (F.col("text") != ""))
-    return out if longest is None else out.where(F.length("text") <= longest)
+    return out.where(F.col("role").isin(*roles) & (F.col("text") != ""))
 
 
 def each(rows: DataFrame, items: Column) -> DataFrame:
@@ -66,18 +80,18 @@ def generic_role(v: Column, human: tuple[str, ...] = (), model: tuple[str, ...]
 
 @reader("cursor")
 def cursor(spark: SparkSession, path: str, *, subagents: bool = False) -> DataFrame:
-    """Transcripts below agent-transcripts; no length limit."""
+    """Transcripts below agent-transcripts."""
     rows = json_lines(spark, path).where(F.col("source_path").contains("/agent-transcripts/"))
     if not subagents:
         rows = rows.where(~F.col("source_path").contains("/subagents/"))
     from_message = F.when(J.text_at(V(), "$.message").isNotNull(), J.spoken_content(V(), "$.message")).when(J.any_at(V(), "$.message.content").isNotNull(), J.spoken_content(V(), "$.message.content"))
     blocks = F.coalesce(J.list_at(V(), "$.message.content"), J.list_at(V(), "$.content"))
-    return emit(rows, "cursor", stem(), J.speaker(V()), F.coalesce(from_message, J.spoken_content(V(), "$.content")), longest=None, has_tool_use=J.has_tool(blocks))
+    return emit(rows, "cursor", stem(), J.speaker(V()), F.coalesce(from_message, J.spoken_content(V(), "$.content")), has_tool_use=J.has_tool(blocks))
 
 
 @reader("codex")
-def codex(spark: SparkSession, path: str, *, largest_mb: float | None = 200) -> DataFrame:
-    """R2: messages of rollout files up to a size; developer turns are kept here and dropped by the role map later."""
+def codex(spark: SparkSession, path: str, *, largest_mb: float | None = None) -> DataFrame:
+    """R2: messages of rollout files (up to a size, if one is given); developer turns are kept here and dropped by the role map later."""
     rows = json_lines(spark, path).where(file_name().startswith("rollout-"))
     if largest_mb and not isinstance(path, DataFrame):
         large = spark.read.format("binaryFile").load(path).where(F.col("length") > largest_mb * 1024 * 1024).select(F.col("path").alias("source_path"))
@@ -121,7 +135,7 @@ def opencode(spark: SparkSession, path: str | None = None, *, databases: list[st
         has_info = J.dict_at(V(), "$.info").isNotNull()
         role = F.when(has_info, J.text_at(V(), "$.info.role")).otherwise(J.text_at(V(), "$.role"))
         blocks = F.coalesce(J.list_at(V(), "$.parts"), F.when(has_info, J.list_at(V(), "$.info.parts")).otherwise(J.list_at(V(), "$.content")))
-        parts.append(emit(json_files(spark, path), "opencode", folder(), role, J.parts_text(V(), blocks), longest=None))
+        parts.append(emit(json_files(spark, path), "opencode", folder(), role, J.parts_text(V(), blocks)))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -226,7 +240,7 @@ def factory(spark: SparkSession, path: str) -> DataFrame:
     text = F.when(listed.isNotNull(), J.strip(F.array_join(F.transform(listed, J.any_string), "\n"))).otherwise(J.strip(J.first_of(J.scalar_at(V(), "$.content"), J.scalar_at(V(), "$.text"))))
     role = generic_role(V(), ("human", "Human"))
     many = J.any_at(V(), "$.messages").isNotNull()
-    return emit(rows.where(~many), "factory", stem(), role, text).unionByName(emit(each(rows.where(many), J.list_at(V(), "$.messages")), "factory", stem(), role, text, longest=None))
+    return emit(rows.where(~many), "factory", stem(), role, text).unionByName(emit(each(rows.where(many), J.list_at(V(), "$.messages")), "factory", stem(), role, text))
 
 
 @reader("openhands")
@@ -274,13 +288,13 @@ def kimi(spark: SparkSession, path: str) -> DataFrame:
 
 
 @reader("goose")
-def goose(spark: SparkSession, databases: list[str]) -> DataFrame:
-    """Stored messages; a JSON object counts as its text, and long texts are cut."""
+def goose(spark: SparkSession, databases: list[str], *, longest: int | None = None) -> DataFrame:
+    """Stored messages; a JSON object counts as its text. Texts are cut at `longest`, if given."""
     rows = read_sqlite(spark, databases, "SELECT session_id, role, content FROM messages ORDER BY timestamp", "session_id string, role string, content string", ("messages",))
     body = J.strip(F.col("content"))
     v = F.when(body.startswith("{"), F.try_parse_json(body))
     text = F.when(v.isNotNull(), J.first_of(J.scalar_at(v, "$.text"), J.scalar_at(v, "$.content"), F.to_json(v))).otherwise(body)
-    return emit(rows.drop("source_path"), "goose", F.col("session_id"), F.col("role"), F.left(text, F.lit(LONGEST)), longest=None)
+    return emit(rows.drop("source_path"), "goose", F.col("session_id"), F.col("role"), clipped(text, longest))
 
 
 @reader("kiro")
@@ -304,7 +318,7 @@ def kiro(spark: SparkSession, path: str | None = None, *, databases: list[str] =
         parts.append(emit(rows.drop("source_path"), "kiro", F.col("session_id"), F.col("role"), F.when(J.is_dict(v), text_of(v)).otherwise(body)))
         blobs = read_sqlite(spark, [db], "SELECT id, CAST(data AS TEXT), (SELECT count(*) FROM sqlite_master WHERE type = 'table' AND name = 'messages') FROM conversations", "id string, data string, other long", ("conversations",))
         rows = each(blobs.where("other = 0").select("id", F.try_parse_json("data").alias("v")), J.list_at(V(), "$.messages"))
-        parts.append(emit(rows, "kiro", F.col("id"), J.text_at(V(), "$.role"), text_of(V()), line=F.col("nth"), longest=None))
+        parts.append(emit(rows, "kiro", F.col("id"), J.text_at(V(), "$.role"), text_of(V()), line=F.col("nth")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -349,13 +363,14 @@ def watchfire(spark: SparkSession, path: str) -> DataFrame:
 
 
 @reader("crush")
-def crush(spark: SparkSession, databases: list[str]) -> DataFrame:
-    """Stored messages; the message id is the session."""
+def crush(spark: SparkSession, databases: list[str], *, longest: int | None = None) -> DataFrame:
+    """Stored messages; the message id is the session. Plain texts are cut at `longest`, if given, and longer joined ones left out."""
     rows = read_sqlite(spark, databases, "SELECT id, role, parts FROM messages", "id string, role string, parts string", ("messages",))
     v = F.try_parse_json("parts")
     part = lambda p: F.when(J.text_at(p, "$.type") == "text", F.coalesce(J.scalar_at(p, "$.data.text"), J.text_at(p, "$.data")))
-    text = F.when(v.isNull(), F.left(J.strip(F.col("parts")), F.lit(LONGEST))).when(J.list_at(v, "$").isNotNull(), J.joined(J.list_at(v, "$"), part)).otherwise(F.left(J.scalar_at(v, "$"), F.lit(LONGEST)))
-    return emit(rows, "crush", F.col("id"), F.col("role"), text, project=F.element_at(F.split("source_path", "/"), -3))
+    text = F.when(v.isNull(), clipped(J.strip(F.col("parts")), longest)).when(J.list_at(v, "$").isNotNull(), J.joined(J.list_at(v, "$"), part)).otherwise(clipped(J.scalar_at(v, "$"), longest))
+    out = emit(rows, "crush", F.col("id"), F.col("role"), text, project=F.element_at(F.split("source_path", "/"), -3))
+    return out if longest is None else out.where(F.length("text") <= longest)
 
 
 def _cached_role() -> Column:
@@ -364,16 +379,17 @@ def _cached_role() -> Column:
 
 def _cached_text() -> Column:
     own = F.coalesce(*[F.when(J.truthy(V(), p), J.any_at(V(), p)) for p in ("$.content", "$.text", "$.message")])
-    nested = F.left(J.first_of(J.scalar_at(own, "$.text"), J.scalar_at(own, "$.content")), F.lit(LONGEST))
+    nested = J.first_of(J.scalar_at(own, "$.text"), J.scalar_at(own, "$.content"))
     return F.when(J.is_dict(own), nested).otherwise(J.content_text(own, "$", J.text_or_content))
 
 
 @reader("mux")
-def mux(spark: SparkSession, path: str, *, usage: str | None = None) -> DataFrame:
-    """Transcript lines; where there are none, usage files as metadata rows of at most 50,000 characters."""
+def mux(spark: SparkSession, path: str, *, usage: str | None = None, longest: int | None = None) -> DataFrame:
+    """Transcript lines; where there are none, usage files as metadata rows, cut at `longest`, if given."""
     if usage is None:
-        return emit(json_lines(spark, path), "mux", stem(), _cached_role(), _cached_text())
-    text = F.left(F.to_json(V()), F.lit(50_000))
+        rows = emit(json_lines(spark, path), "mux", stem(), _cached_role(), _cached_text())
+        return rows if longest is None else rows.where(F.length("text") <= longest)
+    text = clipped(F.to_json(V()), longest)
     return emit(json_files(spark, usage), "mux", folder(), F.lit("metadata"), text, roles=("metadata",), note=F.lit("usage only"))
 
 
