@@ -121,9 +121,9 @@ def test_simhash_links(spark):
             a, b = sorted((find(i), find(j)))
             parent[b] = a
     want = {frozenset(int(v.view(np.int64)[i]) for i in range(len(v)) if find(i) == r) for r in {find(i) for i in range(len(v))}}
-    for limit in (4096, 10):
+    for limit, most in ((4096, 1 << 15), (10, 1 << 15), (10, 20), (2, 1)):
         got: dict = {}
-        for r in components(simhash.links(nodes, limit=limit)).collect():
+        for r in components(simhash.links(nodes, limit=limit, most=most)).collect():
             got.setdefault(r.component, set()).add(r.node)
         assert {frozenset(x) for x in got.values()} == {w for w in want if len(w) > 1}
 

@@ -28,8 +28,9 @@ from .common import ragged, slices, utf8
 from .fm_index import FMIndex
 from .pretokens import Hasher
 
-#: Bytes of test text that one block of phrases may hold; larger test sets are searched block by block.
-BLOCK_BYTES = 32 << 20
+#: Bytes of test text that one block of phrases may hold (some 350,000 windows, about 150 MB while they are numbered); larger
+#: test sets are searched block by block.
+BLOCK_BYTES = 2 << 20
 #: Bytes of documents that are indexed together.
 SHARD_BYTES = 4 << 20
 

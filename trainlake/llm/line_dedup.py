@@ -460,7 +460,9 @@ def apply(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **sett
     """The documents with repeated lines taken out of their text; all rows and columns stay."""
     gone = repeated(docs, text=text, doc_id=doc_id, **settings).groupBy("d", "t").agg(F.collect_set("pos").alias("gone_"))
     joined = docs.join(gone, docs[doc_id].eqNullSafe(gone.d) & (F.xxhash64(docs[text].cast("string")) == gone.t), "left")
-    parts = F.split(docs[text], "\n")
-    left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("gone_", i)), "\n")
+    # positions that stay by one hashed difference; the lines are split once, then picked by place
+    stay = F.array_except(F.sequence(F.lit(0), F.size(F.split(docs[text], "\n")) - 1), F.transform("gone_", lambda i: i.cast("int")))
+    both = F.struct(F.split(docs[text], "\n").alias("lines"), stay.alias("stay"))
+    left = F.element_at(F.transform(F.array(both), lambda b: F.array_join(F.transform(b["stay"], lambda i: F.get(b["lines"], i)), "\n")), 1)
     new = F.when(F.col("gone_").isNull() | docs[text].isNull(), docs[text]).otherwise(left)
     return joined.select(*[new.alias(c) if c == text else docs[c] for c in docs.columns])

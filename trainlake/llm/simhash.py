@@ -178,11 +178,38 @@ def _groups(nodes: DataFrame, masks: list[int], m: int, t: int, limit: int | Non
     return rows.mapInArrow(run, "u long, v long")
 
 
-def links(nodes: DataFrame, *, bits: int = 4, segments: int = 12, fine_segments: int = 8, limit: int = 4096) -> DataFrame:
-    """Links (u, v) between distinct fingerprints (column f, long) that connect all pairs within `bits`."""
+def balls(nodes: DataFrame, bits: int) -> DataFrame:
+    """Links (u, v) that connect all pairs within an even number of bits, whatever the size of a crowd.
+
+    Each fingerprint gives a row for every value within half the bits; two are within `bits` just if they share such a value,
+    so each value's fingerprints are linked to its smallest. The work grows with the fingerprints, not with their pairs."""
+    flips = np.array([sum(1 << x for x in c) for n in range(bits // 2 + 1) for c in combinations(range(BITS), n)], np.uint64)
+
+    def run(batches):
+        for rb in batches:
+            f = np.asarray(rb.column(0)).view(np.uint64)
+            for at in range(0, len(f), 64):
+                own = f[at : at + 64]
+                yield pa.RecordBatch.from_arrays([pa.array((own[:, None] ^ flips[None, :]).ravel().view(np.int64)), pa.array(np.repeat(own, len(flips)).view(np.int64))], ["key", "u"])
+
+    rows = nodes.select("f").mapInArrow(run, "key long, u long")
+    least = rows.groupBy("key").agg(F.min("u").alias("v"), F.max("u").alias("w")).where("v != w").select("key", "v")
+    return rows.join(least, "key").where("u != v").select("u", "v").distinct()
+
+
+def links(nodes: DataFrame, *, bits: int = 4, segments: int = 12, fine_segments: int = 8, limit: int = 4096, most: int = 1 << 15) -> DataFrame:
+    """Links (u, v) between distinct fingerprints (column f, long) that connect all pairs within `bits`.
+
+    Groups of more than `limit` are keyed again by finer tables, and crowds of more than `most` there by balls (for an even
+    number of bits; for an odd one they are compared in one task)."""
     found = cut(_groups(nodes, chain_tables(segments, bits), segments, bits, limit))
-    more = _groups(found.where("u = v").select(F.col("u").alias("f")).distinct(), block_tables(fine_segments, bits), segments, bits, None)
-    return found.where("u != v").unionByName(more)
+    crowd = found.where("u = v").select(F.col("u").alias("f")).distinct()
+    if bits % 2:
+        return found.where("u != v").unionByName(_groups(crowd, block_tables(fine_segments, bits), segments, bits, None))
+    more = cut(_groups(crowd, block_tables(fine_segments, bits), segments, bits, most))
+    every = found.unionByName(more).where("u != v")
+    dense = more.where("u = v").select(F.col("u").alias("f")).distinct()
+    return every if dense.isEmpty() else every.unionByName(balls(dense, bits))
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 4, bits: int = 4, limit: int = 4096) -> DataFrame:
