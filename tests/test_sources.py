@@ -74,7 +74,8 @@ def test_codex_claude_pi(spark, tmp_path):
     assert sessions.codex(spark, p, largest_mb=0.0001).count() == 0
     p = put(tmp_path / "proj" / "c.jsonl", [{"type": "user", "message": {"role": "user", "content": "q"}}, {"type": "assistant", "isSidechain": True, "message": {"content": "side"}}, {"type": "System", "message": {"role": "user", "content": "s"}}, {"type": "assistant", "message": {"content": [block("a"), block("b")]}}, {"type": "user", "message": "x" * 200_001}])
     rows = sessions.claude_code(spark, p)
-    assert said(rows) == [("c", "user", "q"), ("c", "assistant", "a\nb")] and rows.first().extra["project_hash"] == "proj"
+    assert said(rows) == [("c", "user", "q"), ("c", "assistant", "a\nb"), ("c", "user", "x" * 200_001)] and rows.first().extra["project_hash"] == "proj"
+    assert said(sessions.claude_code(spark, p, longest=200_000)) == [("c", "user", "q"), ("c", "assistant", "a\nb")]
     p = put(tmp_path / "t_9.jsonl", [{"type": "message", "message": {"role": "user", "content": "u"}}, {"type": "custom_message", "display": False, "content": "no"}, {"type": "custom_message", "content": [block("shown")]}, {"type": "label"}, {"type": "message", "message": {"role": "tool", "content": "t"}}])
     assert said(sessions.pi(spark, p)) == [("9", "user", "u"), ("9", "user", "shown")]
 
@@ -255,3 +256,13 @@ def test_shards(spark, tmp_path):
     assert parquet_rows(spark, str(tmp_path)).count() == 6
     assert datasets.load_shards(spark, "scale_swe", str(tmp_path), max_rows=2).select("session_id").distinct().orderBy("session_id").collect()[0][0] == "00"
     assert json_lines(spark, spark.createDataFrame([("p", '{"a":1}\r\n\n[2]\n{"a":3}')], "source_path string, content string")).select("line_no").collect()[1][0] == 4
+
+
+def test_no_limit_unless_asked_for(spark, tmp_path):
+    """Turns, texts and files of any length are read; limits hold where they are given."""
+    long = "y" * 300_000
+    p = put(tmp_path / "s" / "context.jsonl", [{"role": "user", "content": long}, {"role": "assistant", "content": "short"}])
+    assert [len(r.text) for r in sessions.kimi(spark, p).orderBy("line_no").collect()] == [300_000, 5]
+    assert [r.text for r in sessions.READERS["kimi"](spark, p, longest=1000).collect()] == ["short"]
+    many = spark.createDataFrame([("p", "\n".join('{"a": 1}' for _ in range(60_000)))], "source_path string, content string")
+    assert json_lines(spark, many).count() == 60_000 and json_lines(spark, many, most=50).count() == 50

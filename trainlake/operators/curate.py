@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import safety
 from ..functions.text import map_role, project, repo_of_path, style_tags, tone, truncate
 from ..functions.variant import strip
+from .numbering import numbered
 from .scan import clean_sessions, window_findings
 
 
@@ -48,6 +51,38 @@ def windows(rows: DataFrame, session: list[str], *, most: int | Column = 24, ove
     return kept.select(*session, F.size("w").alias("chunk_count"), F.posexplode("w").alias("chunk_index", "messages"))
 
 
+def with_session(rows: DataFrame, facts: DataFrame, session: list[str]) -> DataFrame:
+    """rows with the columns of a table that has a row a session."""
+    facts = facts.withColumnsRenamed({c: f"{c}__" for c in session})
+    return rows.join(facts, reduce(lambda x, c: x & F.col(c).eqNullSafe(F.col(f"{c}__")), session, F.lit(True))).drop(*[f"{c}__" for c in session])
+
+
+def within_session(rows: DataFrame, session: list[str], order: list[str], name: str, count: str) -> DataFrame:
+    """Each row's place in its session (from 0) and the session's rows, by ranges of all rows: no session is held or sorted by one task."""
+    placed = numbered(rows, *session, *order, name="at_")
+    span = placed.groupBy(*session).agg(F.min("at_").alias("start_"), F.count("*").alias(count))
+    return with_session(placed, span, session).withColumn(name, F.col("at_") - F.col("start_")).drop("at_", "start_")
+
+
+def windows_of_turns(turns: DataFrame, session: list[str], order: list[str], *, most: int | Column = 24, overlap: int | Column = 4, least: int | Column = 2, chars: int | Column = 200) -> DataFrame:
+    """C2, C3 and C7 from turns (role, text) in bounded memory, whatever a session's length: session, chunk_index, chunk_count, messages.
+
+    A turn's place in its session tells which windows it belongs to; a window's turns meet in one row, which holds `most`
+    at most. The result is that of windows() over sessions()."""
+    most, overlap, least, chars = (F.lit(x) if isinstance(x, int) else x for x in (most, overlap, least, chars))
+    rows = turns.select(*session, *order, "role", "text", most.alias("most_"), F.greatest(F.lit(1), most - F.greatest(F.lit(0), overlap)).alias("step_"), least.alias("least_"), chars.alias("chars_"))
+    rows = within_session(rows, session, [*order, "role", "text"], "i_", "n_")
+    i, n, size, step = (F.col(c) for c in ("i_", "n_", "most_", "step_"))
+    last = F.when(n <= size, F.lit(0)).otherwise(F.ceil((n - size) / step)).cast("long")
+    low, high = F.greatest(F.lit(0), F.floor((i - size) / step) + 1).cast("long"), F.least(last, F.floor(i / step)).cast("long")
+    own = rows.withColumn("w_", F.explode(F.when(low <= high, F.sequence(low, high))))
+    message = F.struct("i_", F.struct("role", F.col("text").alias("content")).alias("m"))
+    cut = own.groupBy(*session, "w_").agg(F.array_sort(F.collect_list(message)).alias("x"), F.first("least_").alias("least_"), F.first("chars_").alias("chars_"))
+    cut = cut.withColumn("messages", F.transform("x", lambda x: x["m"])).where(quality_ok(F.col("messages"), F.col("least_"), F.col("chars_")))
+    out = within_session(cut.select(*session, "w_", "messages"), session, ["w_"], "chunk_index", "chunk_count")
+    return out.select(*session, F.col("chunk_count").cast("int"), F.col("chunk_index").cast("int"), "messages")
+
+
 def tier(safe: Column, label: Column, exec_: Column, verify: Column, bootstrap: bool | Column = True) -> Column:
     """0 for unsafe, rejected or unaccepted; 1 where a run or a check passed (or, at the start, neither is known); else 2."""
     bad = ~F.coalesce(safe, F.lit(True)) | ~F.coalesce(F.nullif(label, F.lit("")), F.lit("accepted")).isin("accepted", "edited_heavily")
@@ -103,14 +138,13 @@ def curate(turns: DataFrame, *, failures: DataFrame | None = None, filter_secret
         rows = clean_sessions(rows, failures, SESSION)
     # a session's first row, in the order of the file, decides; a small row a session, found with partial aggregates
     first = rows.groupBy(*SESSION).agg(F.min_by(F.struct(*FIRST), F.struct(F.coalesce("_line_no", F.lit(0)))).alias("first"))
-    kept = dedup_turns(rows, SESSION, ["_line_no"]).join(first, SESSION)
+    kept = with_session(dedup_turns(rows, SESSION, ["_line_no"]), first, SESSION)
     public = is_public(F.col("first.source"), F.col("first.data_source"))
     limit = lambda name: thresholds(name, public, F.col("first.harness"), **settings)
     kept = filter_turns(kept, least=limit("min_message_chars"), cap=limit("max_chars_per_message"), skip=skip)
-    item = F.struct(F.coalesce("source_path", F.lit("")).alias("p"), F.coalesce("line_no", F.lit(0)).alias("l"), "_line_no", "role", "text")
-    built = kept.groupBy(*SESSION).agg(F.first("first").alias("first"), F.array_sort(F.collect_list(item)).alias("m"))
-    built = built.withColumn("messages", F.transform("m", lambda x: F.struct(x.role.alias("role"), x.text.alias("content")))).drop("m")
-    cut = windows(built, [*SESSION, "first"], most=limit("max_messages"), overlap=limit("overlap"), least=limit("min_messages"), chars=limit("min_total_chars"))
+    kept = kept.withColumns({"p_": F.coalesce("source_path", F.lit("")), "l_": F.coalesce("line_no", F.lit(0))})
+    cut = windows_of_turns(kept, SESSION, ["p_", "l_", "_line_no"], most=limit("max_messages"), overlap=limit("overlap"), least=limit("min_messages"), chars=limit("min_total_chars"))
+    cut = with_session(cut, first, SESSION)
     return finalize(cut, filter_secrets=filter_secrets, bootstrap=bootstrap, personal_data=personal_data, policy=policy, own_project=own_project)
 
 

@@ -26,19 +26,19 @@ def cut(rows: DataFrame) -> DataFrame:
 
 
 def counted(placed: DataFrame, name: str) -> DataFrame:
-    """placed (columns part_ and at_: partition, place in it from 0) with consecutive numbers in order of both.
+    """placed (columns number_part_ and number_at_: partition, place in it from 0) with consecutive numbers in order of both.
 
     placed must be materialised: a plan that is evaluated twice may deal its rows out in two ways."""
-    sizes = placed.groupBy("part_").agg(F.count("*").alias("n_"))  # a row for each partition
-    before = F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("part_", before.alias("before_"))
-    return placed.join(F.broadcast(starts), "part_").withColumn(name, F.col("before_") + F.col("at_")).drop("part_", "at_", "before_")
+    sizes = placed.groupBy("number_part_").agg(F.count("*").alias("n_"))  # a row for each partition
+    before = F.coalesce(F.sum("n_").over(Window.orderBy("number_part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("number_part_", before.alias("number_before_"))
+    return placed.join(F.broadcast(starts), "number_part_").withColumn(name, F.col("number_before_") + F.col("number_at_")).drop("number_part_", "number_at_", "number_before_")
 
 
 def placed(rows: DataFrame) -> DataFrame:
-    """rows with part_ and at_, written once."""
+    """rows with number_part_ and number_at_, written once."""
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return cut(rows.withColumns({"part_": F.spark_partition_id(), "at_": at}))
+    return cut(rows.withColumns({"number_part_": F.spark_partition_id(), "number_at_": at}))
 
 
 def in_given_order(rows: DataFrame, name: str) -> DataFrame:

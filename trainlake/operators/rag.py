@@ -75,49 +75,58 @@ def nearest(vectors: DataFrame, query: list[float], k: int, *, where: Column | N
     return rows.withColumn("distance", cosine_distance(F.col("embedding"), q)).orderBy(F.col("distance").asc_nulls_last(), "vec_id").limit(k)
 
 
-def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, *, block: int = 256) -> DataFrame:
-    """G4 for many queries (query_id, q): query_id, vec_id, distance, place of the k nearest vectors of each, exactly.
+def packed(rows: DataFrame, id: str, vector: str, name: str, size: int) -> DataFrame:
+    """Rows of up to `size` vectors each: their ids and their numbers, one after the other; null vectors are left out."""
+    import pyarrow as pa
+
+    def run(batches):
+        for rb in batches:
+            for at in range(0, rb.num_rows, size):
+                part = rb.slice(at, size)
+                col = part.column(1)
+                ids, flat = part.column(0).cast(pa.int64()), col.flatten().cast(pa.float64())
+                one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+                yield pa.RecordBatch.from_arrays([one(ids), one(flat)], [f"{name}_ids", f"{name}_flat"])
+
+    return rows.select(F.col(id).cast("long"), vector).where(F.col(vector).isNotNull()).mapInArrow(run, f"{name}_ids array<long>, {name}_flat array<double>")
+
+
+def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, *, block: int = 256, rows: int = 4096) -> DataFrame:
+    """G4 for many queries (query_id, q): query_id, vec_id, distance, place of the k nearest vectors of each, exactly; zero vectors last.
 
-    Queries go to the vectors in blocks of a fixed number, as one matrix a task; a task keeps k of each query, and those
-    of all tasks are ranked. So no pair of rows is shuffled and what is sent does not grow with the vectors."""
+    The stated queries meet all vectors in blocks: tasks pack `block` queries and `rows` vectors into one row each, pairs of
+    such rows are multiplied as matrices, and a task keeps k of each query before those of all tasks are ranked. Nothing
+    goes through the driver, and no pair of single rows is ever made."""
     import numpy as np
     import pyarrow as pa
+    from pyspark.sql import Window
+
+    names = ["query_id", "vec_id", "distance"]
 
-    rows = queries.select("query_id", "q").where("q is not null").orderBy("query_id").toArrow()  # the queries, a small share of the table
-    ids, parts = rows.column("query_id").to_pylist(), rows.column("q").to_pylist()
-    out = None
-    for at in range(0, len(ids), block):
-        names = ids[at : at + block]
-        matrix = np.array(parts[at : at + block], np.float64)
-        norm = np.sqrt((matrix**2).sum(1))
-
-        def near(batches, names=names, matrix=matrix, norm=norm):
-            best: list = [[] for _ in names]
-            for rb in batches:
-                vid = np.asarray(rb.column(0))
-                col = rb.column(1)
-                ok = np.flatnonzero(np.asarray(pa.compute.is_valid(col)))
-                if not len(ok):
+    def near(batches):
+        best: dict[int, list[tuple[float, int]]] = {}
+        for rb in batches:
+            for i in range(rb.num_rows):
+                vid, flat, qid, asked = (np.asarray(rb.column(c)[i].values) for c in range(4))
+                if not len(vid) or not len(qid):
                     continue
-                v = np.array(col.take(pa.array(ok)).flatten(), np.float64).reshape(len(ok), -1)
-                vid = vid[ok]
-                size = np.sqrt((v**2).sum(1))
+                v, q = flat.reshape(len(vid), -1), asked.reshape(len(qid), -1)
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    d = 1 - (matrix @ v.T) / (norm[:, None] * size[None, :])
-                d[~np.isfinite(d)] = np.inf  # a zero vector comes last
-                for i in range(len(names)):
-                    pick = np.flatnonzero(d[i] <= np.partition(d[i], min(k, len(vid)) - 1)[min(k, len(vid)) - 1])
-                    pairs = best[i] + list(zip(d[i][pick].tolist(), vid[pick].tolist()))
-                    best[i] = sorted(pairs)[:k]
-            flat = [(n, v, d) for n, own in zip(names, best) for d, v in own]
-            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in flat], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "distance"])
-
-        got = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(near, "query_id long, vec_id long, distance double")
-        out = got if out is None else out.unionByName(got)
-    if out is None:
-        return vectors.sparkSession.createDataFrame([], "query_id long, vec_id long, distance double, place int")
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-    ranked = out.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+                    d = 1 - (q @ v.T) / np.sqrt((q**2).sum(1))[:, None] / np.sqrt((v**2).sum(1))[None, :]
+                d[~np.isfinite(d)] = np.inf
+                for j, name in enumerate(qid.tolist()):
+                    pick = np.flatnonzero(d[j] <= np.partition(d[j], min(k, len(vid)) - 1)[min(k, len(vid)) - 1])
+                    best[name] = sorted(best.get(name, []) + list(zip(d[j][pick].tolist(), vid[pick].tolist())))[:k]
+                if len(best) > 64 * block:
+                    yield from out(best)
+                    best = {}
+        yield from out(best)
+
+    def out(best):
+        flat = [(n, v, d) for n, own in best.items() for d, v in own]
+        yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in flat], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], names)
+
+    pairs = packed(vectors, "vec_id", "embedding", "v", rows).crossJoin(packed(queries, "query_id", "q", "q", block))
+    found = pairs.mapInArrow(near, "query_id long, vec_id long, distance double")
+    ranked = found.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))).where(F.col("place") <= k)
     return ranked.withColumn("distance", F.when(F.col("distance") != float("inf"), F.col("distance")))

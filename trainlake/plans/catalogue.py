@@ -316,14 +316,13 @@ def vector_topk(spark, d):
     return rag.nearest_each(v, v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), 8).select("query_id", "vec_id", F.col("place").cast("long").alias("place"))
 
 
-@register("""WITH q AS (SELECT embedding AS q FROM embeddings ORDER BY vec_id LIMIT 1),
-x AS (SELECT vec_id, label, round(1 - list_dot_product(embedding::DOUBLE[], q::DOUBLE[]) / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) * list_dot_product(q::DOUBLE[], q::DOUBLE[])), 6) + 0.0 AS distance FROM embeddings, q WHERE label % 2 = 0)
-SELECT vec_id, label, abs(distance) AS distance FROM x ORDER BY distance, vec_id LIMIT 8""")
+@register(NEAR.replace("WHERE q.vec_id % 100 = 0", "WHERE q.vec_id % 100 = 0 AND v.label % 2 = 0") + " SELECT query_id, vec_id, label, abs(round(d, 6)) AS distance, place FROM r WHERE place <= 8")
 def vector_topk_filtered(spark, d):
-    """One query, with the filter before the ranking."""
+    """Of the vectors with an even label, those nearest to every hundredth one."""
     v = read(spark, d, "embeddings")
-    first = v.orderBy("vec_id").limit(1).collect()[0].embedding  # the query vector
-    return rag.nearest(v, first, 8, where=F.col("label") % 2 == 0).select("vec_id", "label", F.abs(F.round("distance", 6)).alias("distance"))
+    some = v.where("label % 2 = 0")
+    near = rag.nearest_each(some, v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), 8)
+    return near.join(some.select("vec_id", "label"), "vec_id").select("query_id", "vec_id", "label", F.abs(F.round("distance", 6)).alias("distance"), F.col("place").cast("long").alias("place"))
 
 
 @register("""WITH hits AS (SELECT page_id, CAST(page_id AS VARCHAR) AS key, md5(html) AS sha FROM pages), state AS (SELECT key, CASE WHEN page_id % 10 = 0 THEN 'old' ELSE sha END AS sha FROM hits WHERE page_id % 2 = 0)

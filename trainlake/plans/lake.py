@@ -332,3 +332,45 @@ def harvest_budget(spark, d):
     """V11."""
     e = read(spark, d, "events").select("event_id", (F.col("user_id") % 5).alias("query_id"), (F.col("user_id") % 5 * 10).alias("priority"), F.lit(1).alias("page"), F.col("event_id").alias("key"))
     return harvest.budgeted(e, each=30, most=100).select("event_id")
+
+
+@register("""WITH d AS (SELECT coalesce(lang, '') AS lang, least(length(text) // 4 + 1, 2048) AS n FROM documents)
+SELECT lang, count(*) AS rows, CAST(sum(n) AS BIGINT) AS tokens, true AS fits, true AS gapless, true AS tight FROM d GROUP BY 1""")
+def packed_bins(spark, d):
+    """Every row lies in one bin; bins hold what fits, without gaps, and no two of them could be one."""
+    from ..operators import mix
+
+    rows = read(spark, d, "documents").select("doc_id", "lang", (F.floor(F.length("text") / 4) + 1).alias("n"))
+    bins = mix.pack(rows, "doc_id", "n", "lang").groupBy("lang", "bin").agg(F.count("*").alias("c"), F.sum("used").alias("used"), F.max(F.col("offset") + F.col("used")).alias("end"))
+    two = F.array_min(F.slice(F.array_sort(F.collect_list("used")), 1, 1)) + F.coalesce(F.get(F.array_sort(F.collect_list("used")), F.lit(1)), F.lit(1 << 30))
+    out = bins.groupBy("lang").agg(F.sum("c").alias("rows"), F.sum("used").alias("tokens"), (F.max("end") <= 2048).alias("fits"), F.every(F.col("end") == F.col("used")).alias("gapless"), (two > 2048).alias("tight"))
+    return out
+
+
+@register("""WITH c AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
+h AS (SELECT conv_id, n, conv_id % 3 AS kind, count(*) FILTER (role IN ('user', 'assistant')) AS heads, count(*) FILTER (role IN ('user', 'assistant', 'tool', 'developer') AND trim(text) <> '') AS said, count(*) FILTER (role IN ('user', 'assistant', 'tool', 'developer') AND trim(text) <> '' AND i <= 40) AS early FROM c GROUP BY ALL)
+SELECT conv_id, CASE kind WHEN 0 THEN early >= CASE WHEN n < 2 THEN 1 ELSE 2 END WHEN 1 THEN said >= 2 ELSE heads >= 2 END AS chat FROM h""")
+def chat_sniff(spark, d):
+    """V5: the conversations as lines, as one object, and as a markdown history."""
+    m = read(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("m"))
+    lines = F.transform("m", lambda x: F.to_json(F.struct(x["role"].alias("role"), x["text"].alias("text"))))
+    whole = F.concat(F.lit('{"messages": ['), F.array_join(lines, ","), F.lit("]}"))
+    heads = F.array_join(F.transform("m", lambda x: F.concat(F.lit("#### "), x["role"], F.lit("\n> "), x["text"])), "\n")
+    kind = F.col("conv_id") % 3
+    blobs = m.select(F.col("conv_id").cast("string").alias("source_path"), F.when(kind == 0, "generic").when(kind == 1, "amp").otherwise("aider").alias("harness"), F.when(kind == 0, F.array_join(lines, "\n")).when(kind == 1, whole).otherwise(heads).alias("content"))
+    return harvest.sniff(blobs).select(F.col("source_path").cast("long").alias("conv_id"), "chat")
+
+
+@register("""WITH h AS (SELECT 'q' || (page_id % 7) AS q, (page_id % 7) // 2 AS priority, page_id // 40 + 1 AS page, CAST(page_id AS VARCHAR) AS key, page_id FROM pages),
+r AS (SELECT *, CASE WHEN page <= 2 THEN 0 ELSE 1 END AS turn FROM h WHERE q >= 'q4' AND page > 0 OR page > 2 OR page_id % 3 = 0),
+t AS (SELECT *, CASE WHEN q >= 'q4' THEN 1 ELSE turn END AS own FROM r),
+n AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY own, page, key) AS nth FROM t)
+SELECT q AS query_id, key FROM n WHERE nth <= 9 ORDER BY own, priority, q, nth LIMIT 47""")
+def harvest_resume(spark, d):
+    """What a run takes after an earlier one that was done with two pages of four queries and had some hits left."""
+    i = F.col("page_id")
+    hits = read(spark, d, "pages").select(F.concat(F.lit("q"), i % 7).alias("query_id"), F.floor(i % 7 / 2).cast("int").alias("priority"), (F.floor(i / 40) + 1).cast("int").alias("page"), i.cast("string").alias("key"), F.md5("html").alias("sha"), "page_id")
+    old = hits.where("query_id < 'q4'")
+    pending = old.where("page <= 2 and page_id % 3 = 0").drop("page_id")
+    progress = old.select("query_id").distinct().withColumn("page", F.lit(2))
+    return harvest.next_run(hits.drop("page_id"), pending, progress, each=9, most=47)[0].select("query_id", "key")

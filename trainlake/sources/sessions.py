@@ -161,20 +161,30 @@ def aider(spark: SparkSession, path: str, *, tools: bool = False) -> DataFrame:
 USER_SAYS, ASSISTANT_SAYS = ("task", "user_feedback", "user_feedback_diff"), ("text", "reasoning", "completion_result")
 
 
+def task_message(v: Column) -> Column:
+    """Role and text of a message of a task's API history."""
+    either = lambda b: F.when(J.text_at(b, "$.type") == "text", F.coalesce(J.scalar_at(b, "$.text"), F.lit(""))).otherwise(J.loose_text(b))
+    return F.struct(J.text_at(v, "$.role").alias("role"), J.content_text(v, "$.content", either).alias("text"))
+
+
+def task_event(v: Column) -> Column:
+    """Role and text of one of the editor's events that is not partial."""
+    role, kind, say = F.lower(J.text_at(v, "$.role")), F.lower(J.text_at(v, "$.type")), J.text_at(v, "$.say")
+    speaker = F.when(role.isin(*SPEAKERS), role).when(kind.isin(*SPEAKERS), kind).when((kind == "say") & say.isin(*USER_SAYS), "user")
+    speaker = speaker.when((kind == "say") & say.isin(*ASSISTANT_SAYS), "assistant").when((kind == "ask") & J.scalar_at(v, "$.ask").isNotNull(), "assistant")
+    listed = F.coalesce(J.list_at(v, "$.text"), F.when(F.coalesce(J.scalar_at(v, "$.text"), F.lit("")) == "", J.list_at(v, "$.content")))
+    body = F.when(listed.isNotNull(), F.array_join(F.transform(listed, J.any_string), "\n")).otherwise(J.first_of(J.scalar_at(v, "$.text"), J.scalar_at(v, "$.content")))
+    text = F.concat_ws("\n", F.nullif(J.strip(body), F.lit("")), F.nullif(J.strip(J.text_at(v, "$.reasoning")), F.lit("")))
+    return F.struct(F.when(~J.truthy(v, "$.partial"), speaker).alias("role"), J.strip(text).alias("text"))
+
+
 def _tasks(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Both files of a task: the API history, and the editor's events."""
     files = json_files(spark, path)
-    either = lambda b: F.when(J.text_at(b, "$.type") == "text", F.coalesce(J.scalar_at(b, "$.text"), F.lit(""))).otherwise(J.loose_text(b))
     session = F.when(F.col("source_path").contains("/.cline/data/"), F.concat(F.lit("cli-"), folder())).otherwise(folder())
-    api = each(files.where(file_name() == "api_conversation_history.json"), J.list_at(V(), "$"))
-    ui = each(files.where(file_name() == "ui_messages.json"), J.list_at(V(), "$")).where(~J.truthy(V(), "$.partial"))
-    role, kind, say = F.lower(J.text_at(V(), "$.role")), F.lower(J.text_at(V(), "$.type")), J.text_at(V(), "$.say")
-    speaker = F.when(role.isin(*SPEAKERS), role).when(kind.isin(*SPEAKERS), kind).when((kind == "say") & say.isin(*USER_SAYS), "user")
-    speaker = speaker.when((kind == "say") & say.isin(*ASSISTANT_SAYS), "assistant").when((kind == "ask") & J.scalar_at(V(), "$.ask").isNotNull(), "assistant")
-    listed = F.coalesce(J.list_at(V(), "$.text"), F.when(F.coalesce(J.scalar_at(V(), "$.text"), F.lit("")) == "", J.list_at(V(), "$.content")))
-    body = F.when(listed.isNotNull(), F.array_join(F.transform(listed, J.any_string), "\n")).otherwise(J.first_of(J.scalar_at(V(), "$.text"), J.scalar_at(V(), "$.content")))
-    text = F.concat_ws("\n", F.nullif(J.strip(body), F.lit("")), F.nullif(J.strip(J.text_at(V(), "$.reasoning")), F.lit("")))
-    return emit(api, name, session, J.text_at(V(), "$.role"), J.content_text(V(), "$.content", either)).unionByName(emit(ui, name, session, speaker, J.strip(text)))
+    parts = [("api_conversation_history.json", task_message), ("ui_messages.json", task_event)]
+    rows = [each(files.where(file_name() == file), J.list_at(V(), "$")).withColumn("said", of(V())) for file, of in parts]
+    return reduce(DataFrame.unionByName, [emit(x, name, session, F.col("said.role"), F.col("said.text")) for x in rows])
 
 
 @reader("cline")
