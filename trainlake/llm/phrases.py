@@ -29,6 +29,7 @@ from .common import CHUNK_BYTES, cut, ragged, slices, utf8
 # The contract's separators of pieces and of words.
 PIECE_ENDS, WORD_ENDS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 MOST_BITS = 28
+BATCH_ROWS = 1 << 14
 COUNTS = "lang string, phrase string, n long"
 #: Groups a language is ranked in, round by round; each keeps its first rows.
 ROUNDS = (4096, 64, 1)
@@ -204,15 +205,21 @@ def batch_words(batches, k: int, limit: int) -> Iterator[Words]:
             yield Words(data, offsets, langs, lang_of)
 
 
+def small(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in batches that keep the JVM's Arrow buffers small."""
+    for at in range(0, rows.num_rows, BATCH_ROWS):
+        yield rows.slice(at, BATCH_ROWS)
+
+
 def level_counts(texts: DataFrame, k: int, least: int, filters: list, *, limit: int = CHUNK_BYTES) -> DataFrame:
     """lang, phrase, n of all runs of k words that occur `least` times or more in a language; k = 1 also gives a row without a phrase for each language, with all its words."""
     def run(batches):
         for words in batch_words(batches, k, limit):
             if k > 1:
-                yield runs_of(words, k, [f.value for f in filters])
+                yield from small(runs_of(words, k, [f.value for f in filters]))
                 continue
             _, first = np.unique(words.symbol, return_index=True)
-            yield words.rows(first, 1, words.counts)
+            yield from small(words.rows(first, 1, words.counts))
             per = np.bincount(words.lang, words.counts, minlength=len(words.langs)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(words.langs, pa.string()), pa.nulls(len(per), pa.string()), pa.array(per)], ["lang", "phrase", "n"])
 
