@@ -99,10 +99,10 @@ def digest(ids, raw):
     return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(raw).hexdigest()
 
 
-@pytest.mark.parametrize(("block", "fold_limit"), [(1, 128), (1 << 20, 128), (1 << 20, 1)])
-def test_byte_bpe(spark, library, block, fold_limit):
+@pytest.mark.parametrize(("block", "fold_limit", "common"), [(1, 128, 4), (1 << 20, 128, 0), (1 << 20, 1, 1000)])
+def test_byte_bpe(spark, library, block, fold_limit, common):
     rows = [(i, t, "en") for i, t in enumerate(TEXTS)] + [(None, "null id", None), (3, "again", "de"), (3, "again", "de")]
-    got = byte_bpe.digests(table(spark, rows).repartition(2), PATH, block=block, fold_limit=fold_limit).collect()
+    got = byte_bpe.digests(table(spark, rows).repartition(2), PATH, block=block, fold_limit=fold_limit, common=common).collect()
     want = [(i, *digest(library.encode_ordinary(t or ""), (t or "").encode())) for i, t, _ in rows]
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 

@@ -1,14 +1,16 @@
 """Operator 12: byte-level BPE encoding and decoding by folds of Spark's higher-order functions.
 
-Tasks split texts into blocks; a block's row holds its distinct pre-tokens and, for each document, the numbers of its own.
-Spark's functions then fold the merges over each distinct word once: a word is its bytes (one character a byte), its state
-the places where tokens begin, and each step removes the place inside the leftmost pair of lowest rank. Ranks come from a
-constant map of the vocabulary, dealt into buckets because Spark looks a map up from front to back. A word that is a token
-is that token. The documents' ids are put together inside the block's row; decoding joins the ids' byte pieces.
-No shuffle; a block has `block` bytes of text and one document at least.
-
-Words of more than `fold_limit` bytes would make the fold (quadratic in a word's length) too slow; they are merged by a
-heap in the task that reads them, with the same result.
+Tasks split texts into blocks; a block's row holds the bytes of its distinct pre-tokens and, for each document, the numbers
+of its own. Spark's functions then fold the merges over each distinct word once: the state is an array of token ids, at
+first one a byte, and each step joins the leftmost pair of lowest rank. Ranks come from a constant map of pairs, dealt into
+buckets because Spark looks a map up from front to back. The documents' ids are put together inside the block's row;
+decoding joins the ids' byte pieces. A block has `block` bytes of text and one document at least.
+
+A word that is a token is that token, without a fold (as the library does it). Most other words come again in every block, so
+the `common` most frequent ones of the corpus are counted and folded first, once each, and their ids sent to all tasks
+(about 30 bytes a word); this only saves folds, any word that is not among them is folded in its block. Words of more than `fold_limit` bytes would
+make the fold (quadratic in a word's length) too slow; they are merged by a heap in the task that reads them, with the same
+result.
 
 Defined results: a null or empty text has no tokens, digests are then those of the empty string; nothing in a text is
 special; repeated rows give equal results; an empty table gives no rows; columns other than the text and `keep` are not
@@ -18,25 +20,30 @@ read, whatever their names. A long text is one document of its block: memory gro
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import code_points, constant, slices, utf8
+from .common import code_points, constant, cut, slices, utf8
 from .pretokens import starts
+from .resampling import kth
 
-BUCKETS = 1 << 16
-BLOCK_BYTES = 12 << 20
-NONE = (1 << 31) - 1
+BUCKETS = 1 << 17
+BLOCK_BYTES = 32 << 20
+COMMON = 1 << 20
 PLACES = 1 << 20
+#: Ids are below this, so two make one number.
+IDS = 1 << 17
 
 
+@functools.cache
 def ranks_of(path: str) -> dict[bytes, int]:
     """The rank file: a line for each token, its bytes in base64 and its rank."""
     with open(path, "rb") as f:
@@ -49,56 +56,42 @@ def bind(value: Column, f) -> Column:
 
 
 def vocabulary(path: str) -> Column:
-    """The ranks as one constant of a plan: buckets of maps from a token's bytes (a character each) to its rank, and the bytes by rank."""
+    """The ranks as one constant of a plan: the id of each byte, the rank of each pair of ids that makes a token (in buckets, by
+    the pair's number as text), and the bytes of each id."""
     ranks = ranks_of(path)
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    pieces = [""] * (max(ranks.values(), default=-1) + 1)
+    pieces = [""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
-        key = token.decode("latin-1")
-        buckets[zlib.crc32(key.encode()) % BUCKETS][key] = rank
         pieces[rank] = base64.b64encode(token).decode()
-    return constant({"buckets": buckets, "pieces": pieces}, "struct<buckets:array<map<string,int>>,pieces:array<binary>>")
-
-
-def rank(known: Column, token: Column) -> Column:
-    """The rank of a token given by its bytes (a character each), or null."""
-    bucket = F.element_at(known["buckets"], (F.crc32(token.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("int"))
-    return F.try_element_at(bucket, token)
-
-
-def fold(known: Column, word: Column) -> Column:
-    """Ids of a word, given by its bytes (a character each)."""
-    size = F.length(word)
+        for i in range(1, len(token)):
+            left, right = ranks.get(token[:i]), ranks.get(token[i:])
+            if left is not None and right is not None:
+                pair = left * IDS + right
+                buckets[pair % BUCKETS][str(pair)] = rank
+    return constant({"first": [ranks[bytes([i])] for i in range(256)], "pairs": buckets, "pieces": pieces}, "struct<first:array<bigint>,pairs:array<map<string,bigint>>,pieces:array<binary>>")
 
-    def part(at: Column, i: Column, width: int) -> Column:
-        begin = F.get(at, i)
-        return F.substring(word, begin + 1, F.get(at, i + width) - begin)
 
+def fold(first: Column, pairs: Column, word: Column) -> Column:
+    """Ids of a word, given by its bytes."""
     def step(state: Column, _: Column) -> Column:
-        at = state["at"]
+        ids = state["ids"]
+        number = F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), lambda a, b: a * IDS + b)  # null at the end
         # a pair's rank and place in one number: the least one is the leftmost pair of lowest rank
-        pairs = F.transform(F.sequence(F.lit(1), F.size(at) - 2), lambda i: bind(part(at, i - 1, 2), lambda t: F.coalesce(rank(known, t), F.lit(NONE)).cast("long") * PLACES + i))
+        ranked = F.transform(number, lambda n, i: F.element_at(F.get(pairs, n % BUCKETS), n.cast("string")) * PLACES + i)
 
         def merge(low: Column) -> Column:
-            cut = F.filter(at, lambda _, i: i != low % PLACES)
-            return F.when(low >= NONE * PLACES, F.struct(at.alias("at"), F.lit(True).alias("done"))).otherwise(F.struct(cut.alias("at"), F.lit(False).alias("done")))
+            joined = F.transform(F.filter(ids, lambda _, i: i != low % PLACES + 1), lambda x, i: F.when(i == low % PLACES, F.shiftright(low, 20)).otherwise(x))
+            return F.when(low.isNull(), F.struct(ids.alias("ids"), F.lit(True).alias("done"))).otherwise(F.struct(joined.alias("ids"), F.lit(False).alias("done")))
 
-        return F.when(state["done"] | (F.size(at) < 3), state).otherwise(bind(F.array_min(pairs), merge))
+        return F.when(state["done"], state).otherwise(bind(F.array_min(ranked), merge))
 
-    first = F.struct(F.sequence(F.lit(0), size).alias("at"), F.lit(False).alias("done"))
-    places = F.aggregate(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), first, step, lambda s: s["at"])
-    folded = bind(places, lambda at: F.transform(F.sequence(F.lit(0), F.size(at) - 2), lambda i: bind(part(at, i, 1), lambda t: rank(known, t))))
-    return bind(rank(known, word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
+    begin = F.struct(F.transform(word, lambda b: F.get(first, b)).alias("ids"), F.lit(False).alias("done"))
+    return F.aggregate(word, begin, step, lambda s: s["ids"])
 
 
 def decode(known: Column, ids: Column) -> Column:
     """The bytes that ids stand for."""
-    return F.array_join(F.transform(ids, lambda i: F.element_at(known["pieces"], i + 1).cast("string")), "").cast("binary")
-
-
-def letters(word: Column) -> Column:
-    """A text's UTF-8 bytes, a character each."""
-    return F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+    return F.array_join(F.transform(ids, lambda i: F.get(known["pieces"], i).cast("string")), "").cast("binary")
 
 
 def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -128,6 +121,15 @@ def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Known:
+    """Words whose ids are known: the tokens, and words that were folded before."""
+
+    def __init__(self, path: str, words: pa.Array, ids: pa.Array):
+        ranks = ranks_of(path)
+        self.words = pa.concat_arrays([pa.array(list(ranks), pa.binary()), words.cast(pa.binary())])
+        self.ids = pa.concat_arrays([pa.array([[r] for r in ranks.values()], pa.list_(pa.int64())), ids.cast(pa.list_(pa.int64()))])
+
+
 class Block:
     """Distinct words of a run of documents, and each document's words by their numbers."""
 
@@ -152,26 +154,71 @@ class Block:
             col.append(rb.column(i))
         self.bytes += len(data)
 
-    def row(self, limit: int, path: str, kinds: list[pa.DataType]) -> pa.RecordBatch:
-        words = list(self.number)
-        long = [i for i, w in enumerate(words) if len(w) * 4 > limit and len(w.encode()) > limit]
-        ranks = ranks_of(path) if long else {}
-        given: list[list[int] | None] = [None] * len(words)
-        for i in long:
-            given[i], words[i] = heap_merge(words[i].encode(), ranks), ""
+    def words(self) -> pa.Array:
+        return pa.array(self.number, pa.string()).cast(pa.binary())
+
+    def row(self, limit: int, path: str, kinds: list[pa.DataType], known: Known) -> pa.RecordBatch:
+        words, names, ids = self.words(), known.words, known.ids
+        long = [w for w in words.filter(pc.greater(pc.binary_length(words), limit)).to_pylist() if w not in ranks_of(path)]
+        if long:
+            names = pa.concat_arrays([names, pa.array(long, pa.binary())])
+            ids = pa.concat_arrays([ids, pa.array([heap_merge(w, ranks_of(path)) for w in long], pa.list_(pa.int64()))])
+        given = ids.take(pc.index_in(words, value_set=names))
+        _, ends, data = pc.if_else(given.is_valid(), pa.scalar(b"", pa.binary()), words).buffers()
+        ends = np.frombuffer(ends, np.int32)[: len(words) + 1]
+        distinct = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(data or b"", np.uint8)[: ends[-1]].astype(np.int16)))
         sizes = np.concatenate(self.sizes)
         numbers = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(np.concatenate(self.of).astype(np.int32)))
         kept = [pa.concat_arrays(c).cast(k) for c, k in zip(self.kept, kinds)]
         docs = pa.StructArray.from_arrays([*kept, numbers], [*[f"k{i}" for i in range(len(kept))], "words"])
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-        return pa.RecordBatch.from_arrays([one(pa.array(words, pa.string())), one(pa.array(given, pa.list_(pa.int32()))), one(docs)], ["distinct", "given", "docs"])
+        return pa.RecordBatch.from_arrays([one(distinct), one(given), one(docs)], ["distinct", "given", "docs"])
+
+
+def counted_words(docs: DataFrame, path: str, text: str, block: int, limit: int) -> DataFrame:
+    """word, n of all pre-tokens that are no tokens, have at most `limit` bytes and occur more than once; counted in blocks before the shuffle."""
+    def rows(now: Block) -> Iterator[pa.RecordBatch]:
+        words, n = now.words(), np.bincount(np.concatenate(now.of), minlength=len(now.number))
+        tokens = pa.array(list(ranks_of(path)), pa.binary())
+        keep = pc.and_(pc.less_equal(pc.binary_length(words), limit), pc.invert(pc.is_in(words, value_set=tokens)))
+        out = pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(n.astype(np.int64))], ["word", "n"]).filter(keep)
+        for at in range(0, out.num_rows, 1 << 14):
+            yield out.slice(at, 1 << 14)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        now = Block(0)
+        for rb in slices(batches, "t"):
+            now.add(rb, 0)
+            if now.bytes >= block:
+                yield from rows(now)
+                now = Block(0)
+        if now.sizes:
+            yield from rows(now)
+
+    return docs.select(docs[text].cast("string").alias("t")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+
+
+def common_words(docs: DataFrame, path: str, text: str, common: int, block: int, limit: int) -> tuple[pa.Array, pa.Array]:
+    """(words, ids) of fewer than `common` words: those that occur more often than the word at that place."""
+    counts = cut(counted_words(docs, path, text, block, limit).select("word", (-F.col("n")).alias("down")))
+    if counts.count() > common:
+        counts = counts.where(F.col("down") < F.lit(kth(counts, ["down"], common)[0]))
+    # as bytes, in rows of many words, so that the vocabulary is looked up once a row
+    grouped = counts.groupBy(F.pmod(F.xxhash64("word"), F.lit(256))).agg(F.collect_list("word").alias("words"))
+    code = F.transform("words", lambda w: F.transform(F.split(F.regexp_replace(F.hex(F.encode(w, "UTF-8")), "(..)", "$1 "), " "), lambda h: F.conv(h, 16, 10).cast("int")))
+    folded = bind(vocabulary(path), lambda known: bind(known["first"], lambda first: bind(known["pairs"], lambda pairs: F.transform(code, lambda w: fold(first, pairs, F.filter(w, lambda b: b.isNotNull()))))))
+    got = grouped.select("words", folded.alias("ids")).toArrow().combine_chunks()
+    flat = lambda c: pc.list_flatten(got.column(c)).combine_chunks() if got.num_rows else pa.array([], got.schema.field(c).type.value_type)
+    return flat("words"), flat("ids")
 
 
-def blocks(docs: DataFrame, path: str, keep: tuple[str, ...], text: str, block: int, fold_limit: int) -> DataFrame:
-    """A row for each block of documents: distinct (words), given (ids of long ones, else null), docs (kept columns and the words' numbers)."""
+def blocks(docs: DataFrame, path: str, keep: tuple[str, ...], text: str, block: int, fold_limit: int, common: int = 0) -> DataFrame:
+    """A row for each block of documents: distinct (bytes of words), given (ids of words that are known or long, else null), docs (kept columns and the words' numbers)."""
     inner = docs.select(*[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], docs[text].cast("string").alias("t"))
     own = T.StructType([*inner.schema.fields[:-1], T.StructField("words", T.ArrayType(T.IntegerType()))])
-    schema = T.StructType([T.StructField("distinct", T.ArrayType(T.StringType())), T.StructField("given", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("docs", T.ArrayType(own))])
+    schema = T.StructType([T.StructField("distinct", T.ArrayType(T.ArrayType(T.ShortType()))), T.StructField("given", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("docs", T.ArrayType(own))])
+    words, ids = common_words(docs, path, text, common, block, fold_limit) if common else (pa.array([], pa.binary()), pa.array([], pa.list_(pa.int64())))
+    sent = docs.sparkSession.sparkContext.broadcast(Known(path, words, ids))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         now, kinds = Block(len(keep)), None
@@ -179,17 +226,17 @@ def blocks(docs: DataFrame, path: str, keep: tuple[str, ...], text: str, block:
             kinds = kinds or [c.type for c in rb.columns[:-1]]
             now.add(rb, len(keep))
             if now.bytes >= block:
-                yield now.row(fold_limit, path, kinds)
+                yield now.row(fold_limit, path, kinds, sent.value)
                 now = Block(len(keep))
         if now.sizes:
-            yield now.row(fold_limit, path, kinds)
+            yield now.row(fold_limit, path, kinds, sent.value)
 
     return inner.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, path: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), block: int = BLOCK_BYTES, fold_limit: int = 128, then=None) -> DataFrame:
-    """The keep columns and ids (array<int>) of every row, or what `then` (of the vocabulary and the ids) makes of them by name, so that wide id arrays need not leave the block."""
-    rows = blocks(docs, path, keep, text, block, fold_limit)
+def encode(docs: DataFrame, path: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), block: int = BLOCK_BYTES, fold_limit: int = 128, common: int = COMMON, then=None) -> DataFrame:
+    """The keep columns and ids (array<bigint>) of every row, or what `then` (of the vocabulary and the ids) makes of them by name, so that wide id arrays need not leave the block."""
+    rows = blocks(docs, path, keep, text, block, fold_limit, common)
     results = then or (lambda _, ids: {"ids": ids})
 
     def of_block(known: Column, ids: Column) -> Column:
@@ -201,7 +248,7 @@ def encode(docs: DataFrame, path: str, *, text: str = "text", keep: tuple[str, .
         return F.transform("docs", of)
 
     def whole(known: Column) -> Column:
-        folded = F.zip_with("distinct", "given", lambda w, g: F.when(g.isNotNull(), g).otherwise(bind(letters(w), lambda x: fold(known, x))))
+        folded = bind(known["first"], lambda first: bind(known["pairs"], lambda pairs: F.zip_with("distinct", "given", lambda w, g: F.when(g.isNotNull(), g).otherwise(fold(first, pairs, w)))))
         return bind(folded, lambda ids: of_block(known, ids))
 
     out = rows.select(F.explode(bind(vocabulary(path), whole)).alias("d"))
@@ -209,7 +256,7 @@ def encode(docs: DataFrame, path: str, *, text: str = "text", keep: tuple[str, .
     return out.select(*[F.col(f"d.k{i}").alias(c) for i, c in enumerate(keep)], *[F.col(f"d.{n}") for n in names])
 
 
-def digests(docs: DataFrame, path: str, *, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK_BYTES, fold_limit: int = 128) -> DataFrame:
+def digests(docs: DataFrame, path: str, *, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK_BYTES, fold_limit: int = 128, common: int = COMMON) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids, joined by spaces), decoded_sha256 (of the decoded bytes)."""
     def then(known: Column, ids: Column) -> dict[str, Column]:
         return {
@@ -218,4 +265,4 @@ def digests(docs: DataFrame, path: str, *, text: str = "text", doc_id: str = "do
             "decoded_sha256": F.sha2(decode(known, ids), 256),
         }
 
-    return encode(docs, path, text=text, keep=(doc_id,), block=block, fold_limit=fold_limit, then=then)
+    return encode(docs, path, text=text, keep=(doc_id,), block=block, fold_limit=fold_limit, common=common, then=then)
