@@ -10,12 +10,14 @@ from ..functions import variant as J
 from ..operators import control, curate, mix, rag, scan
 from ..sources import datasets
 from ..streaming import harvest
-from .catalogue import CURATED, GIVEN, HITS, MIX, TURNS, WS, _block_warn, curated, given, mix_manifest, rated, read, register
+from .catalogue import ADDRESS, BEGINNINGS, CURATED, GIVEN, HITS, MAIL, MIX, SHAPES, TURNS, WS, _block_warn, curated, given, mix_manifest, rated, read, register
 
 
 def raw_turns(spark, d):
-    """The conversations as raw turns of two files and four sources, public every third."""
+    """The conversations as raw turns of two files and four sources, public every third; the second turn of every fifth holds what may be a secret."""
     c = read(spark, d, "conversations")
+    begin = F.element_at(F.array(*map(F.lit, BEGINNINGS)), (F.col("conv_id") % len(BEGINNINGS) + 1).cast("int"))
+    c = c.withColumn("text", F.when((F.col("conv_id") % 5 == 0) & (F.col("turn") == 2), F.concat("text", F.lit(" "), begin, F.upper(F.md5(F.col("conv_id").cast("string"))))).otherwise(F.col("text")))
     public = F.col("conv_id") % 3 == 0
     harness = F.when(public, F.concat(F.lit("public_ds"), F.col("conv_id") % 4)).when(F.col("conv_id") % 3 == 1, "cursor").otherwise("codex")
     return c.select(
@@ -25,22 +27,23 @@ def raw_turns(spark, d):
 
 
 SMALL = {"general": {**curate.DEFAULTS, "max_messages": 4, "overlap": 1}, "personal": {"min_messages": 3, "min_message_chars": 8, "min_total_chars": 100}, "by_harness": {"codex": {"min_message_chars": 30, "max_messages": 5}}}
-CURATE = f"""WITH t AS (SELECT conv_id, turn, lower(role) AS role, trim(text, {WS}) AS text, conv_id % 3 AS kind FROM conversations),
+BLOCKING = " OR ".join(f"regexp_matches(body, '{p}')" for k, p in SHAPES if k != "generic_api_key")
+CURATE = f"""WITH t AS (SELECT conv_id, turn, lower(role) AS role, trim(CASE WHEN conv_id % 5 = 0 AND turn = 2 THEN text || ' ' || {BEGINNINGS}[conv_id % {len(BEGINNINGS)} + 1] || upper(md5(CAST(conv_id AS VARCHAR))) ELSE text END, {WS}) AS text, conv_id % 3 AS kind FROM conversations),
 f AS (SELECT * FROM t WHERE role IN ('user', 'assistant') AND length(text) >= CASE kind WHEN 0 THEN 40 WHEN 1 THEN 8 ELSE 30 END),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i, count(*) OVER (PARTITION BY conv_id) AS n, CASE kind WHEN 2 THEN 5 ELSE 4 END AS most FROM f),
 s AS (SELECT DISTINCT conv_id, n, most, unnest(CASE WHEN n <= most THEN [0] ELSE range(0, CAST(ceil((n - most) / (most - 1.0)) AS BIGINT) * (most - 1) + 1, most - 1) END) AS start FROM o),
-w AS (SELECT s.conv_id, o.kind, s.start, count(*) AS messages, sum(length(o.text)) AS chars, bool_or(role = 'user') AND bool_or(role = 'assistant') AS pair FROM s JOIN o ON o.conv_id = s.conv_id AND o.i >= s.start AND o.i < s.start + s.most GROUP BY 1, 2, 3),
+w AS (SELECT s.conv_id, o.kind, s.start, count(*) AS messages, sum(length(o.text)) AS chars, string_agg(o.text, chr(10) || chr(10) ORDER BY o.i) AS body, bool_or(role = 'user') AND bool_or(role = 'assistant') AS pair FROM s JOIN o ON o.conv_id = s.conv_id AND o.i >= s.start AND o.i < s.start + s.most GROUP BY 1, 2, 3),
 k AS (SELECT * FROM w WHERE messages >= CASE kind WHEN 0 THEN 2 ELSE 3 END AND chars >= CASE kind WHEN 0 THEN 200 ELSE 100 END AND pair),
-run AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY start) - 1 AS chunk_index, count(*) OVER (PARTITION BY conv_id) AS chunk_count, messages, CASE WHEN kind = 0 THEN 'public' END AS data_source, CASE WHEN kind = 0 THEN 'ds' || (conv_id % 4) END AS public_dataset, 1 AS train_tier FROM k)"""
+run AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY start) - 1 AS chunk_index, count(*) OVER (PARTITION BY conv_id) AS chunk_count, messages, CASE WHEN kind = 0 THEN 'public' END AS data_source, CASE WHEN kind = 0 THEN 'ds' || (conv_id % 4) END AS public_dataset, CASE WHEN {BLOCKING} THEN 0 ELSE 1 END AS train_tier FROM k)"""
 
 
 def _run(spark, d):
-    return curate.curate(raw_turns(spark, d), settings=SMALL, filter_secrets=False)
+    return curate.curate(raw_turns(spark, d), settings=SMALL)
 
 
 @register(CURATE + " SELECT CAST(conv_id AS VARCHAR) AS session_id, CAST(chunk_index AS INTEGER) AS chunk_index, CAST(chunk_count AS INTEGER) AS chunk_count, messages, data_source, public_dataset, train_tier FROM run")
 def curate_run(spark, d):
-    """C1 to C11."""
+    """C1 to C11, with the safety part of C10."""
     return _run(spark, d).select("meta.session_id", "meta.chunk_index", "meta.chunk_count", F.size("messages").cast("long").alias("messages"), "meta.data_source", "meta.public_dataset", "meta.train_tier")
 
 
@@ -49,7 +52,7 @@ def curate_tiers(spark, d):
     return curate.tier_counts(_run(spark, d))
 
 
-@register(CURATE + " SELECT CASE conv_id % 3 WHEN 1 THEN 'cursor' ELSE 'codex' END AS harness, count(*) AS rows FROM run WHERE data_source IS NULL GROUP BY 1")
+@register(CURATE + " SELECT CASE conv_id % 3 WHEN 1 THEN 'cursor' ELSE 'codex' END AS harness, count(*) AS rows FROM run WHERE data_source IS NULL AND train_tier >= 1 GROUP BY 1")
 def personal_export(spark, d):
     """C14."""
     return curate.personal_export(_run(spark, d))[1]
@@ -98,7 +101,7 @@ def diff_passwords(spark, d):
     return safety.once(given(spark, d), "found", found).select("doc_id", F.size("found").alias("passwords"), F.try_element_at(F.transform("found", lambda f: f.detail), F.lit(1)).alias("detail"))
 
 
-@register(f"""WITH p AS (SELECT doc_id, regexp_extract_all(text, '{safety.EMAIL}') AS e, regexp_extract_all(text, '{safety.IPV4}') AS i FROM documents)
+@register(f"""WITH p AS (SELECT doc_id, regexp_extract_all(text, '{MAIL}') AS e, regexp_extract_all(text, '{ADDRESS}') AS i FROM documents)
 SELECT kind, count(*) AS n, max(severity) AS severity FROM (SELECT 'EMAIL_ADDRESS' AS kind, 'block' AS severity, unnest(e) FROM p UNION ALL SELECT 'IP_ADDRESS', 'warn', unnest(i) FROM p) GROUP BY 1""")
 def personal_kinds(spark, d):
     """F5, F6, F9."""
