@@ -2,7 +2,7 @@
 
 Tasks split texts into blocks; a block's row holds the bytes of its distinct pre-tokens and, for each document, the numbers
 of its own. Spark's functions then fold the merges over each distinct word once: the state is an array of token ids, at
-first one a byte, and each step joins the leftmost pair of lowest rank. Ranks come from a constant map of pairs, dealt into
+first one a byte, and each step joins the leftmost pair of lowest rank. Ranks come from a literal map of pairs, dealt into
 buckets because Spark looks a map up from front to back. The documents' ids are put together inside the block's row;
 decoding joins the ids' byte pieces. A block has `block` bytes of text and one document at least.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +32,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import code_points, constant, cut, slices, utf8
+from .common import code_points, cut, slices, utf8
 from .pretokens import starts
 from .resampling import kth
 
-BUCKETS = 1 << 17
+#: A prime, so that pairs with one side in common are spread.
+BUCKETS = 25_013
 BLOCK_BYTES = 32 << 20
 COMMON = 1 << 20
+#: Rows that the common words are folded in.
+ROWS = 24
 PLACES = 1 << 20
 #: Ids are below this, so two make one number.
 IDS = 1 << 17
@@ -55,11 +59,13 @@ def bind(value: Column, f) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
-def vocabulary(path: str) -> Column:
-    """The ranks as one constant of a plan: the id of each byte, the rank of each pair of ids that makes a token (in buckets, by
-    the pair's number as text), and the bytes of each id."""
+def rank_map(path: str) -> dict[str, str]:
+    """The ranks as constants of a plan, written as texts of numbers: the id of each byte; the pairs of ids that make a token, in
+    order of buckets, their ranks times PLACES, and where each bucket begins; the bytes of each id in base64.
+
+    Texts, because a constant array of so many numbers costs every task seconds to read."""
     ranks = ranks_of(path)
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    buckets: list[list[tuple[int, int]]] = [[] for _ in range(BUCKETS)]
     pieces = [""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         pieces[rank] = base64.b64encode(token).decode()
@@ -67,25 +73,43 @@ def vocabulary(path: str) -> Column:
             left, right = ranks.get(token[:i]), ranks.get(token[i:])
             if left is not None and right is not None:
                 pair = left * IDS + right
-                buckets[pair % BUCKETS][str(pair)] = rank
-    return constant({"first": [ranks[bytes([i])] for i in range(256)], "pairs": buckets, "pieces": pieces}, "struct<first:array<bigint>,pairs:array<map<string,bigint>>,pieces:array<binary>>")
+                buckets[pair % BUCKETS].append((pair, rank * PLACES))
+    flat = [x for b in buckets for x in b]
+    ends = itertools.accumulate(map(len, buckets), initial=0)
+    parts = {"first": [ranks[bytes([i])] for i in range(256)], "keys": [k for k, _ in flat], "values": [v for _, v in flat], "ends": ends, "pieces": pieces}
+    return {k: ",".join(map(str, v)) for k, v in parts.items()}
+
+
+def unpacked(constants: dict[str, str], row: str, f) -> Column:
+    """f of a struct of the constants as arrays and maps, made once a row. `row` names a column without nulls: what depends on it
+    is not worked out while planning."""
+    numbers = lambda k, kind: F.split(F.when(F.col(row).isNotNull(), F.lit(constants[k])), ",").cast(f"array<{kind}>")
+
+    def pairs(t: Column) -> Column:
+        part = lambda c, i: F.slice(t[c], F.get(t["ends"], i) + 1, F.get(t["ends"], i + 1) - F.get(t["ends"], i))
+        return F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda i: F.map_from_arrays(part("keys", i), part("values", i)))
+
+    table = F.struct(numbers("keys", "bigint").alias("keys"), numbers("values", "bigint").alias("values"), numbers("ends", "int").alias("ends"))
+    pieces = F.transform(F.split(F.when(F.col(row).isNotNull(), F.lit(constants["pieces"])), ","), F.unbase64)
+    return bind(F.struct(numbers("first", "bigint").alias("first"), bind(table, pairs).alias("pairs"), pieces.alias("pieces")), f)
 
 
-def fold(first: Column, pairs: Column, word: Column) -> Column:
+def fold(known: Column, word: Column) -> Column:
     """Ids of a word, given by its bytes."""
     def step(state: Column, _: Column) -> Column:
         ids = state["ids"]
         number = F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), lambda a, b: a * IDS + b)  # null at the end
         # a pair's rank and place in one number: the least one is the leftmost pair of lowest rank
-        ranked = F.transform(number, lambda n, i: F.element_at(F.get(pairs, n % BUCKETS), n.cast("string")) * PLACES + i)
+        ranked = F.transform(number, lambda n, i: F.element_at(F.get(known["pairs"], n % BUCKETS), n) + i)
 
         def merge(low: Column) -> Column:
-            joined = F.transform(F.filter(ids, lambda _, i: i != low % PLACES + 1), lambda x, i: F.when(i == low % PLACES, F.shiftright(low, 20)).otherwise(x))
+            at = low.bitwiseAND(F.lit(PLACES - 1)).cast("int")
+            joined = F.concat(F.slice(ids, F.lit(1), at), F.array(F.shiftright(low, 20)), F.slice(ids, at + 3, F.size(ids)))
             return F.when(low.isNull(), F.struct(ids.alias("ids"), F.lit(True).alias("done"))).otherwise(F.struct(joined.alias("ids"), F.lit(False).alias("done")))
 
         return F.when(state["done"], state).otherwise(bind(F.array_min(ranked), merge))
 
-    begin = F.struct(F.transform(word, lambda b: F.get(first, b)).alias("ids"), F.lit(False).alias("done"))
+    begin = F.struct(F.transform(word, lambda b: F.get(known["first"], b)).alias("ids"), F.lit(False).alias("done"))
     return F.aggregate(word, begin, step, lambda s: s["ids"])
 
 
@@ -204,9 +228,9 @@ def common_words(docs: DataFrame, path: str, text: str, common: int, block: int,
     if counts.count() > common:
         counts = counts.where(F.col("down") < F.lit(kth(counts, ["down"], common)[0]))
     # as bytes, in rows of many words, so that the vocabulary is looked up once a row
-    grouped = counts.groupBy(F.pmod(F.xxhash64("word"), F.lit(256))).agg(F.collect_list("word").alias("words"))
+    grouped = counts.groupBy(F.pmod(F.xxhash64("word"), F.lit(ROWS))).agg(F.collect_list("word").alias("words"))
     code = F.transform("words", lambda w: F.transform(F.split(F.regexp_replace(F.hex(F.encode(w, "UTF-8")), "(..)", "$1 "), " "), lambda h: F.conv(h, 16, 10).cast("int")))
-    folded = bind(vocabulary(path), lambda known: bind(known["first"], lambda first: bind(known["pairs"], lambda pairs: F.transform(code, lambda w: fold(first, pairs, F.filter(w, lambda b: b.isNotNull()))))))
+    folded = unpacked(rank_map(path), "words", lambda known: F.transform(code, lambda w: fold(known, F.filter(w, lambda b: b.isNotNull()))))
     got = grouped.select("words", folded.alias("ids")).toArrow().combine_chunks()
     flat = lambda c: pc.list_flatten(got.column(c)).combine_chunks() if got.num_rows else pa.array([], got.schema.field(c).type.value_type)
     return flat("words"), flat("ids")
@@ -248,10 +272,10 @@ def encode(docs: DataFrame, path: str, *, text: str = "text", keep: tuple[str, .
         return F.transform("docs", of)
 
     def whole(known: Column) -> Column:
-        folded = bind(known["first"], lambda first: bind(known["pairs"], lambda pairs: F.zip_with("distinct", "given", lambda w, g: F.when(g.isNotNull(), g).otherwise(fold(first, pairs, w)))))
+        folded = F.zip_with("distinct", "given", lambda w, g: F.when(g.isNotNull(), g).otherwise(fold(known, w)))
         return bind(folded, lambda ids: of_block(known, ids))
 
-    out = rows.select(F.explode(bind(vocabulary(path), whole)).alias("d"))
+    out = rows.select(F.explode(unpacked(rank_map(path), "docs", whole)).alias("d"))
     names = [f for f in out.schema["d"].dataType.names if f not in {f"k{i}" for i in range(len(keep))}]
     return out.select(*[F.col(f"d.k{i}").alias(c) for i, c in enumerate(keep)], *[F.col(f"d.{n}") for n in names])
 

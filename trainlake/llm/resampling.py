@@ -40,7 +40,12 @@ def buckets_of(words: Column, longest: int, buckets: int) -> Column:
 
     if longest == 1:
         return F.transform(words, bucket)
-    runs = [F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i, n=n: bucket(F.array_join(F.slice(words, i, n), " ")))).otherwise(F.expr("cast(array() as array<int>)")) for n in range(1, longest + 1)]
+
+    def runs_of(n: int) -> Column:
+        every = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: bucket(F.array_join(F.slice(words, i, F.lit(n)), " ")))
+        return F.when(F.size(words) >= n, every).otherwise(F.expr("cast(array() as array<int>)"))
+
+    runs = [runs_of(n) for n in range(1, longest + 1)]
     return F.concat(*runs)
 
 
