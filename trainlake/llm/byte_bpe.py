@@ -59,6 +59,7 @@ def bind(value: Column, f) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
+@functools.cache
 def rank_map(path: str) -> dict[str, str]:
     """The ranks as constants of a plan, written as texts of numbers: the id of each byte; the pairs of ids that make a token, in
     order of buckets, their ranks times PLACES, and where each bucket begins; the bytes of each id in base64.
@@ -166,7 +167,7 @@ class Block:
 
     def add(self, rb: pa.RecordBatch, text: int) -> None:
         data, offsets = utf8(rb.column(text))
-        chars, cps, at = code_points(data, offsets)
+        _, cps, at = code_points(data, offsets)
         begin = starts(cps, at)
         lead = np.flatnonzero((data & 0xC0) != 0x80) if len(cps) != len(data) else None
         ends = np.append(begin if lead is None else lead[begin], len(data)).astype(np.int32)
