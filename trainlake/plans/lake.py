@@ -98,7 +98,7 @@ def diff_passwords(spark, d):
     """a password counts where its line was added (every second line), with its value only; whole texts."""
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(F.when((F.col("doc_id") + i) % 2 == 0, "+").otherwise("-"), x))
     found = F.filter(safety.scan_diff(F.array_join(lines, "\n")), lambda f: f.kind == "password_assignment")
-    return safety.once(given(spark, d), "found", found).select("doc_id", F.size("found").alias("passwords"), F.try_element_at(F.transform("found", lambda f: f.detail), F.lit(1)).alias("detail"))
+    return safety.once(given(spark, d), "found", found).select("doc_id", F.size("found").cast("long").alias("passwords"), F.try_element_at(F.transform("found", lambda f: f.detail), F.lit(1)).alias("detail"))
 
 
 @register(f"""WITH p AS (SELECT doc_id, regexp_extract_all(text, '{MAIL}') AS e, regexp_extract_all(text, '{ADDRESS}') AS i FROM documents)
