@@ -223,16 +223,23 @@ def counted_words(docs: DataFrame, path: str, text: str, block: int, limit: int)
     return docs.select(docs[text].cast("string").alias("t")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
 
 
+def with_bytes(batches) -> Iterator[pa.RecordBatch]:
+    """Words, and their bytes as numbers."""
+    for rb in batches:
+        data, offsets = utf8(rb.column(0))
+        yield pa.RecordBatch.from_arrays([rb.column(0), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(data.astype(np.int16)))], ["word", "bytes"])
+
+
 def common_words(docs: DataFrame, path: str, text: str, common: int, block: int, limit: int) -> tuple[pa.Array, pa.Array]:
     """(words, ids) of fewer than `common` words: those that occur more often than the word at that place."""
     counts = cut(counted_words(docs, path, text, block, limit).select("word", (-F.col("n")).alias("down")))
     if counts.count() > common:
         counts = counts.where(F.col("down") < F.lit(kth(counts, ["down"], common)[0]))
-    # as bytes, in rows of many words, so that the vocabulary is looked up once a row
-    grouped = counts.groupBy(F.pmod(F.xxhash64("word"), F.lit(ROWS))).agg(F.collect_list("word").alias("words"))
-    code = F.transform("words", lambda w: F.transform(F.split(F.regexp_replace(F.hex(F.encode(w, "UTF-8")), "(..)", "$1 "), " "), lambda h: F.conv(h, 16, 10).cast("int")))
-    folded = unpacked(rank_map(path), "words", lambda known: F.transform(code, lambda w: fold(known, F.filter(w, lambda b: b.isNotNull()))))
-    got = grouped.select("words", folded.alias("ids")).toArrow().combine_chunks()
+    coded = counts.select("word").mapInArrow(with_bytes, "word string, bytes array<short>")
+    # in rows of many words, so that the rank map is unpacked once a row
+    grouped = coded.groupBy(F.pmod(F.xxhash64("word"), F.lit(ROWS))).agg(F.collect_list(F.struct("word", "bytes")).alias("w"))
+    folded = unpacked(rank_map(path), "w", lambda known: F.transform("w", lambda x: fold(known, x["bytes"])))
+    got = grouped.select(F.transform("w", lambda x: x["word"]).alias("words"), folded.alias("ids")).toArrow().combine_chunks()
     flat = lambda c: pc.list_flatten(got.column(c)).combine_chunks() if got.num_rows else pa.array([], got.schema.field(c).type.value_type)
     return flat("words"), flat("ids")
 
