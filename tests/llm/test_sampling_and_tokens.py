@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import math
+import pickle
 import re
 import zlib
 
@@ -119,6 +120,18 @@ def test_byte_bpe_ids_and_keep(spark, library):
     assert byte_bpe.digests(table(spark, []), PATH).collect() == []
 
 
+def test_byte_bpe_common_words_stay_packed(spark, library):
+    words = [f" q{i:x}zx" for i in range(4000)]
+    docs = table(spark, [(i, "".join(words), "en") for i in range(2)])
+    known = byte_bpe.Known(PATH, byte_bpe.common_words(docs, PATH, "text", 1 << 20, 1 << 20, 128))
+    # what the driver holds and sends: a few bytes a word, and no table of tokens
+    assert len(pickle.dumps(known)) < 30 * 4 * len(words)
+    names, ids = known.arrays
+    at = {w: i for i, w in enumerate(names.to_pylist())}
+    pieces = {m for w in words for m in re.findall(r" ?[a-z]+|[0-9]+", w)} - {w.decode() for w in byte_bpe.ranks_of(PATH) if w.isascii()}
+    assert pieces and all(ids[at[p.encode()]].as_py() == library._encode_single_piece(p.encode()) for p in pieces)
+
+
 def test_heap_merge(library):
     rng = np.random.default_rng(1)
     ranks = byte_bpe.ranks_of(PATH)

@@ -8,7 +8,7 @@ decoding joins the ids' byte pieces. A block has `block` bytes of text and one d
 
 A word that is a token is that token, without a fold (as the library does it). Most other words come again in every block, so
 the `common` most frequent ones of the corpus are counted and folded first, once each, and their ids sent to all tasks
-(about 30 bytes a word); this only saves folds, any word that is not among them is folded in its block. Words of more than `fold_limit` bytes would
+(packed by the tasks that fold them, and only passed on by the driver); this only saves folds, any word that is not among them is folded in its block. Words of more than `fold_limit` bytes would
 make the fold (quadratic in a word's length) too slow; they are merged by a heap in the task that reads them, with the same
 result.
 
@@ -99,9 +99,9 @@ def fold(known: Column, word: Column) -> Column:
     """Ids of a word, given by its bytes."""
     def step(state: Column, _: Column) -> Column:
         ids = state["ids"]
-        number = F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), lambda a, b: a * IDS + b)  # null at the end
+        number = lambda a, i: a * IDS + F.get(ids, i + 1)  # null at the end
         # a pair's rank and place in one number: the least one is the leftmost pair of lowest rank
-        ranked = F.transform(number, lambda n, i: F.element_at(F.get(known["pairs"], n % BUCKETS), n) + i)
+        ranked = F.transform(ids, lambda a, i: F.element_at(F.get(known["pairs"], number(a, i) % BUCKETS), number(a, i)) + i)
 
         def merge(low: Column) -> Column:
             at = low.bitwiseAND(F.lit(PLACES - 1)).cast("int")
@@ -146,13 +146,34 @@ def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def packed(batches) -> Iterator[pa.RecordBatch]:
+    """One compressed value of all words (list of strings) and their ids of a batch."""
+    for rb in batches:
+        words, ids = pc.list_flatten(rb.column(0)).cast(pa.binary()), pc.list_flatten(rb.column(1)).cast(pa.list_(pa.int32()))
+        own, sink = pa.RecordBatch.from_arrays([words, ids], ["words", "ids"]), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(own)
+        yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["packed"])
+
+
 class Known:
-    """Words whose ids are known: the tokens, and words that were folded before."""
+    """Words whose ids are known: the tokens, and words that were folded before, sent as they were packed and unpacked by the tasks."""
 
-    def __init__(self, path: str, words: pa.Array, ids: pa.Array):
-        ranks = ranks_of(path)
-        self.words = pa.concat_arrays([pa.array(list(ranks), pa.binary()), words.cast(pa.binary())])
-        self.ids = pa.concat_arrays([pa.array([[r] for r in ranks.values()], pa.list_(pa.int64())), ids.cast(pa.list_(pa.int64()))])
+    def __init__(self, path: str, parts: list[bytes]):
+        self.path, self.parts = path, parts
+
+    @functools.cached_property
+    def arrays(self) -> tuple[pa.Array, pa.Array]:
+        """(words, ids)"""
+        ranks = ranks_of(self.path)
+        one = pa.ListArray.from_arrays(pa.array(np.arange(len(ranks) + 1, dtype=np.int32)), pa.array(list(ranks.values()), pa.int32()))
+        words, ids = [pa.array(list(ranks), pa.binary())], [one.cast(pa.list_(pa.int32()))]
+        for part in self.parts:
+            for rb in pa.ipc.open_stream(part):
+                words.append(rb.column(0))
+                ids.append(rb.column(1))
+        self.parts = []
+        return pa.concat_arrays(words), pa.concat_arrays(ids)
 
 
 class Block:
@@ -183,12 +204,12 @@ class Block:
         return pa.array(self.number, pa.string()).cast(pa.binary())
 
     def row(self, limit: int, path: str, kinds: list[pa.DataType], known: Known) -> pa.RecordBatch:
-        words, names, ids = self.words(), known.words, known.ids
+        words, (names, ids) = self.words(), known.arrays
         long = [w for w in words.filter(pc.greater(pc.binary_length(words), limit)).to_pylist() if w not in ranks_of(path)]
         if long:
             names = pa.concat_arrays([names, pa.array(long, pa.binary())])
-            ids = pa.concat_arrays([ids, pa.array([heap_merge(w, ranks_of(path)) for w in long], pa.list_(pa.int64()))])
-        given = ids.take(pc.index_in(words, value_set=names))
+            ids = pa.concat_arrays([ids, pa.array([heap_merge(w, ranks_of(path)) for w in long], ids.type)])
+        given = ids.take(pc.index_in(words, value_set=names)).cast(pa.list_(pa.int64()))
         _, ends, data = pc.if_else(given.is_valid(), pa.scalar(b"", pa.binary()), words).buffers()
         ends = np.frombuffer(ends, np.int32)[: len(words) + 1]
         distinct = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(data or b"", np.uint8)[: ends[-1]].astype(np.int16)))
@@ -230,8 +251,8 @@ def with_bytes(batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rb.column(0), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(data.astype(np.int16)))], ["word", "bytes"])
 
 
-def common_words(docs: DataFrame, path: str, text: str, common: int, block: int, limit: int) -> tuple[pa.Array, pa.Array]:
-    """(words, ids) of fewer than `common` words: those that occur more often than the word at that place."""
+def common_words(docs: DataFrame, path: str, text: str, common: int, block: int, limit: int) -> list[bytes]:
+    """Packed words and ids of fewer than `common` words: those that occur more often than the word at that place."""
     counts = cut(counted_words(docs, path, text, block, limit).select("word", (-F.col("n")).alias("down")))
     if counts.count() > common:
         counts = counts.where(F.col("down") < F.lit(kth(counts, ["down"], common)[0]))
@@ -239,9 +260,7 @@ def common_words(docs: DataFrame, path: str, text: str, common: int, block: int,
     # in rows of many words, so that the rank map is unpacked once a row
     grouped = coded.groupBy(F.pmod(F.xxhash64("word"), F.lit(ROWS))).agg(F.collect_list(F.struct("word", "bytes")).alias("w"))
     folded = unpacked(rank_map(path), "w", lambda known: F.transform("w", lambda x: fold(known, x["bytes"])))
-    got = grouped.select(F.transform("w", lambda x: x["word"]).alias("words"), folded.alias("ids")).toArrow().combine_chunks()
-    flat = lambda c: pc.list_flatten(got.column(c)).combine_chunks() if got.num_rows else pa.array([], got.schema.field(c).type.value_type)
-    return flat("words"), flat("ids")
+    return grouped.select(F.transform("w", lambda x: x["word"]).alias("words"), folded.alias("ids")).mapInArrow(packed, "packed binary").toArrow().column(0).to_pylist()
 
 
 def blocks(docs: DataFrame, path: str, keep: tuple[str, ...], text: str, block: int, fold_limit: int, common: int = 0) -> DataFrame:
@@ -249,8 +268,7 @@ def blocks(docs: DataFrame, path: str, keep: tuple[str, ...], text: str, block:
     inner = docs.select(*[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], docs[text].cast("string").alias("t"))
     own = T.StructType([*inner.schema.fields[:-1], T.StructField("words", T.ArrayType(T.IntegerType()))])
     schema = T.StructType([T.StructField("distinct", T.ArrayType(T.ArrayType(T.ShortType()))), T.StructField("given", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("docs", T.ArrayType(own))])
-    words, ids = common_words(docs, path, text, common, block, fold_limit) if common else (pa.array([], pa.binary()), pa.array([], pa.list_(pa.int64())))
-    sent = docs.sparkSession.sparkContext.broadcast(Known(path, words, ids))
+    sent = docs.sparkSession.sparkContext.broadcast(Known(path, common_words(docs, path, text, common, block, fold_limit) if common else []))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         now, kinds = Block(len(keep)), None
@@ -266,35 +284,49 @@ def blocks(docs: DataFrame, path: str, keep: tuple[str, ...], text: str, block:
     return inner.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, path: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), block: int = BLOCK_BYTES, fold_limit: int = 128, common: int = COMMON, then=None) -> DataFrame:
-    """The keep columns and ids (array<bigint>) of every row, or what `then` (of the vocabulary and the ids) makes of them by name, so that wide id arrays need not leave the block."""
+def each_document(docs: DataFrame, path: str, text: str, keep: tuple[str, ...], block: int, fold_limit: int, common: int, results) -> DataFrame:
+    """The keep columns of every row, and what results(vocabulary, ids of a block's distinct words, f) makes of it: it calls f with a
+    function that gives a document's columns by name from the numbers of its words. So what is the same for each occurrence of a
+    word is made once a block, and wide arrays need not leave it."""
     rows = blocks(docs, path, keep, text, block, fold_limit, common)
-    results = then or (lambda _, ids: {"ids": ids})
-
-    def of_block(known: Column, ids: Column) -> Column:
-        def of(d: Column) -> Column:
-            kept = [d[f"k{i}"].alias(f"k{i}") for i in range(len(keep))]
-            mine = F.flatten(F.transform(d["words"], lambda i: F.get(ids, i)))
-            return bind(mine, lambda x: F.struct(*kept, *[c.alias(n) for n, c in results(known, x).items()]))
 
-        return F.transform("docs", of)
+    def of_block(document) -> Column:
+        kept = lambda d: [d[f"k{i}"].alias(f"k{i}") for i in range(len(keep))]
+        return F.transform("docs", lambda d: bind(document(d["words"]), lambda x: F.struct(*kept(d), x.alias("x"))))
 
     def whole(known: Column) -> Column:
         folded = F.zip_with("distinct", "given", lambda w, g: F.when(g.isNotNull(), g).otherwise(fold(known, w)))
-        return bind(folded, lambda ids: of_block(known, ids))
+        return bind(folded, lambda ids: results(known, ids, of_block))
 
     out = rows.select(F.explode(unpacked(rank_map(path), "docs", whole)).alias("d"))
-    names = [f for f in out.schema["d"].dataType.names if f not in {f"k{i}" for i in range(len(keep))}]
-    return out.select(*[F.col(f"d.k{i}").alias(c) for i, c in enumerate(keep)], *[F.col(f"d.{n}") for n in names])
+    return out.select(*[F.col(f"d.k{i}").alias(c) for i, c in enumerate(keep)], "d.x.*")
+
+
+def encode(docs: DataFrame, path: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), block: int = BLOCK_BYTES, fold_limit: int = 128, common: int = COMMON) -> DataFrame:
+    """The keep columns and ids (array<bigint>) of every row."""
+    def results(_, ids: Column, f) -> Column:
+        return f(lambda words: F.struct(F.flatten(F.transform(words, lambda i: F.get(ids, i))).alias("ids")))
+
+    return each_document(docs, path, text, keep, block, fold_limit, common, results)
 
 
 def digests(docs: DataFrame, path: str, *, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK_BYTES, fold_limit: int = 128, common: int = COMMON) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids, joined by spaces), decoded_sha256 (of the decoded bytes)."""
-    def then(known: Column, ids: Column) -> dict[str, Column]:
-        return {
-            "n_tokens": F.size(ids).cast("long"),
-            "ids_sha256": F.sha2(F.array_join(F.transform(ids, lambda i: i.cast("string")), " "), 256),
-            "decoded_sha256": F.sha2(decode(known, ids), 256),
-        }
-
-    return encode(docs, path, text=text, keep=(doc_id,), block=block, fold_limit=fold_limit, common=common, then=then)
+    def results(known: Column, ids: Column, f) -> Column:
+        # a word's ids as a text, and its decoded bytes, once a block; a document only joins them
+        texts = F.transform(ids, lambda x: F.array_join(F.transform(x, lambda i: i.cast("string")), " "))
+        decoded = F.transform(ids, lambda x: decode(known, x).cast("string"))
+        return bind(texts, lambda t: bind(decoded, lambda b: f(lambda words: document(words, t, b))))
+
+    def document(words: Column, texts: Column, decoded: Column) -> Column:
+        joined = F.array_join(F.transform(words, lambda i: F.get(texts, i)), " ")
+        raw = F.array_join(F.transform(words, lambda i: F.get(decoded, i)), "").cast("binary")
+
+        def columns(t: Column) -> Column:
+            spaces = F.octet_length(t) - F.octet_length(F.replace(t, F.lit(" "), F.lit("")))
+            n = F.when(t == "", 0).otherwise(spaces + 1)
+            return F.struct(n.cast("long").alias("n_tokens"), F.sha2(t.cast("binary"), 256).alias("ids_sha256"), F.sha2(raw, 256).alias("decoded_sha256"))
+
+        return bind(joined, columns)
+
+    return each_document(docs, path, text, (doc_id,), block, fold_limit, common, results)
