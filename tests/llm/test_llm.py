@@ -238,6 +238,24 @@ def test_line_dedup_sketches():
     assert line_dedup.plausible(none, none).tolist() == []
 
 
+def test_packed_band_keys(spark):
+    """Band keys move in few rows, and give the groups that a plain search over the single keys gives."""
+    rng = np.random.default_rng(3)
+    band = rng.integers(-(1 << 39), 1 << 39, 3000)[rng.integers(0, 3000, 20_000)]
+    key, x, h = band << line_dedup.LOW | rng.integers(0, 4, len(band)), np.zeros(len(band), np.int32), rng.integers(0, 5000, len(band))
+    rows = [rb for part in np.array_split(np.arange(len(key)), 3) for rb in line_dedup.packed_keys(key[part], x[part], h[part], 8)]
+    assert sum(rb.num_rows for rb in rows) == 24
+    frame = spark.createDataFrame(pa.Table.from_batches(rows))
+    assert frame.schema.simpleString() == "struct<bucket:int,key:binary,x:binary,h:binary>"
+    want = {}
+    for k, one in zip(key.tolist(), h.tolist()):
+        want.setdefault(k >> line_dedup.LOW, set()).add(one)
+    got = {}
+    for r in line_dedup._groups(frame).collect():
+        got.setdefault(r.g, []).append(r.h)
+    assert sorted(map(sorted, map(set, got.values()))) == sorted(map(sorted, {frozenset(w) for w in want.values() if len(w) > 1}))
+
+
 def test_line_dedup_recall(spark):
     """Candidates against all pairs: every pair of like lines is in one component."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")

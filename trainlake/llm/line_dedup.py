@@ -11,7 +11,8 @@ output is linear. Distributed union-find joins the links; the first occurrence (
 then hash of its text, then line) of each component stays.
 
 Copies of a line are one node from the start (their occurrences are counted with partial sums), so a very frequent line
-costs no more than one. Only line hashes and band keys are shuffled for all lines; texts only once for each distinct line.
+costs no more than one. Only line hashes and band keys are shuffled for all lines (in packed runs, which Spark moves and orders as few
+rows; tasks sort their values); texts only once for each distinct line.
 
 Defined results: null text has no lines; shorter lines always stay; an empty table gives an empty result; rows with
 equal id and text keep the same lines, rows that share only one of them lose only their own; a null id comes before all others; extra columns are carried by `apply` only.
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +55,9 @@ MASK = (1 << 64) - 1
 STAR = 512
 #: Lines whose keys a task remembers to have sent, to save sending them again; bounds the set's memory.
 SENT = 1 << 18
+#: Band keys are shuffled in packed runs, one a bucket of bands: so many keys a task packs at once, so many buckets at least
+#: (more where there are more partitions), and so many keys, in whole buckets, are sorted at once.
+PACK, BUCKETS, RUN = 1 << 19, 1 << 12, 1 << 17
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -161,15 +166,36 @@ def plausible(sketch: np.ndarray, size: np.ndarray) -> np.ndarray:
     return ok
 
 
-def _groups(keyed: DataFrame) -> DataFrame:
+def packed_keys(key: np.ndarray, x: np.ndarray, h: np.ndarray, buckets: int):
+    """Batches of (bucket, keys, sketches, lines): a row for each bucket of bands, its values' bytes one after the other."""
+    own = ((key >> LOW).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets)
+    order = np.argsort(own)
+    own = own[order].astype(np.int32)
+    edge = np.append(np.flatnonzero(np.append(True, own[1:] != own[:-1])), len(own))
+    pack = lambda v: pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer((edge * v.itemsize).astype(np.int32)), pa.py_buffer(v[order])])
+    out = pa.RecordBatch.from_arrays([pa.array(own[edge[:-1]]), pack(key), pack(x), pack(h)], ["bucket", "key", "x", "h"])
+    for at in range(0, out.num_rows, 512):
+        yield out.slice(at, 512)
+
+
+def unpacked(col: pa.Array, kind) -> np.ndarray:
+    """The values of all rows of a packed column."""
+    _, off, data = col.buffers()
+    off = np.frombuffer(off, np.int32)[col.offset : col.offset + len(col) + 1]
+    return np.frombuffer(data, np.uint8)[off[0] : off[-1]].view(kind)
+
+
+def _groups(packed: DataFrame) -> DataFrame:
     """(g, h): members of band-key groups of two or more distinct lines; g depends on the members only."""
-    rows = keyed.repartition(shuffle_partitions(keyed.sparkSession), F.shiftright("key", LOW)).sortWithinPartitions("key")
+    rows = packed.repartition(shuffle_partitions(packed.sparkSession), "bucket").sortWithinPartitions("bucket")
 
     def starts(band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first = np.flatnonzero(np.append(True, band[1:] != band[:-1])) if len(band) else np.zeros(0, np.int64)
         return first, np.diff(np.append(first, len(band)))
 
     def groups(key: np.ndarray, x: np.ndarray, h: np.ndarray):
+        order = np.argsort(key)
+        key, x, h = key[order], x[order], h[order]
         band = key >> LOW
         _, size = starts(band)
         many = np.repeat(size > 1, size)
@@ -189,16 +215,22 @@ def _groups(keyed: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.repeat(g, size).view(np.int64)), pa.array(h)], ["g", "h"])
 
     def run(batches):
-        held = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))
+        held, n, last = [], 0, None
         for rb in batches:
-            held = tuple(np.concatenate([a, np.asarray(rb.column(i))]) for i, a in enumerate(held))
-            key = held[0]
-            done = int(np.searchsorted(key >> LOW, key[-1] >> LOW)) if len(key) else 0  # the last group may go on
-            if done:
-                if (out := groups(*(a[:done] for a in held))) is not None:
-                    yield out
-                held = tuple(a[done:] for a in held)
-        if len(held[0]) and (out := groups(*held)) is not None:
+            if not rb.num_rows:
+                continue
+            bucket = np.asarray(rb.column(0))
+            key, x, h = (unpacked(rb.column(i), kind) for i, kind in ((1, np.int64), (2, np.int32), (3, np.int64)))
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            at = np.append(0, np.cumsum(pc.binary_length(rb.column(1)).to_numpy(zero_copy_only=False) // 8))
+            for own, a, b in zip(bucket[first].tolist(), at[first].tolist(), at[np.append(first[1:], len(bucket))].tolist()):
+                if n >= RUN and own != last:  # a bucket may go on in another batch
+                    if (out := groups(*map(np.concatenate, zip(*held)))) is not None:
+                        yield out
+                    held, n = [], 0
+                held.append((key[a:b], x[a:b], h[a:b]))
+                n, last = n + b - a, own
+        if held and (out := groups(*map(np.concatenate, zip(*held)))) is not None:
             yield out
 
     return rows.mapInArrow(run, "g long, h long")
@@ -384,8 +416,10 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
     connect it to, and the links found across those components; together they have the components of all verified links."""
     inner = docs.select(docs[text].cast("string").alias("t"))
 
+    buckets = max(BUCKETS, 16 * shuffle_partitions(docs.sparkSession))
+
     def keys(batches):
-        sent = set()
+        sent, held, n = set(), [], 0
         for rb in slices(batches, "t", 1 << 18):
             string, cps, begin, size, h = distinct_lines(rb.column(0), shortest)
             new = np.array([x not in sent for x in h.tolist()], bool)  # others' keys are on their way already
@@ -395,9 +429,15 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
             sent.update(h.tolist())
             if len(h):
                 key, x = band_keys(cps, begin, size, shingle, bands, rows)
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(x.ravel()), pa.array(np.repeat(h, bands))], ["key", "x", "h"])
-
-    found = cut(_groups(inner.mapInArrow(keys, "key long, x int, h long")).distinct())
+                held.append((key.ravel(), x.ravel(), np.repeat(h, bands)))
+                n += key.size
+            if n >= PACK:
+                yield from packed_keys(*map(np.concatenate, zip(*held)), buckets)
+                held, n = [], 0
+        if held:
+            yield from packed_keys(*map(np.concatenate, zip(*held)), buckets)
+
+    found = cut(_groups(inner.mapInArrow(keys, "bucket int, key binary, x binary, h binary")).distinct())
     release(docs.sparkSession)  # the band keys' shuffle
     # a group's centre is the member found in most groups: the text that the others are variants of
     degree = found.groupBy("h").agg(F.count("*").alias("n"))
