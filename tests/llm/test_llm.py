@@ -1,6 +1,7 @@
 """The operators against brute force, and on nulls, empty texts, ties, repeated rows, empty tables and extra columns."""
 
 import itertools
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -256,6 +257,34 @@ def test_packed_band_keys(spark):
     assert sorted(map(sorted, map(set, got.values()))) == sorted(map(sorted, {frozenset(w) for w in want.values() if len(w) > 1}))
 
 
+def test_line_dedup_reads_few(spark):
+    """The report takes its rows from the checkpointed lines, not from the texts again; hashes are made of the asked lines alone."""
+    plan = line_dedup.report(spark.read.parquet(f"{SF}/documents.parquet"), shortest=1)._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" in plan and "parquet" not in plan
+    cps = np.random.default_rng(3).integers(32, 127, 1 << 20).astype(np.uint32)
+    begin, size = np.array([0, 1000, 500_000, len(cps) - 3]), np.array([7, 8000, 0, 3])
+    tracemalloc.start()
+    hashes, count = line_dedup.shingle_hashes(cps, begin, size, 5)
+    assert tracemalloc.get_traced_memory()[1] < 2 << 20
+    tracemalloc.stop()
+    assert count.tolist() == [7, 8000, 1, 3] and len(hashes) == count.sum()
+    for k, (a, n) in enumerate(zip(begin.tolist(), size.tolist())):  # by itself, or with others: the same shingles
+        alone = line_dedup.shingle_hashes(cps[a : a + n], np.array([0]), np.array([n]), 5)[0]
+        assert set(alone.tolist()) == set(hashes[count[:k].sum() : count[: k + 1].sum()].tolist()) and len(set(alone.tolist())) == max(1, n - 4)
+
+    assert [len(x) for x in line_dedup.shingle_keys(["ab"], 5)] == [1]
+    long = "".join(map(chr, cps[: line_dedup.BLOCK + 2]))  # ends with a piece of fewer code points than a shingle
+    assert line_dedup.shingle_keys([long], 5)[0].size == len({long[i : i + 5] for i in range(len(long) - 4)})
+
+
+def test_line_dedup_broken_bytes():
+    texts = pa.array([b"a\x80b\nxx", b"", None, "é\nyy".encode(), b"zz\xe6"], pa.binary()).view(pa.string())
+    string, cps, begin, size, h = line_dedup.distinct_lines(texts, 1)
+    lines = [string[a : a + n] for a, n in zip(begin.tolist(), size.tolist())]
+    assert lines == ["a\ufffdb", "xx", "é", "yy", "zz\ufffd"]
+    assert h.view(np.uint64).tolist() == [xxhash.xxh64_intdigest(x.encode(), 42) for x in lines]
+
+
 def test_line_dedup_recall(spark):
     """Candidates against all pairs: every pair of like lines is in one component."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -106,9 +106,8 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[str, np.ndarray,
     cps = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     if len(cps) == len(raw):
         return text, cps, offsets
-    lead = np.zeros(len(raw) + 1, np.int64)
-    np.cumsum((data & 0xC0) != 0x80, out=lead[1:])
-    return text, cps, lead[offsets]
+    inner = np.flatnonzero((data & 0xC0) == 0x80)
+    return text, cps, offsets - np.searchsorted(inner, offsets)
 
 
 def constant(value, kind: str):

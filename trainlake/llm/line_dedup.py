@@ -39,7 +39,10 @@ SKETCH, LOW, APART = 56, 24, 12
 #: Members of a group that are compared one by one before the rest of it is compared at once; the result does not depend on it.
 NEIGHBOURS = 64
 #: Shingle hashes that one MinHash step handles at once.
-BLOCK = 1 << 15
+BLOCK = 1 << 16
+#: Bytes of text that a task cuts into lines or shingles at once: small enough that the memory of its arrays is used again, not
+#: given back and fetched anew. A longer text or line stays whole.
+SLICE = 1 << 17
 #: Bits of the filter that keeps lines without a candidate out of the text shuffle; its size is fixed.
 FILTER_BITS = 1 << 22
 #: How far from the threshold the count of shared hashes must be to be taken without the shingles. One colliding 48-bit hash
@@ -67,7 +70,8 @@ def _multipliers(n: int) -> np.ndarray:
 def signatures(h: np.ndarray, count: np.ndarray, steps: int) -> np.ndarray:
     """(steps, lines) MinHash values of lines whose shingle hashes (uint32) lie one after the other, count[i] of line i.
 
-    All steps run over one block of whole lines after the other, so that a block stays in the processor's cache."""
+    All steps run over one block of whole lines after the other, so that a block stays in the processor's cache. Each step
+    permutes the values of the one before it in place, by an odd factor and now and then by a mask."""
     out = np.empty((steps, len(count)), np.uint32)
     edge = np.concatenate([[0], np.cumsum(count)])
     multipliers = _multipliers(steps)
@@ -75,9 +79,10 @@ def signatures(h: np.ndarray, count: np.ndarray, steps: int) -> np.ndarray:
     while at < len(count):
         to = max(at + 1, int(np.searchsorted(edge, edge[at] + BLOCK, "right")) - 1)
         block, first = h[edge[at] : edge[to]], edge[at:to] - edge[at]
-        x = np.empty_like(block)
+        x = block.copy()
         for k, (a, b) in enumerate(multipliers):
-            np.bitwise_xor(block, b, out=x)
+            if k % 8 == 0:
+                np.bitwise_xor(x, b, out=x)
             np.multiply(x, a, out=x)
             np.minimum.reduceat(x, first, out=out[k, at:to])
         at = to
@@ -85,20 +90,29 @@ def signatures(h: np.ndarray, count: np.ndarray, steps: int) -> np.ndarray:
 
 
 def shingle_hashes(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """(32-bit hashes of the shingles of lines cps[begin:begin+size], one line after the other, their count a line). A shorter line is one shingle."""
-    count = np.maximum(size - shingle + 1, 1)
-    h = np.zeros(len(cps), np.uint32)  # of the shingle that starts here, by Horner's rule over shifted arrays
-    for k in range(shingle):
-        h *= np.uint32(0x9E3779B1)
-        h[: len(cps) - k] += cps[k:]
-        h ^= h >> np.uint32(15)
-    h *= np.uint32(0x85EBCA77)
-    h ^= h >> np.uint32(13)
-    out = h[np.minimum(ragged(begin, count), max(len(cps) - 1, 0))] if len(cps) else np.zeros(int(count.sum()), np.uint32)
-    short = np.flatnonzero(size < shingle)
-    first = (np.cumsum(count) - count)[short]
-    for i, at in zip(short.tolist(), first.tolist()):  # few lines
-        out[at] = xxhash.xxh32_intdigest(cps[begin[i] : begin[i] + size[i]].tobytes(), 42)
+    """(32-bit hashes of the shingles of lines cps[begin:begin+size], one line after the other, their count a line). A shorter line is one shingle.
+
+    Only the lines' own code points are read. A line has as many hashes as code points (an empty one has one): where no shingle starts, its first hash again."""
+    none, count = np.zeros(1, np.uint32), np.maximum(size, 1)
+    own = np.concatenate([none[:0], *(cps[a : a + n] if n else none for a, n in zip(begin.tolist(), size.tolist()))])
+    out = np.empty(len(own), np.uint32)
+    for at in range(0, len(own), BLOCK):
+        part = own[at : at + BLOCK + shingle - 1]
+        h = np.zeros(len(part), np.uint32)  # of the shingle that starts here, by Horner's rule over shifted arrays
+        for k in range(shingle):
+            h *= np.uint32(0x9E3779B1)
+            h[: max(len(part) - k, 0)] += part[k:]
+            h ^= h >> np.uint32(15)
+        h *= np.uint32(0x85EBCA77)
+        h ^= h >> np.uint32(13)
+        out[at : at + BLOCK] = h[:BLOCK]
+    end = np.cumsum(count)
+    first = end - count
+    whole = size >= shingle
+    for k in range(1, shingle):
+        out[end[whole] - k] = out[first[whole]]
+    for i in np.flatnonzero(~whole).tolist():  # few lines
+        out[first[i] : end[i]] = xxhash.xxh32_intdigest(cps[begin[i] : begin[i] + size[i]].tobytes(), 42)
     return out, count
 
 
@@ -134,10 +148,14 @@ def sketches(cps: np.ndarray, begin: np.ndarray, size: np.ndarray, shingle: int)
 
 
 def lines_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shortest: int = SHORTEST) -> DataFrame:
-    """d, t, pos, line, h of every line that takes part (t, h: XXH64 of the whole text and of the line)."""
+    """d, t, pos, h of every line that takes part (t, h: XXH64 of the whole text and of the line). A row's first line, or a
+    row without lines, is always there, with n_lines (null elsewhere), and with a null h if it takes no part."""
     body = docs[text].cast("string")
-    lines = docs.select(docs[doc_id].alias("d"), F.xxhash64(body).alias("t"), body.alias("body")).select("d", "t", F.posexplode(F.split("body", "\n")).alias("pos", "line"))
-    return lines.where(F.length("line") >= shortest).withColumn("h", F.xxhash64("line"))
+    parts = docs.select(docs[doc_id].alias("d"), F.xxhash64(body).alias("t"), F.split(body, "\n").alias("parts"))
+    n_lines = F.when(F.col("parts").isNull(), 0).otherwise(F.size("parts")).cast("long")
+    lines = parts.select("d", "t", n_lines.alias("n_lines"), "parts").select("d", "t", "n_lines", F.posexplode_outer("parts").alias("pos", "line"))
+    first, takes = F.coalesce(F.col("pos") == 0, F.lit(True)), F.coalesce(F.length("line") >= shortest, F.lit(False))
+    return lines.where(first | takes).select("d", "t", F.when(first, F.col("n_lines")).alias("n_lines"), "pos", F.when(takes, F.xxhash64("line")).alias("h"))
 
 
 def shingles(line: str, k: int) -> frozenset[str]:
@@ -169,7 +187,7 @@ def plausible(sketch: np.ndarray, size: np.ndarray) -> np.ndarray:
 def packed_keys(key: np.ndarray, x: np.ndarray, h: np.ndarray, buckets: int):
     """Batches of (bucket, keys, sketches, lines): a row for each bucket of bands, its values' bytes one after the other."""
     own = ((key >> LOW).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets)
-    order = np.argsort(own)
+    order = np.argsort(own.astype(np.uint16), kind="stable") if buckets <= 1 << 16 else np.argsort(own)  # 16 bits are sorted by radix
     own = own[order].astype(np.int32)
     edge = np.append(np.flatnonzero(np.append(True, own[1:] != own[:-1])), len(own))
     pack = lambda v: pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer((edge * v.itemsize).astype(np.int32)), pa.py_buffer(v[order])])
@@ -249,12 +267,16 @@ def shingle_keys(lines: list[str], k: int) -> list[np.ndarray]:
         size = np.fromiter(map(len, part), np.int64, len(part))
         cps = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32)
         begin, count = np.cumsum(size) - size, np.maximum(size - k + 1, 1)
-        h = np.zeros(len(cps), np.uint64)  # of the shingle that starts here
-        for i in range(k):
-            h *= np.uint64(0x9E3779B97F4A7C15)
-            h[: len(cps) - i] += cps[i:]
-            h ^= h >> np.uint64(32)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h = np.empty(len(cps), np.uint64)  # of the shingle that starts here
+        for at in range(0, len(cps), BLOCK):
+            piece = cps[at : at + BLOCK + k - 1]
+            x = np.zeros(len(piece), np.uint64)
+            for i in range(k):
+                x *= np.uint64(0x9E3779B97F4A7C15)
+                x[: max(len(piece) - i, 0)] += piece[i:]
+                x ^= x >> np.uint64(32)
+            x *= np.uint64(0xBF58476D1CE4E5B9)
+            h[at : at + BLOCK] = x[:BLOCK]
         owner = np.repeat(np.arange(len(part)), count)
         own = h[np.minimum(ragged(begin, count), max(len(cps) - 1, 0))] if len(cps) else np.zeros(len(owner), np.uint64)
         for i in np.flatnonzero(size < k).tolist():
@@ -311,7 +333,7 @@ def _stars(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> Da
 
     def run(batches):
         centre, text, sketch, parts = None, "", 0, None
-        for rb in slices(batches, "line", 1 << 19):
+        for rb in slices(batches, "line", SLICE):
             c, h, s = (rb.column(i).to_pylist() for i in (0, 1, 3))
             u, v, ok, near = [], [], [], []  # near: a centre's row, or a member with a sketch that is near to its centre's
             for i in range(len(c)):
@@ -362,7 +384,7 @@ def _forests(rows: DataFrame, shingle: int, least: float) -> DataFrame:
                     queue.extend(new)
                     rest = [v for v in rest if v not in new]
 
-        for rb in slices(batches, "line", 1 << 19):
+        for rb in slices(batches, "line", SLICE):
             lines = rb.column(4).to_pylist()
             keys = shingle_keys(lines, shingle)
             for g, k, s, line, own, bits in zip(*(rb.column(i).to_pylist() for i in (0, 2, 3)), lines, keys, bit_sets(keys)):
@@ -381,24 +403,32 @@ def _forests(rows: DataFrame, shingle: int, least: float) -> DataFrame:
 
 
 def distinct_lines(texts: pa.Array, shortest: int):
-    """(string, its code points, start and length of each distinct line of at least `shortest` characters, XXH64 of each)."""
+    """(string, its code points, start and length of each distinct line of at least `shortest` characters, in their order, XXH64 of each)."""
     data, offsets = utf8(texts)
     string, cps, at = code_points(data, offsets)
-    # each text has a line from its start, and one after each of its newlines
-    newline = np.flatnonzero(cps == 10)
-    begin = np.concatenate([at[:-1], newline + 1])
-    nth = np.concatenate([np.arange(len(at) - 1), np.searchsorted(at, newline, "right") - 1])
-    order = np.lexsort((begin, nth))
-    begin, nth = begin[order], nth[order]
-    end = np.append(begin[1:] - 1, 0)
+    if at[-1] != len(cps):  # bytes that are no UTF-8: each text is mended by itself
+        data, offsets = utf8(pa.array([None if x is None else x.decode("utf-8", "replace") for x in texts.cast(pa.binary()).to_pylist()], pa.string()))
+        string, cps, at = code_points(data, offsets)
+    # each text has a line from its start, and one after each of its newlines; places are in bytes, whose hashes need no text encoded again
+    newline = np.flatnonzero(data == 10)
+    a = np.concatenate([offsets[:-1], newline + 1])
+    nth = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, newline, "right") - 1])
+    order = np.lexsort((a, nth))
+    a, nth = a[order], nth[order]
+    b = np.append(a[1:] - 1, 0)
     last = np.append(nth[1:] != nth[:-1], True) if len(nth) else np.zeros(0, bool)
-    end[last] = at[1:][nth[last]]
+    b[last] = offsets[1:][nth[last]]
+    begin, end = a, b
+    if len(cps) != len(data):
+        inner = np.flatnonzero((data & 0xC0) == 0x80)
+        begin, end = a - np.searchsorted(inner, a), b - np.searchsorted(inner, b)
     size = end - begin
-    begin, size = begin[size >= shortest], size[size >= shortest]
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(string[a : a + n].encode(), 42) for a, n in zip(begin.tolist(), size.tolist())], np.uint64)
-    h, one = np.unique(h, return_index=True)
-    return string, cps, begin[one], size[one], h.view(np.int64)
+    taken = size >= shortest
+    begin, size, a, b = begin[taken], size[taken], a[taken], b[taken]
+    digest, raw = xxhash.xxh64_intdigest, memoryview(data)
+    h = np.array([digest(raw[x:y], 42) for x, y in zip(a.tolist(), b.tolist())], np.uint64)
+    one = np.sort(np.unique(h, return_index=True)[1])
+    return string, cps, begin[one], size[one], h[one].view(np.int64)
 
 
 def filter_of(hashes: DataFrame) -> np.ndarray:
@@ -420,7 +450,7 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
 
     def keys(batches):
         sent, held, n = set(), [], 0
-        for rb in slices(batches, "t", 1 << 18):
+        for rb in slices(batches, "t", SLICE):
             string, cps, begin, size, h = distinct_lines(rb.column(0), shortest)
             new = np.array([x not in sent for x in h.tolist()], bool)  # others' keys are on their way already
             begin, size, h = begin[new], size[new], h[new]
@@ -447,7 +477,7 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
     mask = filter_of(wanted)
 
     def candidates(batches):
-        for rb in slices(batches, "t", 1 << 19):
+        for rb in slices(batches, "t", 2 * SLICE):
             string, cps, begin, size, h = distinct_lines(rb.column(0), shortest)
             bit = h & (FILTER_BITS - 1)
             on = ((mask[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
@@ -472,25 +502,30 @@ def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingl
     return known.where("node != component").select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more)
 
 
-def repeated(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shortest: int = SHORTEST, **settings) -> DataFrame:
-    """d, t, pos, component, keep_doc, keep_pos of every line that is not the first of its component; d and t name the row."""
+def _repeated(docs: DataFrame, text: str, doc_id: str, shortest: int = SHORTEST, **settings) -> tuple[DataFrame, DataFrame]:
+    """(lines_of() the documents, checkpointed, repeated() of them)."""
     groups = components(links(docs, text=text, doc_id=doc_id, shortest=shortest, **settings))
-    lines = cut(lines_of(docs, text, doc_id, shortest).select("d", "t", "pos", "h"))  # read twice
-    seen = lines.groupBy("h").agg(F.min(F.struct("d", "t", "pos")).alias("first"), F.count("*").alias("n"))
-    named = cut(seen.join(groups, seen.h == groups.node, "left").select("h", "first", "n", F.col("component").isNotNull().alias("linked"), F.coalesce("component", "h").alias("component")))
-    keeper = named.where("linked").groupBy("component").agg(F.min("first").alias("best"))
-    many = named.where("linked or n > 1").join(keeper, "component", "left").select("h", "component", F.coalesce("best", "first").alias("best"))
-    found = lines.join(many, "h").where(~(F.col("best.d").eqNullSafe(F.col("d")) & (F.col("best.t") == F.col("t")) & (F.col("best.pos") == F.col("pos"))))
-    return found.select("d", "t", "pos", "component", F.col("best.d").alias("keep_doc"), F.col("best.pos").alias("keep_pos"))
+    rows = cut(lines_of(docs, text, doc_id, shortest))  # read three times
+    lines = rows.where("h is not null").select("d", "t", "pos", "h")
+    times = lines.groupBy("h").agg(F.count("*").alias("n"))
+    many = times.join(groups, times.h == groups.node, "left").where("component is not null or n > 1").select("h", F.coalesce("component", "h").alias("component"))
+    # lines that are alone in their component go before places are compared; a line without links has its own hash as component
+    some = cut(lines.join(many, "h").select("d", "t", "pos", "component"))
+    best = some.groupBy("component").agg(F.min(F.struct("d", "t", "pos")).alias("best"))
+    found = some.join(best, "component").where(~(F.col("best.d").eqNullSafe(F.col("d")) & (F.col("best.t") == F.col("t")) & (F.col("best.pos") == F.col("pos"))))
+    return rows, found.select("d", "t", "pos", "component", F.col("best.d").alias("keep_doc"), F.col("best.pos").alias("keep_pos"))
+
+
+def repeated(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:
+    """d, t, pos, component, keep_doc, keep_pos of every line that is not the first of its component; d and t name the row."""
+    return _repeated(docs, text, doc_id, **settings)[1]
 
 
 def report(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:
     """One row a document: doc_id, n_lines, n_removed, removed (line numbers from 0, with the document and line that stay)."""
-    gone = repeated(docs, text=text, doc_id=doc_id, **settings)
+    rows, gone = _repeated(docs, text, doc_id, **settings)
     gone = gone.groupBy("d", "t").agg(F.array_sort(F.collect_set(F.struct("pos", "keep_doc", "keep_pos"))).alias("removed"))
-    body = docs[text].cast("string")
-    newlines = F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"), F.lit("")))
-    base = docs.select(docs[doc_id].alias("d"), F.xxhash64(body).alias("t"), F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"))
+    base = rows.where("n_lines is not null").select("d", "t", "n_lines")
     out = base.join(gone, base.d.eqNullSafe(gone.d) & (base.t == gone.t), "left").select(base.d.alias(doc_id), "n_lines", "removed")
     none = F.array().cast(gone.schema["removed"].dataType)
     return out.select(doc_id, "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", none).alias("removed"))
