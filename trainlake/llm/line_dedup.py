@@ -508,7 +508,8 @@ def _repeated(docs: DataFrame, text: str, doc_id: str, shortest: int = SHORTEST,
     rows = cut(lines_of(docs, text, doc_id, shortest))  # read three times
     lines = rows.where("h is not null").select("d", "t", "pos", "h")
     times = lines.groupBy("h").agg(F.count("*").alias("n"))
-    many = times.join(groups, times.h == groups.node, "left").where("component is not null or n > 1").select("h", F.coalesce("component", "h").alias("component"))
+    many = times.join(groups, times.h == groups.node, "left").where("component is not null or n > 1")
+    many = cut(many.select("h", F.coalesce("component", "h").alias("component")))  # by itself, so that Spark can split a frequent line's rows in the join below
     # lines that are alone in their component go before places are compared; a line without links has its own hash as component
     some = cut(lines.join(many, "h").select("d", "t", "pos", "component"))
     best = some.groupBy("component").agg(F.min(F.struct("d", "t", "pos")).alias("best"))
