@@ -512,7 +512,7 @@ def _repeated(docs: DataFrame, text: str, doc_id: str, shortest: int = SHORTEST,
     many = cut(many.select("h", F.coalesce("component", "h").alias("component")))  # by itself, so that Spark can split a frequent line's rows in the join below
     # lines that are alone in their component go before places are compared; a line without links has its own hash as component
     some = cut(lines.join(many, "h").select("d", "t", "pos", "component"))
-    best = some.groupBy("component").agg(F.min(F.struct("d", "t", "pos")).alias("best"))
+    best = cut(some.groupBy("component").agg(F.min(F.struct("d", "t", "pos")).alias("best")))  # by itself, as above
     found = some.join(best, "component").where(~(F.col("best.d").eqNullSafe(F.col("d")) & (F.col("best.t") == F.col("t")) & (F.col("best.pos") == F.col("pos"))))
     return rows, found.select("d", "t", "pos", "component", F.col("best.d").alias("keep_doc"), F.col("best.pos").alias("keep_pos"))
 
