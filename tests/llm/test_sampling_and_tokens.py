@@ -6,12 +6,15 @@ import itertools
 import math
 import pickle
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from trainlake.llm import byte_bpe, phrases, resampling
 
@@ -132,6 +135,31 @@ def test_byte_bpe_common_words_stay_packed(spark, library):
     assert pieces and all(ids[at[p.encode()]].as_py() == library._encode_single_piece(p.encode()) for p in pieces)
 
 
+def test_byte_bpe_block_holds_no_python_words():
+    word = lambda i: " " + "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    texts = pa.array(["".join(map(word, range(j, j + 60_000))) for j in (0, 30_000)])
+    block = byte_bpe.Block(0)
+    block.add(pa.RecordBatch.from_arrays([texts.slice(0, 1)], ["t"]), 0)  # tables are made
+    tracemalloc.start()
+    block.add(pa.RecordBatch.from_arrays([texts], ["t"]), 0)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 20 * 90_000
+    words, of = block.words()
+    assert len(words) == len(set(words.to_pylist())) == 90_000
+    assert b"".join(words.take(pa.array(of)).to_pylist()).decode() == "".join([texts[0].as_py(), *texts.to_pylist()])
+
+
+def test_byte_bpe_fold(spark, library):
+    rng = np.random.default_rng(2)
+    words = [b"", b"a", b"\xff", b" the", *[bytes(rng.choice(list(b" aeinrsth\xc3\xa9"), n).astype(np.uint8)) for n in [*range(1, 40)] * 3 + [128]]]
+    state = byte_bpe.first_states(pa.array(words, pa.binary()), PATH)
+    assert state.slice(4).to_pylist() == byte_bpe.first_states(pa.array(words, pa.binary()).slice(4), PATH).to_pylist()
+    rows = spark.createDataFrame(pa.table({"w": pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), state)}))
+    got = rows.select(byte_bpe.unpacked(byte_bpe.rank_map(PATH), "w", lambda pairs, _: F.transform("w", lambda x: byte_bpe.fold(pairs, x)))).first()[0]
+    assert [list(x) for x in got] == [library._encode_single_piece(w) if w else [] for w in words]
+
+
 def test_heap_merge(library):
     rng = np.random.default_rng(1)
     ranks = byte_bpe.ranks_of(PATH)

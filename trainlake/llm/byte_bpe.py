@@ -45,6 +45,11 @@ ROWS = 24
 PLACES = 1 << 20
 #: Ids are below this, so two make one number.
 IDS = 1 << 17
+#: A part of a word that is being merged is one number: the rank of the pair that it and the next part make, its place, its id. So the
+#: least number is the leftmost pair of lowest rank, and a merge looks up two ranks only.
+ID_BITS, RANK_AT = 17, 37
+#: As a rank: no such pair. In front of a state: no pair is left.
+NO_PAIR, ENDED = IDS << RANK_AT, -1
 
 
 @functools.cache
@@ -56,13 +61,13 @@ def ranks_of(path: str) -> dict[bytes, int]:
 
 def bind(value: Column, f) -> Column:
     """f of a value that is computed once, however often f names it."""
-    return F.element_at(F.transform(F.array(value), f), 1)
+    return F.get(F.transform(F.array(value), f), 0)
 
 
 @functools.cache
 def rank_map(path: str) -> dict[str, str]:
-    """The ranks as constants of a plan, written as texts of numbers: the id of each byte; the pairs of ids that make a token, in
-    order of buckets, their ranks times PLACES, and where each bucket begins; the bytes of each id in base64.
+    """The ranks as constants of a plan, written as texts of numbers: the pairs of ids that make a token, in order of buckets, their
+    ranks at the place that a state has them, and where each bucket begins; the bytes of each id in base64.
 
     Texts, because a constant array of so many numbers costs every task seconds to read."""
     ranks = ranks_of(path)
@@ -74,16 +79,16 @@ def rank_map(path: str) -> dict[str, str]:
             left, right = ranks.get(token[:i]), ranks.get(token[i:])
             if left is not None and right is not None:
                 pair = left * IDS + right
-                buckets[pair % BUCKETS].append((pair, rank * PLACES))
+                buckets[pair % BUCKETS].append((pair, rank << RANK_AT))
     flat = [x for b in buckets for x in b]
     ends = itertools.accumulate(map(len, buckets), initial=0)
-    parts = {"first": [ranks[bytes([i])] for i in range(256)], "keys": [k for k, _ in flat], "values": [v for _, v in flat], "ends": ends, "pieces": pieces}
+    parts = {"keys": [k for k, _ in flat], "values": [v for _, v in flat], "ends": ends, "pieces": pieces}
     return {k: ",".join(map(str, v)) for k, v in parts.items()}
 
 
 def unpacked(constants: dict[str, str], row: str, f) -> Column:
-    """f of a struct of the constants as arrays and maps, made once a row. `row` names a column without nulls: what depends on it
-    is not worked out while planning."""
+    """f of the constants, the ranks of pairs as maps and the bytes of ids, made once a row. `row` names a column without nulls: what
+    depends on it is not worked out while planning."""
     numbers = lambda k, kind: F.split(F.when(F.col(row).isNotNull(), F.lit(constants[k])), ",").cast(f"array<{kind}>")
 
     def pairs(t: Column) -> Column:
@@ -92,31 +97,67 @@ def unpacked(constants: dict[str, str], row: str, f) -> Column:
 
     table = F.struct(numbers("keys", "bigint").alias("keys"), numbers("values", "bigint").alias("values"), numbers("ends", "int").alias("ends"))
     pieces = F.transform(F.split(F.when(F.col(row).isNotNull(), F.lit(constants["pieces"])), ","), F.unbase64)
-    return bind(F.struct(numbers("first", "bigint").alias("first"), bind(table, pairs).alias("pairs"), pieces.alias("pieces")), f)
+    return bind(bind(table, pairs), lambda p: bind(pieces, lambda b: f(p, b)))
 
 
-def fold(known: Column, word: Column) -> Column:
-    """Ids of a word, given by its bytes."""
-    def step(state: Column, _: Column) -> Column:
-        ids = state["ids"]
-        number = lambda a, i: a * IDS + F.get(ids, i + 1)  # null at the end
-        # a pair's rank and place in one number: the least one is the leftmost pair of lowest rank
-        ranked = F.transform(ids, lambda a, i: F.element_at(F.get(known["pairs"], number(a, i) % BUCKETS), number(a, i)) + i)
+def fold(pairs: Column, begin: Column) -> Column:
+    """Ids of a word, given by its first state (`first_states`)."""
+    low_bits = lambda v, bits: v.bitwiseAND(F.lit((1 << bits) - 1))
+
+    def rank(left: Column, right: Column) -> Column:
+        number = F.shiftleft(left, ID_BITS).bitwiseOR(right)  # null at the end
+        return F.coalesce(F.get(pairs, number % BUCKETS)[number], F.lit(NO_PAIR))
 
+    def step(state: Column, _: Column) -> Column:
         def merge(low: Column) -> Column:
-            at = low.bitwiseAND(F.lit(PLACES - 1)).cast("int")
-            joined = F.concat(F.slice(ids, F.lit(1), at), F.array(F.shiftright(low, 20)), F.slice(ids, at + 3, F.size(ids)))
-            return F.when(low.isNull(), F.struct(ids.alias("ids"), F.lit(True).alias("done"))).otherwise(F.struct(joined.alias("ids"), F.lit(False).alias("done")))
+            new, at = F.shiftright(low, RANK_AT), F.shiftright(low_bits(low, RANK_AT), ID_BITS).cast("int")
+            before, after = F.get(state, at - 1), F.get(state, at + 2)
+            pair = F.array(
+                rank(low_bits(before, ID_BITS), new).bitwiseOR(low_bits(before, RANK_AT)),
+                rank(new, low_bits(after, ID_BITS)).bitwiseOR(low.bitwiseAND(F.lit((PLACES - 1) << ID_BITS))).bitwiseOR(new),
+            )
+            rest = F.transform(F.slice(state, at + 3, F.lit(PLACES)), lambda v: v - F.lit(1 << ID_BITS))  # one place further to the front
+            ended = F.flatten(F.array(F.array(F.lit(ENDED)), state))
+            return F.when(low >= F.lit(NO_PAIR), ended).otherwise(F.flatten(F.array(F.slice(state, F.lit(1), at - 1), pair, rest)))
 
-        return F.when(state["done"], state).otherwise(bind(F.array_min(ranked), merge))
+        return F.when(F.get(state, 0) == F.lit(ENDED), state).otherwise(bind(F.array_min(state), merge))
 
-    begin = F.struct(F.transform(word, lambda b: F.get(known["first"], b)).alias("ids"), F.lit(False).alias("done"))
-    return F.aggregate(word, begin, step, lambda s: s["ids"])
+    # a state has one part more than a word has bytes, so that the last step finds no pair and puts ENDED in front
+    return F.aggregate(begin, begin, step, lambda s: F.transform(F.slice(s, F.lit(3), F.lit(PLACES)), lambda v: low_bits(v, ID_BITS)))
 
 
-def decode(known: Column, ids: Column) -> Column:
+def decode(pieces: Column, ids: Column) -> Column:
     """The bytes that ids stand for."""
-    return F.array_join(F.transform(ids, lambda i: F.get(known["pieces"], i).cast("string")), "").cast("binary")
+    return joined(ids, pieces, "").cast("binary")
+
+
+def joined(numbers: Column, values: Column, between: str) -> Column:
+    """The values (array of binary) of the numbers, as one text. Spark copies each text that a function returns, but not bytes."""
+    return F.array_join(F.transform(numbers, lambda i: F.get(values, i)).cast("array<string>"), between)
+
+
+@functools.cache
+def byte_pairs(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the bytes, and the ranks of each two as a state has them."""
+    ranks = ranks_of(path)
+    one = [bytes([i]) for i in range(256)]
+    pairs = [[ranks[a + b] << RANK_AT if a + b in ranks else NO_PAIR for b in one] for a in one]
+    return np.array([ranks[a] for a in one], np.int64), np.array(pairs, np.int64)
+
+
+def first_states(words: pa.Array, path: str) -> pa.Array:
+    """What the merges of each word (binary) begin with: its bytes as parts, after one that is in no pair."""
+    (ids, pairs), n = byte_pairs(path), len(words)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]] if n else np.zeros(0, np.uint8)
+    ends = ends - ends[0]
+    sizes = np.diff(ends)
+    ranks = np.append(pairs[data[:-1], data[1:]], NO_PAIR)[: len(data)]
+    ranks[ends[1:][sizes > 0] - 1] = NO_PAIR
+    parts = ranks | (np.arange(1, len(data) + 1) - np.repeat(ends[:-1], sizes)) << ID_BITS | ids[data]
+    out = np.full(len(data) + n, NO_PAIR | (IDS - 1), np.int64)
+    out[np.arange(len(data)) + np.repeat(np.arange(1, n + 1), sizes)] = parts
+    return pa.ListArray.from_arrays(pa.array((ends + np.arange(n + 1)).astype(np.int32)), pa.array(out))
 
 
 def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -180,8 +221,7 @@ class Block:
     """Distinct words of a run of documents, and each document's words by their numbers."""
 
     def __init__(self, keep: int):
-        self.number: dict[str, int] = {}
-        self.of: list[np.ndarray] = []
+        self.coded: list[pa.DictionaryArray] = []
         self.sizes: list[np.ndarray] = []
         self.kept: list[list[pa.Array]] = [[] for _ in range(keep)]
         self.bytes = 0
@@ -192,29 +232,27 @@ class Block:
         begin = starts(cps, at)
         lead = np.flatnonzero((data & 0xC0) != 0x80) if len(cps) != len(data) else None
         ends = np.append(begin if lead is None else lead[begin], len(data)).astype(np.int32)
-        words = pa.StringArray.from_buffers(len(begin), pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode()
-        own = np.fromiter((self.number.setdefault(w, len(self.number)) for w in words.dictionary.to_pylist()), np.int32, len(words.dictionary))
-        self.of.append(own[words.indices.to_numpy(zero_copy_only=False)] if len(own) else np.zeros(0, np.int32))
+        self.coded.append(pa.StringArray.from_buffers(len(begin), pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode())
         self.sizes.append(np.diff(np.searchsorted(begin, at)))
         for i, col in enumerate(self.kept):
             col.append(rb.column(i))
         self.bytes += len(data)
 
-    def words(self) -> pa.Array:
-        return pa.array(self.number, pa.string()).cast(pa.binary())
+    def words(self) -> tuple[pa.Array, np.ndarray]:
+        """The distinct words, and the number of each word of the documents."""
+        coded = pa.chunked_array(self.coded).unify_dictionaries().chunks
+        return coded[0].dictionary.cast(pa.binary()), np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in coded])
 
     def row(self, limit: int, path: str, kinds: list[pa.DataType], known: Known) -> pa.RecordBatch:
-        words, (names, ids) = self.words(), known.arrays
+        (words, of), (names, ids) = self.words(), known.arrays
         long = [w for w in words.filter(pc.greater(pc.binary_length(words), limit)).to_pylist() if w not in ranks_of(path)]
         if long:
             names = pa.concat_arrays([names, pa.array(long, pa.binary())])
             ids = pa.concat_arrays([ids, pa.array([heap_merge(w, ranks_of(path)) for w in long], ids.type)])
         given = ids.take(pc.index_in(words, value_set=names)).cast(pa.list_(pa.int64()))
-        _, ends, data = pc.if_else(given.is_valid(), pa.scalar(b"", pa.binary()), words).buffers()
-        ends = np.frombuffer(ends, np.int32)[: len(words) + 1]
-        distinct = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(data or b"", np.uint8)[: ends[-1]].astype(np.int16)))
+        distinct = first_states(pc.if_else(given.is_valid(), pa.scalar(b"", pa.binary()), words), path)
         sizes = np.concatenate(self.sizes)
-        numbers = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(np.concatenate(self.of).astype(np.int32)))
+        numbers = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(of.astype(np.int32)))
         kept = [pa.concat_arrays(c).cast(k) for c, k in zip(self.kept, kinds)]
         docs = pa.StructArray.from_arrays([*kept, numbers], [*[f"k{i}" for i in range(len(kept))], "words"])
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
@@ -224,7 +262,8 @@ class Block:
 def counted_words(docs: DataFrame, path: str, text: str, block: int, limit: int) -> DataFrame:
     """word, n of all pre-tokens that are no tokens, have at most `limit` bytes and occur more than once; counted in blocks before the shuffle."""
     def rows(now: Block) -> Iterator[pa.RecordBatch]:
-        words, n = now.words(), np.bincount(np.concatenate(now.of), minlength=len(now.number))
+        words, of = now.words()
+        n = np.bincount(of, minlength=len(words))
         tokens = pa.array(list(ranks_of(path)), pa.binary())
         keep = pc.and_(pc.less_equal(pc.binary_length(words), limit), pc.invert(pc.is_in(words, value_set=tokens)))
         out = pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(n.astype(np.int64))], ["word", "n"]).filter(keep)
@@ -244,30 +283,28 @@ def counted_words(docs: DataFrame, path: str, text: str, block: int, limit: int)
     return docs.select(docs[text].cast("string").alias("t")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
 
 
-def with_bytes(batches) -> Iterator[pa.RecordBatch]:
-    """Words, and their bytes as numbers."""
-    for rb in batches:
-        data, offsets = utf8(rb.column(0))
-        yield pa.RecordBatch.from_arrays([rb.column(0), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(data.astype(np.int16)))], ["word", "bytes"])
-
-
 def common_words(docs: DataFrame, path: str, text: str, common: int, block: int, limit: int) -> list[bytes]:
     """Packed words and ids of fewer than `common` words: those that occur more often than the word at that place."""
     counts = cut(counted_words(docs, path, text, block, limit).select("word", (-F.col("n")).alias("down")))
     if counts.count() > common:
         counts = counts.where(F.col("down") < F.lit(kth(counts, ["down"], common)[0]))
-    coded = counts.select("word").mapInArrow(with_bytes, "word string, bytes array<short>")
+
+    def states(batches) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            yield pa.RecordBatch.from_arrays([rb.column(0), first_states(rb.column(0).cast(pa.binary()), path)], ["word", "state"])
+
+    coded = counts.select("word").mapInArrow(states, "word string, state array<long>")
     # in rows of many words, so that the rank map is unpacked once a row
-    grouped = coded.groupBy(F.pmod(F.xxhash64("word"), F.lit(ROWS))).agg(F.collect_list(F.struct("word", "bytes")).alias("w"))
-    folded = unpacked(rank_map(path), "w", lambda known: F.transform("w", lambda x: fold(known, x["bytes"])))
+    grouped = coded.groupBy(F.pmod(F.xxhash64("word"), F.lit(ROWS))).agg(F.collect_list(F.struct("word", "state")).alias("w"))
+    folded = unpacked(rank_map(path), "w", lambda pairs, _: F.transform("w", lambda x: fold(pairs, x["state"])))
     return grouped.select(F.transform("w", lambda x: x["word"]).alias("words"), folded.alias("ids")).mapInArrow(packed, "packed binary").toArrow().column(0).to_pylist()
 
 
 def blocks(docs: DataFrame, path: str, keep: tuple[str, ...], text: str, block: int, fold_limit: int, common: int = 0) -> DataFrame:
-    """A row for each block of documents: distinct (bytes of words), given (ids of words that are known or long, else null), docs (kept columns and the words' numbers)."""
+    """A row for each block of documents: distinct (first states of words), given (ids of words that are known or long, else null), docs (kept columns and the words' numbers)."""
     inner = docs.select(*[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], docs[text].cast("string").alias("t"))
     own = T.StructType([*inner.schema.fields[:-1], T.StructField("words", T.ArrayType(T.IntegerType()))])
-    schema = T.StructType([T.StructField("distinct", T.ArrayType(T.ArrayType(T.ShortType()))), T.StructField("given", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("docs", T.ArrayType(own))])
+    schema = T.StructType([T.StructField("distinct", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("given", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("docs", T.ArrayType(own))])
     sent = docs.sparkSession.sparkContext.broadcast(Known(path, common_words(docs, path, text, common, block, fold_limit) if common else []))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -285,7 +322,7 @@ def blocks(docs: DataFrame, path: str, keep: tuple[str, ...], text: str, block:
 
 
 def each_document(docs: DataFrame, path: str, text: str, keep: tuple[str, ...], block: int, fold_limit: int, common: int, results) -> DataFrame:
-    """The keep columns of every row, and what results(vocabulary, ids of a block's distinct words, f) makes of it: it calls f with a
+    """The keep columns of every row, and what results(bytes of ids, ids of a block's distinct words, f) makes of it: it calls f with a
     function that gives a document's columns by name from the numbers of its words. So what is the same for each occurrence of a
     word is made once a block, and wide arrays need not leave it."""
     rows = blocks(docs, path, keep, text, block, fold_limit, common)
@@ -294,9 +331,9 @@ def each_document(docs: DataFrame, path: str, text: str, keep: tuple[str, ...],
         kept = lambda d: [d[f"k{i}"].alias(f"k{i}") for i in range(len(keep))]
         return F.transform("docs", lambda d: bind(document(d["words"]), lambda x: F.struct(*kept(d), x.alias("x"))))
 
-    def whole(known: Column) -> Column:
-        folded = F.zip_with("distinct", "given", lambda w, g: F.when(g.isNotNull(), g).otherwise(fold(known, w)))
-        return bind(folded, lambda ids: results(known, ids, of_block))
+    def whole(pairs: Column, pieces: Column) -> Column:
+        folded = F.zip_with("distinct", "given", lambda w, g: F.when(g.isNotNull(), g).otherwise(fold(pairs, w)))
+        return bind(folded, lambda ids: results(pieces, ids, of_block))
 
     out = rows.select(F.explode(unpacked(rank_map(path), "docs", whole)).alias("d"))
     return out.select(*[F.col(f"d.k{i}").alias(c) for i, c in enumerate(keep)], "d.x.*")
@@ -312,21 +349,20 @@ def encode(docs: DataFrame, path: str, *, text: str = "text", keep: tuple[str, .
 
 def digests(docs: DataFrame, path: str, *, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK_BYTES, fold_limit: int = 128, common: int = COMMON) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids, joined by spaces), decoded_sha256 (of the decoded bytes)."""
-    def results(known: Column, ids: Column, f) -> Column:
+    def results(pieces: Column, ids: Column, f) -> Column:
         # a word's ids as a text, and its decoded bytes, once a block; a document only joins them
-        texts = F.transform(ids, lambda x: F.array_join(F.transform(x, lambda i: i.cast("string")), " "))
-        decoded = F.transform(ids, lambda x: decode(known, x).cast("string"))
+        texts = F.transform(ids, lambda x: F.array_join(x.cast("array<string>"), " ").cast("binary"))
+        decoded = F.transform(ids, lambda x: decode(pieces, x))
         return bind(texts, lambda t: bind(decoded, lambda b: f(lambda words: document(words, t, b))))
 
     def document(words: Column, texts: Column, decoded: Column) -> Column:
-        joined = F.array_join(F.transform(words, lambda i: F.get(texts, i)), " ")
-        raw = F.array_join(F.transform(words, lambda i: F.get(decoded, i)), "").cast("binary")
+        raw = decode(decoded, words)
 
         def columns(t: Column) -> Column:
             spaces = F.octet_length(t) - F.octet_length(F.replace(t, F.lit(" "), F.lit("")))
             n = F.when(t == "", 0).otherwise(spaces + 1)
             return F.struct(n.cast("long").alias("n_tokens"), F.sha2(t.cast("binary"), 256).alias("ids_sha256"), F.sha2(raw, 256).alias("decoded_sha256"))
 
-        return bind(joined, columns)
+        return bind(joined(words, texts, " "), columns)
 
     return each_document(docs, path, text, (doc_id,), block, fold_limit, common, results)
