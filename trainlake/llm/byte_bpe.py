@@ -147,17 +147,20 @@ def byte_pairs(path: str) -> tuple[np.ndarray, np.ndarray]:
 
 def first_states(words: pa.Array, path: str) -> pa.Array:
     """What the merges of each word (binary) begin with: its bytes as parts, after one that is in no pair."""
-    (ids, pairs), n = byte_pairs(path), len(words)
-    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
-    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]] if n else np.zeros(0, np.uint8)
-    ends = ends - ends[0]
-    sizes = np.diff(ends)
-    ranks = np.append(pairs[data[:-1], data[1:]], NO_PAIR)[: len(data)]
-    ranks[ends[1:][sizes > 0] - 1] = NO_PAIR
-    parts = ranks | (np.arange(1, len(data) + 1) - np.repeat(ends[:-1], sizes)) << ID_BITS | ids[data]
+    (ids, pairs), n, some = byte_pairs(path), len(words), 1 << 14
+    if not n:
+        return pa.array([], pa.list_(pa.int64()))
+    ends, data = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + n + 1], np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    ends, data = ends - ends[0], data[ends[0] : ends[-1]]
     out = np.full(len(data) + n, NO_PAIR | (IDS - 1), np.int64)
-    out[np.arange(len(data)) + np.repeat(np.arange(1, n + 1), sizes)] = parts
-    return pa.ListArray.from_arrays(pa.array((ends + np.arange(n + 1)).astype(np.int32)), pa.array(out))
+    for first in range(0, n, some):  # some words at a time, for little memory
+        own = ends[first : first + some + 1]
+        part, sizes, at = data[own[0] : own[-1]], np.diff(own), np.arange(own[0], own[-1])
+        ranks = np.append(pairs[part[:-1], part[1:]], NO_PAIR)[: len(part)]
+        ranks[own[1:][sizes > 0] - own[0] - 1] = NO_PAIR
+        place = at + 1 - np.repeat(own[:-1], sizes)
+        out[at + first + np.repeat(np.arange(1, len(own)), sizes)] = ranks | place << ID_BITS | ids[part]
+    return pa.ListArray.from_arrays(pa.array(ends + np.arange(n + 1, dtype=np.int32)), pa.array(out))
 
 
 def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -239,8 +242,8 @@ class Block:
         self.bytes += len(data)
 
     def words(self) -> tuple[pa.Array, np.ndarray]:
-        """The distinct words, and the number of each word of the documents."""
-        coded = pa.chunked_array(self.coded).unify_dictionaries().chunks
+        """The distinct words, and the number of each word of the documents; once, what was added is given up."""
+        coded, self.coded = pa.chunked_array(self.coded).unify_dictionaries().chunks, []
         return coded[0].dictionary.cast(pa.binary()), np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in coded])
 
     def row(self, limit: int, path: str, kinds: list[pa.DataType], known: Known) -> pa.RecordBatch:
@@ -252,7 +255,7 @@ class Block:
         given = ids.take(pc.index_in(words, value_set=names)).cast(pa.list_(pa.int64()))
         distinct = first_states(pc.if_else(given.is_valid(), pa.scalar(b"", pa.binary()), words), path)
         sizes = np.concatenate(self.sizes)
-        numbers = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(of.astype(np.int32)))
+        numbers = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(of.astype(np.int32, copy=False)))
         kept = [pa.concat_arrays(c).cast(k) for c, k in zip(self.kept, kinds)]
         docs = pa.StructArray.from_arrays([*kept, numbers], [*[f"k{i}" for i in range(len(kept))], "words"])
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
