@@ -1,8 +1,9 @@
 """Operator 12: byte-level BPE encoding and decoding by folds of Spark's higher-order functions.
 
-Tasks split texts into blocks; a block's row holds the bytes of its distinct pre-tokens and, for each document, the numbers
-of its own. Spark's functions then fold the merges over each distinct word once: the state is an array of token ids, at
-first one a byte, and each step joins the leftmost pair of lowest rank. Ranks come from a literal map of pairs, dealt into
+Tasks split texts into blocks; a block's row holds its distinct pre-tokens and, for each document, the numbers of its own.
+Spark's functions then fold the merges over each distinct word once: the state is an array of token ids, at first one a byte,
+each with the rank of the pair that it begins; a step joins the leftmost pair of lowest rank and looks up the ranks of the two
+pairs that this makes. Ranks come from a literal map of pairs, dealt into
 buckets because Spark looks a map up from front to back. The documents' ids are put together inside the block's row;
 decoding joins the ids' byte pieces. A block has `block` bytes of text and one document at least.
 
